@@ -1,0 +1 @@
+"""Empty on purpose: the daily ledger cycle is batch work and has no stream to read or write."""

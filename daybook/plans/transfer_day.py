@@ -46,7 +46,7 @@ def run_pl_transfer(
     journal_id: int | str | None = None,
 ) -> TransferResult:
     """Write the three tables of the transfer, each replaced as a whole."""
-    small = broadcast_if_small(branches), broadcast_if_small(circles)
+    small = broadcast_if_small(branches, circles)
     result = pl_transfer(balances, *small, day, batch_id, journal_id, hold=checkpointed)
     lake.overwrite(result.postings, f"{folder}/transactions")
     lake.overwrite(result.balances, f"{folder}/balances")

@@ -38,18 +38,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Payload size of a frame, measured by one aggregate that returns a single row."""
-    width = F.lit(ROW_OVERHEAD_BYTES)
-    for name in df.columns:
-        width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
-    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast when the measured size allows it.
-
-    Beyond the limit the frame is returned without a hint: Spark then shuffles both sides, and adaptive execution
-    splits the hot partitions of the larger one.
+def measured_bytes(*frames: DataFrame) -> list[int]:
+    """Payload size of each frame, measured by one job that returns a single row per frame."""
+    sizes = None
+    for position, df in enumerate(frames):
+        width = F.lit(ROW_OVERHEAD_BYTES)
+        for name in df.columns:
+            width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+        total = F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+        size = df.agg(total).select(F.lit(position).alias("position"), "bytes")
+        sizes = size if sizes is None else sizes.unionByName(size)
+    return [row["bytes"] for row in sorted(sizes.collect())]
+
+
+def broadcast_if_small(*frames: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> list[DataFrame]:
+    """Hint a broadcast of every frame whose measured size allows it.
+
+    Beyond the limit a frame is returned without a hint: Spark then shuffles both sides of its join, and adaptive
+    execution splits the hot partitions of the larger one.
     """
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    sizes = measured_bytes(*frames)
+    return [F.broadcast(df) if size <= limit else df for df, size in zip(frames, sizes, strict=True)]

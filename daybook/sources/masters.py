@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -41,6 +40,10 @@ def cgl_keys(cgls: DataFrame, active_only: bool = True) -> DataFrame:
     return rows.select(F.col("CGL_NUMBER").alias("CGL")).distinct()
 
 
+def circle_keys(circles: DataFrame) -> DataFrame:
+    return circles.filter(F.col("BRANCH_CODE").isNotNull()).select("BRANCH_CODE").distinct()
+
+
 def flagged_cgls(cgls: DataFrame, flag: str) -> DataFrame:
     """Accounts whose flag (BAL_COMPARE, BAL_FWD) is 1; codes trimmed by the join that uses them."""
     return cgls.filter(F.col(flag) == 1).select(F.col("CGL_NUMBER").alias("CGL")).distinct()
@@ -51,12 +54,10 @@ def load_masters(
     currencies: DataFrame,
     cgls: DataFrame,
     active_only: bool = True,
-    hint: Callable[[DataFrame], DataFrame] = broadcast_if_small,
 ) -> Masters:
-    """The masters of the ledger balance. ``hint`` measures each of them once and decides on its broadcast."""
+    """The masters of the ledger balance, measured by one small job that decides on their broadcast."""
     return Masters(
-        branches=hint(branch_keys(branches)),
-        currencies=hint(currency_keys(currencies)),
-        rates=hint(currency_rates(currencies)),
-        cgls=hint(cgl_keys(cgls, active_only)),
+        *broadcast_if_small(
+            branch_keys(branches), currency_keys(currencies), currency_rates(currencies), cgl_keys(cgls, active_only)
+        )
     )

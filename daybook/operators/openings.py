@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from daybook.functions import MONEY, compose_glcc, is_year_end
 from daybook.functions.amounts import HOME_CURRENCY
-from daybook.operators.lookups import keep_known, keep_known_trimmed
-from daybook.operators.transfers import INCOME_EXPENSE_PATTERN, PROFIT_CGL
+from daybook.operators.lookups import flag_known, keep_known_trimmed
+from daybook.operators.transfers import PROFIT_CGL, is_income_expense
 
 # Fixed values.
 OPENING_COLUMNS = ("CGL", "CURRENCY", "BRANCH_CODE", "BALANCE_DATE", "BALANCE", "INR_BALANCE")
@@ -41,15 +41,14 @@ def year_end_forward(opening: DataFrame, forward_cgls: DataFrame, circle_branche
     """Year-end rules on re-dated closing rows.
 
     Only accounts marked for forwarding stay. Of the income and expense accounts only foreign rows stay, each with an
-    offset row; the profit account stays at circle branches only.
+    offset row; the profit account stays at circle branches only. The rows are read twice, each time under a pushed
+    filter, and only the foreign income and expense rows are shuffled.
     """
     kept = keep_known_trimmed(opening, forward_cgls, "CGL", "CGL").select(*OPENING_COLUMNS)
-    income_expense = F.col("CGL").rlike(INCOME_EXPENSE_PATTERN)
-    profit = F.col("CGL") == PROFIT_CGL
-    foreign = kept.filter(income_expense & (F.trim(F.col("CURRENCY")) != HOME_CURRENCY)).distinct()
-    at_circles = keep_known(kept.filter(profit), circle_branches, "BRANCH_CODE").select(*OPENING_COLUMNS)
-    others = kept.filter(~income_expense & ~profit)
-    return with_offsets(foreign).unionByName(at_circles).unionByName(others)
+    foreign = kept.filter(is_income_expense() & (F.trim(F.col("CURRENCY")) != HOME_CURRENCY)).distinct()
+    flagged = flag_known(kept.filter(~is_income_expense()), circle_branches, "BRANCH_CODE", "IS_CIRCLE")
+    others = flagged.filter((F.col("CGL") != PROFIT_CGL) | F.col("IS_CIRCLE").isNotNull()).select(*OPENING_COLUMNS)
+    return with_offsets(foreign).unionByName(others)
 
 
 def year_is_active(calendar: DataFrame) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import MONEY, compose_glcc, split_glcc
@@ -16,7 +16,7 @@ TRANSFER_CGL = "1106505001"
 TRANSFER_CURRENCY = "INR"
 TRANSFER_FLAG = "T"
 TRANSFER_NARRATION = "P and L Transfer - "
-INCOME_EXPENSE_PATTERN = "^[78]"
+INCOME_EXPENSE_PREFIXES = ("7", "8")
 # (branch that posts, account, sign of the branch balance in the posting)
 TRANSFER_LEGS = (
     ("BRANCH_CODE", PROFIT_CGL, -1),
@@ -40,6 +40,12 @@ TRANSFER_COLUMNS = (
 )
 
 
+def is_income_expense() -> Column:
+    """Whether CGL is an income or expense account; written as prefixes, which Spark pushes into the parquet scan."""
+    income, expense = (F.startswith(F.col("CGL"), F.lit(prefix)) for prefix in INCOME_EXPENSE_PREFIXES)
+    return income | expense
+
+
 def latest_income_expense(balances: DataFrame) -> DataFrame:
     """Income and expense balances of the latest date, in the home currency.
 
@@ -48,7 +54,7 @@ def latest_income_expense(balances: DataFrame) -> DataFrame:
     """
     latest = balances.agg(F.max("BALANCE_DATE")).scalar()
     rows = balances.filter(F.col("BALANCE_DATE") == latest)
-    return rows.filter(F.col("CGL").rlike(INCOME_EXPENSE_PATTERN)).select(
+    return rows.filter(is_income_expense()).select(
         compose_glcc().alias("GLCC"),
         F.col("INR_BALANCE").cast(MONEY).alias("BALANCE"),
         "BALANCE_DATE",
@@ -70,17 +76,15 @@ def circle_assignment(branches: DataFrame, circles: DataFrame) -> DataFrame:
     return branch_circles(ordinary, circles)
 
 
-def branch_profit(balances: DataFrame, assignment: DataFrame) -> DataFrame:
-    """Profit or loss per assigned branch.
+def branch_totals(balances: DataFrame) -> DataFrame:
+    """Profit or loss per branch. From here on there is one row per branch, whatever the number of balances."""
+    keyed = balances.select(split_glcc("GLCC")["BRANCH_CODE"].alias("BRANCH_CODE"), "BALANCE")
+    return keyed.groupBy("BRANCH_CODE").agg(F.sum("BALANCE").alias("BALANCE"))
 
-    Balances are summed per branch first, so the join sees one row per branch whatever the number of balances.
-    """
-    per_branch = (
-        balances.select(split_glcc("GLCC")["BRANCH_CODE"].alias("BRANCH_CODE"), "BALANCE")
-        .groupBy("BRANCH_CODE")
-        .agg(F.sum("BALANCE").alias("BALANCE"))
-    )
-    assigned = per_branch.join(assignment.filter(F.col("CIRCLE_CODE").isNotNull()), "BRANCH_CODE")
+
+def branch_profit(totals: DataFrame, assignment: DataFrame) -> DataFrame:
+    """Profit or loss of the branches that have a circle."""
+    assigned = totals.join(assignment.filter(F.col("CIRCLE_CODE").isNotNull()), "BRANCH_CODE")
     return assigned.select("BRANCH_CODE", "CIRCLE_CODE", "BALANCE")
 
 

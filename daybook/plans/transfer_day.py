@@ -29,8 +29,9 @@ def pl_transfer(
     hold=lambda df: df,
 ) -> TransferResult:
     """Income and expense balances (GLCC, BALANCE) to transfer postings, new balances and the report per branch."""
-    ordinary = tr.branch_profit(balances, tr.circle_assignment(branches, circles))
-    own = tr.branch_profit(balances, circles.select("BRANCH_CODE", "CIRCLE_CODE"))
+    totals = hold(tr.branch_totals(balances))
+    ordinary = tr.branch_profit(totals, tr.circle_assignment(branches, circles))
+    own = tr.branch_profit(totals, circles.select("BRANCH_CODE", "CIRCLE_CODE"))
     postings = hold(tr.transfer_postings(ordinary, day, batch_id, journal_id))
     moved = hold(tr.transfer_balances(postings, own, day))
     return TransferResult(postings, moved, tr.transfer_report(moved, tr.branch_circles(branches, circles)))

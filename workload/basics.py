@@ -174,10 +174,14 @@ def count_full_outer_jon04(i: Inputs) -> DataFrame:
     return rc.compare_counts(i("control_file"), rc.file_row_counts(i("ledger_raw")))
 
 
+def profit_totals(i: Inputs) -> DataFrame:
+    return tr.branch_totals(tr.latest_income_expense(i("balance_table")))
+
+
 @query("select BRANCH_CODE, CIRCLE_CODE, BALANCE from o_circle_profit")
 def inner_by_not_null_jon05(i: Inputs) -> DataFrame:
     circles = i("circle_master").select("BRANCH_CODE", "CIRCLE_CODE")
-    return money(tr.branch_profit(tr.latest_income_expense(i("balance_table")), circles), "BALANCE")
+    return money(tr.branch_profit(profit_totals(i), circles), "BALANCE")
 
 
 @query("""
@@ -277,7 +281,7 @@ def file_row_count_agg06(i: Inputs) -> DataFrame:
 @query("select BRANCH_CODE, CIRCLE_CODE, BALANCE from o_profit")
 def branch_pl_sum_agg07(i: Inputs) -> DataFrame:
     assignment = tr.circle_assignment(i("branch_master"), i("circle_master"))
-    return money(tr.branch_profit(tr.latest_income_expense(i("balance_table")), assignment), "BALANCE")
+    return money(tr.branch_profit(profit_totals(i), assignment), "BALANCE")
 
 
 HEAD_COUNTS = """

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,7 +33,7 @@ def padded(number: str, width: int) -> str:
 
 def overpunched(amount: str) -> str:
     """17 characters in thousandths; lines of status F are negative."""
-    digits = padded(f"cast(round({amount}*1000) as bigint)", 17)
+    digits = padded(f"cast(floor({amount}*1000+0.5) as bigint)", 17)
     last = f"substring({digits},17,1)"
     marked = f"case when l_linestatus='F' then translate({last},'0123456789','pqrstuvwxy') else {last} end"
     return f"concat(substring({digits},1,16),{marked})"
@@ -40,7 +41,7 @@ def overpunched(amount: str) -> str:
 
 def signed_text(amount: str) -> str:
     """17 characters with two decimals and a trailing sign; lines of status F are negative."""
-    digits = padded(f"cast(round({amount}*100) as bigint)", 15)
+    digits = padded(f"cast(floor({amount}*100+0.5) as bigint)", 15)
     sign = "case when l_linestatus='F' then '-' else '+' end"
     return f"concat(substring({digits},1,13),'.',substring({digits},14,2),{sign})"
 
@@ -322,7 +323,21 @@ def with_views(body: str, dialect: str = "duckdb", tables: dict[str, str] | None
     return statement.replace("{serial}", SERIAL[dialect])
 
 
+@lru_cache
+def base_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A given table, resolved once per session.
+
+    A table whose few files hold fewer row groups than there are cores is spread over the cores, since all inputs are
+    derived from it. Large tables come in more splits than cores and are left as they are.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, *df.columns[:2]) if 1 < df.rdd.getNumPartitions() < cores else df
+
+
+@lru_cache
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """An input view as a lazy frame over the parquet tables of a directory."""
-    tables = {t: f"select * from parquet.`{sf_dir}/{t}.parquet`" for t in BASE_TABLES}
-    return spark.sql(with_views(f"select * from {name}", "spark", tables))
+    sql = with_views(f"select * from {name}", "spark", {t: f"select * from {{{t}}}" for t in BASE_TABLES})
+    used = {t: base_table(spark, sf_dir, t) for t in BASE_TABLES if f"{{{t}}}" in sql}
+    return spark.sql(sql, **used)

@@ -26,7 +26,7 @@ class Inputs:
         return fixtures.view(self.spark, self.sf_dir, name)
 
     def base(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return fixtures.base_table(self.spark, self.sf_dir, table)
 
     def lines(self) -> DataFrame:
         """Ledger lines of the files that count, decoded by this package."""

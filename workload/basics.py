@@ -115,7 +115,7 @@ def null_literal_prj10(i: Inputs) -> DataFrame:
       then 'income or expense' else 'other' end KIND from closing_balance""")
 def regex_prefix_filter_prj11(i: Inputs) -> DataFrame:
     memo = F.startswith(F.col("CGL"), F.lit(val.MEMO_PREFIX))
-    kind = F.when(memo, "memo").when(F.col("CGL").rlike(tr.INCOME_EXPENSE_PATTERN), "income or expense")
+    kind = F.when(memo, "memo").when(F.col("CGL").rlike("^[78]"), "income or expense")
     return i("closing_balance").select("CGL", "CURRENCY", "BRANCH_CODE", kind.otherwise("other").alias("KIND"))
 
 

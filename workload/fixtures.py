@@ -124,7 +124,7 @@ VIEWS = {
         select FILE_NAME,
           cast(count(*) + (case when FILE_NAME='GLIFCOR_01012026_B_001' then 1 else 0 end) as bigint) HDFS_ROW_COUNT
         from ledger_raw where FILE_NAME <> 'glifprb_01012026_C_001' group by FILE_NAME
-        union all select 'GLIFCOR_01012026_Z_001', cast(10 as bigint)""",
+        union all select concat(substring(min(FILE_NAME),1,17),'Z_001'), cast(10 as bigint) from ledger_raw""",
     # The control table of two dates, with the status columns.
     "control_table": """
         select FILE_NAME, HDFS_ROW_COUNT, date '2001-01-01' ETL_DAY, cast(null as bigint) DATA_LAKE_COUNT,

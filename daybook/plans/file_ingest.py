@@ -58,11 +58,11 @@ def run_ledger_ingest(
     lines = read_lines(spark, path_list(found), partitions)
     lake.overwrite(ledger_rows(lines, layout), table)
     result = counted(read_lake(spark, table), control)
-    report = rowcounts.discrepancy_report(missing, result.status).orderBy("SECTION", "REPORT_LINE")
+    report = rowcounts.discrepancy_report(missing, result.status)
     totals = report.groupBy("SECTION").count().collect()
     sizes = {row["SECTION"]: row["count"] for row in totals}
     name = reports.discrepancy_name(sizes.get(1, 0), sizes.get(2, 0), result.rows.count())
-    reports.write_text(report, f"{report_folder}/{name}")
+    reports.write_text(report, f"{report_folder}/{name}", order=("SECTION", "REPORT_LINE"))
     reports.write_text(rowcounts.row_count_report(result.compared), f"{report_folder}/row_counts")
     return result
 

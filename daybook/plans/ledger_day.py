@@ -14,6 +14,7 @@ from daybook.operators import postings as post
 from daybook.operators.validation import validate
 from daybook.session import checkpointed
 from daybook.sinks import lake, reports
+from daybook.sources.lake import find_slice
 from daybook.sources.masters import Masters
 
 Rule = Callable[[DataFrame], DataFrame]
@@ -114,10 +115,7 @@ def run_ledger_day(
 
 
 def _replace_transactions(spark: SparkSession, posted: DataFrame, path: str, day: dt.date) -> None:
-    from daybook.sources.lake import first_available, read_slice
-
-    present, _ = first_available(
-        spark, [("transactions", lambda: read_slice(spark, path, "TRANSACTION_DATE", day))], posted.schema
-    )
-    kept = lake.purged(present, day).select(*posted.columns)
-    lake.replace_slice(kept.unionByName(posted), path, "TRANSACTION_DATE", day)
+    present = find_slice(spark, path, "TRANSACTION_DATE", day)
+    if present is not None:
+        posted = lake.purged(present, day).select(*posted.columns).unionByName(posted)
+    lake.replace_slice(posted, path, "TRANSACTION_DATE", day)

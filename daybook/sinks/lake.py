@@ -9,11 +9,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.sources.lake import empty_frame, read_lake, read_slice
+from daybook.sources.lake import empty_frame, find_slice
 
 # Postings that a rerun creates again, unlike journals and reversals.
 REGENERATED_FLAGS = ("C", "F", "P", "T", "V")
@@ -64,11 +63,8 @@ def _clear_partition(spark: SparkSession, schema, path: str, column: str, day: d
 
 def delete_slice(spark: SparkSession, path: str, column: str, day: dt.date) -> None:
     """Remove the rows of one date; nothing happens when the table or the date is absent."""
-    try:
-        rows = read_slice(spark, path, column, day)
-    except AnalysisException:
-        return
-    if not rows.isEmpty():
+    rows = find_slice(spark, path, column, day)
+    if rows is not None and not rows.isEmpty():
         _clear_partition(spark, rows.drop(column).schema, path, column, day)
 
 
@@ -99,9 +95,8 @@ def upsert_slice(
     folder and swaps the partition after the last task.
     """
     spark = source.sparkSession
-    try:
-        target = read_slice(spark, path, column, day)
-    except AnalysisException:
+    target = find_slice(spark, path, column, day)
+    if target is None:
         target = empty_frame(spark, source.schema)
     rows = merged_slice(target, source, keys, values).withColumn(column, F.lit(day))
     return replace_slice(rows, path, column, day)
@@ -120,10 +115,7 @@ def purge_rerun(spark: SparkSession, day: dt.date, transactions: str, whole_slic
 
     ``whole_slices`` maps a table path to its date column (balances, quarantined postings, lake balances).
     """
-    try:
-        rows = read_slice(spark, transactions, "TRANSACTION_DATE", day)
-    except AnalysisException:
-        rows = None
+    rows = find_slice(spark, transactions, "TRANSACTION_DATE", day)
     if rows is not None:
         replace_slice(purged(rows, day), transactions, "TRANSACTION_DATE", day)
     for path, column in whole_slices.items():
@@ -134,17 +126,3 @@ def update_control_status(control_path: str, updated: DataFrame, column: str, da
     """Write the control rows of one date back with their counts and status (``rowcounts.apply_status``)."""
     return replace_slice(updated, control_path, column, day)
 
-
-__all__ = [
-    "append",
-    "delete_slice",
-    "merged_slice",
-    "overwrite",
-    "overwrite_files",
-    "purge_rerun",
-    "purged",
-    "read_lake",
-    "replace_slice",
-    "update_control_status",
-    "upsert_slice",
-]

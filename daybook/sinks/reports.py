@@ -7,6 +7,7 @@ reports have at most one row per file. Pass ``files=None`` for reports that grow
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,9 +16,13 @@ def _spread(df: DataFrame, files: int | None) -> DataFrame:
     return df if files is None else df.repartition(files)
 
 
-def write_text(lines: DataFrame, path: str, column: str = "REPORT_LINE", files: int | None = 1) -> None:
-    """Report lines as text."""
-    _spread(lines.select(column), files).write.mode("overwrite").text(path)
+def write_text(
+    lines: DataFrame, path: str, column: str = "REPORT_LINE", files: int | None = 1, order: Sequence[str] = ()
+) -> None:
+    """Report lines as text, each file sorted by ``order``."""
+    spread = _spread(lines, files)
+    ordered = spread.sortWithinPartitions(*order) if order else spread
+    ordered.select(column).write.mode("overwrite").text(path)
 
 
 def write_csv(df: DataFrame, path: str, separator: str = "|", files: int | None = None) -> None:

@@ -7,13 +7,16 @@ import logging
 from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 log = logging.getLogger(__name__)
 
+# Names that Spark gives to reads of a table that is not there.
+ABSENT_CONDITIONS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND")
+
 # Shapes of the frames that stand in for missing sources.
 EMPTY_OPENING = "glcc string, BALANCE decimal(25,4)"
 EMPTY_GL = "GLCC string, GL_BALANCE decimal(25,4)"
@@ -32,6 +35,21 @@ def read_slice(spark: SparkSession, path: str, column: str, day: dt.date) -> Dat
     return read_lake(spark, path).filter(F.col(column) == F.lit(day))
 
 
+def is_absent(error: AnalysisException) -> bool:
+    """Whether a read failed because its table does not exist or has no file yet."""
+    return error.getCondition() in ABSENT_CONDITIONS
+
+
+def find_slice(spark: SparkSession, path: str, column: str, day: dt.date) -> DataFrame | None:
+    """One date of a lake table, or None when there is no such table. Any other failure surfaces."""
+    try:
+        return read_slice(spark, path, column, day)
+    except AnalysisException as error:
+        if is_absent(error):
+            return None
+        raise
+
+
 def empty_frame(spark: SparkSession, schema: str | StructType) -> DataFrame:
     """A typed frame without rows, the identity of a union."""
     return spark.createDataFrame([], schema)
@@ -40,13 +58,18 @@ def empty_frame(spark: SparkSession, schema: str | StructType) -> DataFrame:
 def first_available(
     spark: SparkSession, loaders: Sequence[tuple[str, Callable[[], DataFrame]]], schema: str | StructType
 ) -> tuple[DataFrame, str]:
-    """The first source that can be resolved, with its name; a typed empty frame named ``empty`` when none can.
+    """The first source that exists, with its name; a typed empty frame named ``empty`` when none does.
 
-    Only failures to resolve a source lead on to the next one. Errors in the data surface later, in the action.
+    Only an absent table or a failing database connection leads on to the next source. Wrong columns and errors in the
+    data surface.
     """
     for name, load in loaders:
         try:
             return load(), name
-        except (PySparkException, Py4JJavaError) as error:
-            log.warning("source %s is not available: %s", name, type(error).__name__)
+        except AnalysisException as error:
+            if not is_absent(error):
+                raise
+            log.warning("source %s is absent", name)
+        except Py4JJavaError as error:
+            log.warning("source %s is not available: %s", name, error.java_exception.getClass().getName())
     return empty_frame(spark, schema), "empty"

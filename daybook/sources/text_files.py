@@ -62,7 +62,8 @@ def files_below(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_by_presence(expected: DataFrame, present: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Expected paths that exist, and those that do not."""
+    """Expected paths that exist, and those that do not. ``present`` may repeat a path, once per line for example."""
+    present = present.distinct()
     return expected.join(present, "PATH", "left_semi"), expected.join(present, "PATH", "left_anti")
 
 

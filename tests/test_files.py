@@ -118,7 +118,7 @@ def test_ledger_ingest_end_to_end(spark, tmp_path):
     status = {r["FILE_NAME"]: r["DATA_LAKE_STATUS"] for r in result.status.collect()}
     assert status == {"F_01012026_A_001": "YES", "F_01012026_B_001": None, "F_01012026_C_001": None}
     report = spark.read.text(str(reports / "MissingPath_1_RowDiffCount_2_TotalRows_3.txt")).collect()
-    assert len(report) == 3 and any("F_01012026_C_001.gz" in r[0] for r in report)
+    assert len(report) == 3 and report[0][0].endswith("/C/F_01012026_C_001.gz")
     lines = {r[0] for r in spark.read.text(str(reports / "row_counts")).collect()}
     assert "FILE_NAME=F_01012026_C_001 | CONTROL_COUNT=1 | ACTUAL_COUNT=NULL | DIFFERENCE=NULL" in lines
 

@@ -6,6 +6,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from daybook.session import broadcast_if_small, checkpointed, measured_bytes, new_folder, shared_folder
 from daybook.sinks import jdbc as jdbc_sink
@@ -119,6 +120,14 @@ def test_first_available_source(spark, tmp_path):
     assert name == "empty" and rows.isEmpty() and rows.dtypes[1] == ("GL_BALANCE", "decimal(25,4)")
 
 
+def test_only_absent_sources_are_passed_over(spark, table):
+    wrong_column = ("lake", lambda: read_slice(spark, table, "NO_SUCH_COLUMN", D1))
+    with pytest.raises(AnalysisException):
+        first_available(spark, [wrong_column], EMPTY_GL)
+    with pytest.raises(AnalysisException):
+        lake.delete_slice(spark, table, "NO_SUCH_COLUMN", D1)
+
+
 def test_empty_frame_is_the_identity_of_a_union(spark):
     df = frame(spark, ("a", 1, D1))
     assert df.unionByName(empty_frame(spark, df.schema)).collect() == df.collect()

@@ -42,20 +42,22 @@ def measured_bytes(*frames: DataFrame) -> list[int]:
     """Payload size of each frame, measured by one job that returns a single row per frame."""
     sizes = None
     for position, df in enumerate(frames):
-        width = F.lit(ROW_OVERHEAD_BYTES)
-        for name in df.columns:
-            width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
-        total = F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
-        size = df.agg(total).select(F.lit(position).alias("position"), "bytes")
-        sizes = size if sizes is None else sizes.unionByName(size)
+        payload = ", ".join(f"`{name}`" for name in df.columns)
+        row_bytes = f"{ROW_OVERHEAD_BYTES} + octet_length(concat_ws('', {payload}))"
+        size = df.selectExpr(f"{position} AS position", f"coalesce(sum({row_bytes}), 0) AS bytes")
+        sizes = size if sizes is None else sizes.union(size)
     return [row["bytes"] for row in sorted(sizes.collect())]
 
 
-def broadcast_if_small(*frames: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> list[DataFrame]:
-    """Hint a broadcast of every frame whose measured size allows it.
+def hinted(df: DataFrame, size: int, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Hint a broadcast of a frame of at most ``size`` bytes when that is within the limit.
 
-    Beyond the limit a frame is returned without a hint: Spark then shuffles both sides of its join, and adaptive
+    Beyond the limit the frame is returned without a hint: Spark then shuffles both sides of its join, and adaptive
     execution splits the hot partitions of the larger one.
     """
-    sizes = measured_bytes(*frames)
-    return [F.broadcast(df) if size <= limit else df for df, size in zip(frames, sizes, strict=True)]
+    return F.broadcast(df) if size <= limit else df
+
+
+def broadcast_if_small(*frames: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> list[DataFrame]:
+    """Measure the frames in one job and hint a broadcast of those that are small enough."""
+    return [hinted(df, size, limit) for df, size in zip(frames, measured_bytes(*frames), strict=True)]

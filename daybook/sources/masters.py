@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.session import broadcast_if_small
+from daybook.session import hinted, measured_bytes
 
 # Fixed value: status of an account in use.
 ACTIVE_STATUS = "1"
@@ -35,9 +35,8 @@ def currency_rates(currencies: DataFrame) -> DataFrame:
     return currencies.groupBy("CURRENCY_CODE").agg(F.max("CURRENCY_RATE").alias("CURRENCY_RATE"))
 
 
-def cgl_keys(cgls: DataFrame, active_only: bool = True) -> DataFrame:
-    rows = cgls.filter(F.col("STATUS") == ACTIVE_STATUS) if active_only else cgls
-    return rows.select(F.col("CGL_NUMBER").alias("CGL")).distinct()
+def cgl_keys(cgls: DataFrame) -> DataFrame:
+    return cgls.select(F.col("CGL_NUMBER").alias("CGL")).distinct()
 
 
 def circle_keys(circles: DataFrame) -> DataFrame:
@@ -46,7 +45,7 @@ def circle_keys(circles: DataFrame) -> DataFrame:
 
 def flagged_cgls(cgls: DataFrame, flag: str) -> DataFrame:
     """Accounts whose flag (BAL_COMPARE, BAL_FWD) is 1; codes trimmed by the join that uses them."""
-    return cgls.filter(F.col(flag) == 1).select(F.col("CGL_NUMBER").alias("CGL")).distinct()
+    return cgl_keys(cgls.filter(F.col(flag) == 1))
 
 
 def load_masters(
@@ -55,9 +54,18 @@ def load_masters(
     cgls: DataFrame,
     active_only: bool = True,
 ) -> Masters:
-    """The masters of the ledger balance, measured by one small job that decides on their broadcast."""
+    """The masters of the ledger balance, measured by one small job that decides on their broadcast.
+
+    Measured are the rows before they are made unique: that bounds the size from above and takes no shuffle.
+    """
+    active = cgls.filter(F.col("STATUS") == ACTIVE_STATUS) if active_only else cgls
+    sizes = measured_bytes(
+        branches.select("CODE"), currencies.select("CURRENCY_CODE", "CURRENCY_RATE"), active.select("CGL_NUMBER")
+    )
+    of_branches, of_currencies, of_cgls = sizes
     return Masters(
-        *broadcast_if_small(
-            branch_keys(branches), currency_keys(currencies), currency_rates(currencies), cgl_keys(cgls, active_only)
-        )
+        branches=hinted(branch_keys(branches), of_branches),
+        currencies=hinted(currency_keys(currencies), of_currencies),
+        rates=hinted(currency_rates(currencies), of_currencies),
+        cgls=hinted(cgl_keys(active), of_cgls),
     )

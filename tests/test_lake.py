@@ -177,9 +177,9 @@ def test_only_measured_frames_are_broadcast(spark):
     small, large = spark.range(10).selectExpr("id as k"), spark.range(10_000).selectExpr("id as k")
     sizes = measured_bytes(small, large)
     assert sizes[0] < 1000 < sizes[1]
-    hinted, plain = broadcast_if_small(small, large, limit=1000)
+    marked, plain = broadcast_if_small(small, large, limit=1000)
 
     def hint(df):
         return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
 
-    assert hint(hinted) and not hint(plain)
+    assert hint(marked) and not hint(plain)

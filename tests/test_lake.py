@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -154,11 +155,35 @@ def test_step_log(spark, tmp_path):
     assert latest == {"read": 2, "write": 3}
 
 
-def test_database_options_come_from_the_caller():
-    connection = {"url": "jdbc:x", "user": "u", "driver": "d"}
-    options = jdbc.query_options(connection, "select 1", jdbc.Parallel("id", 0, 10, 4))
+CONNECTION = {"url": "jdbc:x", "user": "u", "driver": "d"}
+
+
+def test_database_reads_use_the_options_of_the_caller():
+    """No database may run here, so the reader is a stand-in that records how it is called."""
+    options = jdbc.query_options(CONNECTION, "select 1", jdbc.Parallel("id", 0, 10, 4))
     assert options["dbtable"] == "(select 1) t" and options["numPartitions"] == "4" and options["url"] == "jdbc:x"
-    assert jdbc_sink.append_table and jdbc_sink.overwrite_table
+    session = MagicMock()
+    reader = session.read.format.return_value
+    jdbc.read_query(session, CONNECTION, "select 1")
+    session.read.format.assert_called_with("jdbc")
+    assert reader.options.call_args.kwargs["dbtable"] == "(select 1) t"
+    where = object()
+    jdbc.read_table(session, CONNECTION, "T", ["A", "B"], where)
+    assert reader.options.call_args.kwargs["dbtable"] == "T"
+    rows = reader.options.return_value.load.return_value
+    rows.filter.assert_called_with(where)
+    rows.filter.return_value.select.assert_called_with("A", "B")
+
+
+def test_database_writes_use_the_options_of_the_caller():
+    df = MagicMock()
+    writer = df.write.format.return_value.options.return_value.option.return_value.option.return_value
+    jdbc_sink.append_table(df, CONNECTION, "T")
+    df.write.format.return_value.options.assert_called_with(**CONNECTION)
+    writer.mode.assert_called_with("append")
+    jdbc_sink.overwrite_table(df, CONNECTION, "T")
+    writer.mode.assert_called_with("overwrite")
+    writer.mode.return_value.option.assert_called_with("truncate", "true")
 
 
 def test_shared_folder_is_read_from_the_session(spark):

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from daybook.llm import decontamination, exact_dedup, language_id, line_dedup, mixing, quality, token_counts, token_files  # noqa: F401
+from daybook.llm import decontamination, exact_dedup, jaccard_join, language_id, line_dedup, mixing, quality, token_counts, token_files  # noqa: F401
 from daybook.llm.registry import ORACLES as CORPUS_ORACLES  # noqa: F401
 from daybook.llm.registry import QUERIES as CORPUS_QUERIES  # noqa: F401

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL."""
+"""Every registered query of the ledger against its SQL."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entries
 from check_oracles import compare, database
+from workload.registry import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -18,7 +19,7 @@ def connection():
 FOREIGN_TO_PLANS = ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(entries.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, connection, name):
     df = entries.queries()[name](spark, SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -135,7 +135,7 @@ def mix_plan(
     totals = sized.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
     if len(totals) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
-    words = {row.source: row.words for row in totals}
+    words = {row.source: row.words for row in sorted(totals, key=lambda row: (row.source is None, row.source or ""))}
     target = targets(words, weights, most)
     epochs = {name: int(target[name] // words[name]) if words[name] else 0 for name in words}
     need = [(name, float(target[name] - epochs[name] * words[name])) for name in words if words[name]]

@@ -67,13 +67,14 @@ def signed_union(gl: DataFrame, cbs: DataFrame) -> DataFrame:
     return (
         ours.unionByName(theirs)
         .groupBy("GLCC")
-        .agg(F.sum("cbs_balance").alias("cbs_balance"), F.sum("gl_balance").alias("gl_balance"))
+        .agg(*[F.sum(side).cast(MONEY).alias(side) for side in ("cbs_balance", "gl_balance")])
     )
 
 
 def balance_difference(gl: DataFrame, cbs: DataFrame) -> DataFrame:
     """Keys on which the two sources disagree, with today's difference."""
-    compared = signed_union(gl, cbs).withColumn("today_difference", F.col("cbs_balance") - F.col("gl_balance"))
+    difference = (F.col("cbs_balance") - F.col("gl_balance")).cast(MONEY)
+    compared = signed_union(gl, cbs).withColumn("today_difference", difference)
     return compared.filter(F.col("today_difference") != 0)
 
 

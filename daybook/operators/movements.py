@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import (
+    MONEY,
     compose_glcc,
     decode_overpunch,
     effective_amount,
@@ -58,9 +59,9 @@ def ledger_amounts(
 
 
 def split_signed(lines: DataFrame, amount: str = "AMT", positive_side: str = "CREDIT") -> DataFrame:
-    """Add the credit and debit side of a signed amount."""
+    """Add the credit and debit side of a signed amount, in the stored type of money."""
     above, below = SIDES[positive_side]
-    return lines.withColumns({above: positive_part(amount), below: negative_part(amount)})
+    return lines.withColumns({above: positive_part(amount).cast(MONEY), below: negative_part(amount).cast(MONEY)})
 
 
 def key_totals(lines: DataFrame, amount: str = "AMT", positive_side: str = "CREDIT") -> DataFrame:
@@ -71,8 +72,8 @@ def key_totals(lines: DataFrame, amount: str = "AMT", positive_side: str = "CRED
     """
     keyed = split_signed(lines.select(compose_glcc().alias("GLCC"), amount), amount, positive_side)
     return keyed.groupBy("GLCC").agg(
-        F.sum("CREDIT_AMOUNT").alias("CREDIT_AMOUNT"),
-        F.sum("DEBIT_AMOUNT").alias("DEBIT_AMOUNT"),
+        F.sum("CREDIT_AMOUNT").cast(MONEY).alias("CREDIT_AMOUNT"),
+        F.sum("DEBIT_AMOUNT").cast(MONEY).alias("DEBIT_AMOUNT"),
         F.count(F.lit(1)).alias("TRANSACTION_COUNT"),
     )
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions import MONEY
 from daybook.operators.movements import POSTING_COLUMNS
 from daybook.operators.validation import MEMO_CGL, MEMO_PREFIX, SUSPENSE_CGL
 
@@ -16,7 +17,9 @@ CARRIED_FLAGS = ("J", "R")
 
 
 def _sums() -> list[Column]:
-    return [F.sum(c).alias(c) for c in ("CREDIT_AMOUNT", "DEBIT_AMOUNT", "TRANSACTION_COUNT")]
+    """Sums of a group, money in its stored type."""
+    amounts = [F.sum(c).cast(MONEY).alias(c) for c in ("CREDIT_AMOUNT", "DEBIT_AMOUNT")]
+    return [*amounts, F.sum("TRANSACTION_COUNT").alias("TRANSACTION_COUNT")]
 
 
 def _texts() -> list[Column]:
@@ -30,7 +33,7 @@ def bucket() -> Column:
 
 
 def net() -> Column:
-    return F.col("CREDIT_AMOUNT") + F.col("DEBIT_AMOUNT")
+    return (F.col("CREDIT_AMOUNT") + F.col("DEBIT_AMOUNT")).cast(MONEY)
 
 
 def consolidate(postings: DataFrame) -> DataFrame:
@@ -53,7 +56,7 @@ def bucket_net(postings: DataFrame) -> DataFrame:
 
 def _counter_sides() -> dict[str, Column]:
     """The two sides of the entry that brings NET to zero."""
-    zero = F.lit(0)
+    zero = F.lit(0).cast(MONEY)
     return {
         "CREDIT_AMOUNT": F.when(F.col("NET") < 0, -F.col("NET")).otherwise(zero),
         "DEBIT_AMOUNT": F.when(F.col("NET") > 0, -F.col("NET")).otherwise(zero),

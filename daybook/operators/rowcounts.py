@@ -83,11 +83,15 @@ def discrepancy_report(missing: DataFrame, status: DataFrame) -> DataFrame:
 
 
 def apply_status(control: DataFrame, status: DataFrame) -> DataFrame:
-    """Control table with the counts and status of its matched files filled in; other rows stay as they are."""
-    found = matched_files(status).select(
-        "FILE_NAME", F.col("DATA_LAKE_COUNT").alias("_COUNT"), F.col("DATA_LAKE_STATUS").alias("_STATUS")
+    """Control table with the counts and status of its matched files filled in; other rows stay as they are.
+
+    A file that the control table names twice gets no further rows: each control row takes the status of its own count.
+    """
+    found = matched_files(status).groupBy("FILE_NAME", F.col("HDFS_ROW_COUNT").alias("_EXPECTED")).agg(
+        F.max("DATA_LAKE_COUNT").alias("_COUNT"), F.max("DATA_LAKE_STATUS").alias("_STATUS")
     )
-    updated = control.join(found, "FILE_NAME", "left").withColumns(
+    same = (control["FILE_NAME"] == found["FILE_NAME"]) & (control["HDFS_ROW_COUNT"] == found["_EXPECTED"])
+    updated = control.join(found, same, "left").drop(found["FILE_NAME"]).withColumns(
         {
             "DATA_LAKE_COUNT": F.coalesce(F.col("_COUNT"), F.col("DATA_LAKE_COUNT")),
             "DATA_LAKE_STATUS": F.coalesce(F.col("_STATUS"), F.col("DATA_LAKE_STATUS")),

@@ -79,7 +79,7 @@ def circle_assignment(branches: DataFrame, circles: DataFrame) -> DataFrame:
 def branch_totals(balances: DataFrame) -> DataFrame:
     """Profit or loss per branch. From here on there is one row per branch, whatever the number of balances."""
     keyed = balances.select(split_glcc("GLCC")["BRANCH_CODE"].alias("BRANCH_CODE"), "BALANCE")
-    return keyed.groupBy("BRANCH_CODE").agg(F.sum("BALANCE").alias("BALANCE"))
+    return keyed.groupBy("BRANCH_CODE").agg(F.sum("BALANCE").cast(MONEY).alias("BALANCE"))
 
 
 def branch_profit(totals: DataFrame, assignment: DataFrame) -> DataFrame:
@@ -94,8 +94,8 @@ def transfer_postings(
     """Four postings per branch that move its profit or loss to the circle branch; a narrow explode, no shuffle."""
     legs = []
     for branch, cgl, sign in TRANSFER_LEGS:
-        amount = F.col("BALANCE") if sign > 0 else -F.col("BALANCE")
-        zero = F.lit(0)
+        amount = (F.col("BALANCE") if sign > 0 else -F.col("BALANCE")).cast(MONEY)
+        zero = F.lit(0).cast(MONEY)
         legs.append(
             F.struct(
                 F.col(branch).cast("string").alias("BRANCH_CODE"),

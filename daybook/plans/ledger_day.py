@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daybook.functions import is_month_end
 from daybook.operators import balances as bal
 from daybook.operators import movements as mov
 from daybook.operators import postings as post
@@ -73,7 +74,7 @@ def ledger_balance(
     closing = bal.carry_forward(bal.movement_balances(moved), opening, run.day)
 
     month_end = None
-    if run.month_end_rule is not None:
+    if run.month_end_rule is not None and is_month_end(run.day):
         closing = hold(closing)
         month_end = post.stamp_postings(run.month_end_rule(closing), run.journal_id, run.batch_id)
     closing = bal.apply_month_end(closing, month_end, run.day)

@@ -30,12 +30,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Compute a frame once into the shared folder, so that several sinks reuse it and lost executors do no harm."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Compute a frame once into the shared folder, so that several sinks reuse it and lost executors do no harm.
+
+    It is stored as parquet, so later readers take the columns and rows that they need. The folder is the caller's or
+    the cluster's to clear once the run is over.
+    """
+    folder = new_folder(df.sparkSession, "held")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def measured_bytes(*frames: DataFrame) -> list[int]:

@@ -9,10 +9,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.sources.lake import empty_frame, find_slice
+from daybook.sources.lake import empty_frame, find_slice, is_absent, read_lake
 
 # Postings that a rerun creates again, unlike journals and reversals.
 REGENERATED_FLAGS = ("C", "F", "P", "T", "V")
@@ -23,9 +24,14 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
-def overwrite_files(df: DataFrame, path: str, files: int) -> None:
-    """Replace a whole table and its schema, in at most ``files`` files."""
-    overwrite(df.coalesce(files), path)
+def overwrite_files(df: DataFrame, path: str, rows_per_file: int) -> None:
+    """Replace a whole table and its schema in files of even size, none of more than ``rows_per_file`` rows.
+
+    The rows are rebalanced just before the write, into as many parts as their size asks for; what comes before keeps
+    its own number of tasks.
+    """
+    even = df.hint("rebalance").write.option("maxRecordsPerFile", str(rows_per_file))
+    even.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -39,12 +45,30 @@ def _checked(df: DataFrame, column: str, day: dt.date) -> DataFrame:
     return df.filter(F.coalesce(F.assert_true(same, f"{column} is not {day}").cast("boolean"), F.lit(True)))
 
 
+def _same_types(df: DataFrame, path: str, column: str) -> None:
+    """Refuse rows that would leave a table with slices of two shapes, which can't be read together."""
+    try:
+        present = read_lake(df.sparkSession, path).schema
+    except AnalysisException as error:
+        if is_absent(error):
+            return
+        raise
+    kinds = {field.name: field.dataType for field in df.schema.fields}
+    for field in present.fields:
+        if field.name != column and kinds.get(field.name) != field.dataType:
+            found = kinds[field.name].simpleString() if field.name in kinds else "no such column"
+            raise ValueError(f"{path}: {field.name} is {field.dataType.simpleString()}, the new rows have {found}")
+
+
 def replace_slice(df: DataFrame, path: str, column: str, day: dt.date) -> int:
     """Replace the rows of one date and return their number; an empty frame empties the date.
 
+    Rows without a column of the table, or with another type of it, are refused before anything is written.
+
     The row count is observed during the write, so an empty frame costs no second pass. The date is put on last, as a
     constant, which spares the sort by partition that a partitioned write would need.
     """
+    _same_types(df, path, column)
     written = Observation()
     counted = _checked(df, column, day).observe(written, F.count(F.lit(1)).alias("rows"))
     dated = counted.withColumn(column, F.lit(day))

@@ -19,7 +19,7 @@ from daybook.operators import validation as val
 from daybook.session import broadcast_if_small
 from daybook.sources import masters as ms
 from workload.fixtures import DAY, KEY, MILLIS, MONEY, POSTING, POSTING_SUMS
-from workload.registry import Inputs, money, posting_money, query
+from workload.registry import Inputs, query
 
 KEY_LAYOUT = parse.layout_fields(
     {"COLUMN_NAME": name, "START_POSITION": start, "END_POSITION": end, "TO_BE_INCLUDED": include}
@@ -83,7 +83,7 @@ def glcc_compose_split_prj05(i: Inputs) -> DataFrame:
 
 @query("select *, date '2001-01-01' TRANSACTION_DATE from o_postings")
 def constant_columns_prj06(i: Inputs) -> DataFrame:
-    return posting_money(post.dated(i.postings(), DAY))
+    return post.dated(i.postings(), DAY)
 
 
 @query(f"""
@@ -91,7 +91,7 @@ def constant_columns_prj06(i: Inputs) -> DataFrame:
       cast(case when AMT < 0 then AMT else 0 end as {MONEY}) DEBIT_AMOUNT from ledger
     where lower(FILE_NAME) not like 'glifpri%' and lower(FILE_NAME) not like 'glifprb%'""")
 def split_signed_prj07(i: Inputs) -> DataFrame:
-    return posting_money(mov.split_signed(i.lines())).select("l_orderkey", "CREDIT_AMOUNT", "DEBIT_AMOUNT")
+    return mov.split_signed(i.lines()).select("l_orderkey", "CREDIT_AMOUNT", "DEBIT_AMOUNT")
 
 
 @query(f"select {POSTING} from posted_table")
@@ -136,7 +136,7 @@ def null_test_prj13(i: Inputs) -> DataFrame:
 @query("select * from o_difference")
 def nonzero_filter_prj14(i: Inputs) -> DataFrame:
     rows = diff.balance_difference(i("gl_side"), i("cbs_side"))
-    return money(rows, "cbs_balance", "gl_balance", "today_difference")
+    return rows
 
 
 @query(f"""
@@ -149,7 +149,7 @@ def fixed_position_project_prj15(i: Inputs) -> DataFrame:
 @query("select p.*, case when CODE is not null then 1 end KNOWN_BRANCH from o_postings p "
        "left join (select distinct CODE from branch_master) b on CODE = BRANCH_CODE")
 def master_validation_left_jon01(i: Inputs) -> DataFrame:
-    return posting_money(lk.flag_known(i.postings(), i.masters().branches, "BRANCH_CODE", "KNOWN_BRANCH"))
+    return lk.flag_known(i.postings(), i.masters().branches, "BRANCH_CODE", "KNOWN_BRANCH")
 
 
 @query("""
@@ -163,7 +163,7 @@ def rate_lookup_left_jon02(i: Inputs) -> DataFrame:
 def previous_state_left_jon03(i: Inputs) -> DataFrame:
     today = diff.balance_difference(i("gl_side"), i("cbs_side"))
     rows = diff.classify_change(today, i("previous_difference"), DAY)
-    return money(rows, "gl_balance", "cbs_balance", "DIFFERENCE_AMOUNT")
+    return rows
 
 
 @query("""
@@ -181,7 +181,7 @@ def profit_totals(i: Inputs) -> DataFrame:
 @query("select BRANCH_CODE, CIRCLE_CODE, BALANCE from o_circle_profit")
 def inner_by_not_null_jon05(i: Inputs) -> DataFrame:
     circles = i("circle_master").select("BRANCH_CODE", "CIRCLE_CODE")
-    return money(tr.branch_profit(profit_totals(i), circles), "BALANCE")
+    return tr.branch_profit(profit_totals(i), circles)
 
 
 @query("""
@@ -241,21 +241,21 @@ def file_type_filter_jon11(i: Inputs) -> DataFrame:
 @query(f"""
     select {KEY} GLCC, CREDIT_AMOUNT, DEBIT_AMOUNT, TRANSACTION_COUNT from o_postings""")
 def key_totals_agg01(i: Inputs) -> DataFrame:
-    return posting_money(mov.key_totals(i.lines()))
+    return mov.key_totals(i.lines())
 
 
 @query(f"""
     select {POSTING} from (select CGL, CURRENCY, BRANCH_CODE, SOURCE_FLAG, {POSTING_SUMS} from posted_table
       group by CGL, CURRENCY, BRANCH_CODE, SOURCE_FLAG) t""")
 def consolidate_postings_agg02(i: Inputs) -> DataFrame:
-    return posting_money(post.consolidate(i("posted_table")))
+    return post.consolidate(i("posted_table"))
 
 
 @query("select * from o_bucket")
 def bucket_net_agg03(i: Inputs) -> DataFrame:
     masters = i.masters()
     valid, _ = val.validate(i.postings(), masters.branches, masters.currencies, masters.cgls, DAY)
-    return money(posting_money(post.bucket_net(valid)), "NET")
+    return post.bucket_net(valid)
 
 
 @query(f"""
@@ -270,7 +270,7 @@ def balance_sum_agg04(i: Inputs) -> DataFrame:
     select GLCC, cast(sum(c) as {MONEY}) cbs_balance, cast(sum(g) as {MONEY}) gl_balance from (
       select GLCC, CBS_BALANCE c, 0 g from cbs_side union all select GLCC, 0, GL_BALANCE from gl_side) t group by 1""")
 def signed_union_compare_agg05(i: Inputs) -> DataFrame:
-    return money(diff.signed_union(i("gl_side"), i("cbs_side")), "cbs_balance", "gl_balance")
+    return diff.signed_union(i("gl_side"), i("cbs_side"))
 
 
 @query("select FILE_NAME, cast(count(*) as bigint) ROW_COUNT from ledger_raw group by 1")
@@ -281,7 +281,7 @@ def file_row_count_agg06(i: Inputs) -> DataFrame:
 @query("select BRANCH_CODE, CIRCLE_CODE, BALANCE from o_profit")
 def branch_pl_sum_agg07(i: Inputs) -> DataFrame:
     assignment = tr.circle_assignment(i("branch_master"), i("circle_master"))
-    return money(tr.branch_profit(profit_totals(i), assignment), "BALANCE")
+    return tr.branch_profit(profit_totals(i), assignment)
 
 
 HEAD_COUNTS = """
@@ -294,7 +294,7 @@ def daily(i: Inputs) -> DataFrame:
 
     (cgls,) = broadcast_if_small(ms.flagged_cgls(i("cgl_master"), "BAL_COMPARE"))
     rows = daily_difference(i("gl_side"), i("cbs_side"), i("previous_difference"), cgls, DAY)
-    return money(rows, "gl_balance", "cbs_balance", "DIFFERENCE_AMOUNT")
+    return rows
 
 
 @query(HEAD_COUNTS)
@@ -326,7 +326,7 @@ def row_count_agg11(i: Inputs) -> DataFrame:
 
 @query("select * from o_postings union all select * from o_journals")
 def union_by_name_set01(i: Inputs) -> DataFrame:
-    return posting_money(post.union_postings(i.postings(), post.carried_journals(i("posted_table"), DAY)))
+    return post.union_postings(i.postings(), post.carried_journals(i("posted_table"), DAY))
 
 
 @query("select glcc, BALANCE from opening_balance union all select GLCC, GL_BALANCE from gl_side")

@@ -325,14 +325,8 @@ def with_views(body: str, dialect: str = "duckdb", tables: dict[str, str] | None
 
 @lru_cache
 def base_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A given table, resolved once per session.
-
-    A table whose few files hold fewer row groups than there are cores is spread over the cores, since all inputs are
-    derived from it. Large tables come in more splits than cores and are left as they are.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, *df.columns[:2]) if 1 < df.rdd.getNumPartitions() < cores else df
+    """A given table, resolved once per session."""
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 @lru_cache

@@ -25,7 +25,7 @@ from daybook.sources import masters as ms
 from daybook.sources.lake import read_lake
 from workload.basics import SUMMARY_JSON, daily
 from workload.fixtures import DAY, KEY, MILLIS, MONEY, POSTING, POSTING_SUMS, YEAR_END_DAY
-from workload.registry import Inputs, money, posting_money, query
+from workload.registry import Inputs, query
 from workload.scans_and_sinks import MISMATCHES, counted_lines
 
 LEDGER_LAYOUT = (
@@ -157,7 +157,7 @@ def row_count_report_opr05(i: Inputs) -> DataFrame:
 
 @query("select * from o_postings")
 def aggregate_movements_opr06(i: Inputs) -> DataFrame:
-    return posting_money(i.postings())
+    return i.postings()
 
 
 INVALID = (
@@ -167,14 +167,14 @@ INVALID = (
 
 @query(f"select {INVALID} from o_checked where REASON = 'INVALID BRANCH'")
 def quarantine_branch_opr07(i: Inputs) -> DataFrame:
-    return posting_money(val.quarantine_branch(i.postings(), i.masters().branches)[1])
+    return val.quarantine_branch(i.postings(), i.masters().branches)[1]
 
 
 @query(f"select {INVALID} from o_checked where REASON = 'INVALID CURRENCY'")
 def quarantine_currency_opr08(i: Inputs) -> DataFrame:
     masters = i.masters()
     known, _ = val.quarantine_branch(i.postings(), masters.branches)
-    return posting_money(val.quarantine_currency(known, masters.currencies)[1])
+    return val.quarantine_currency(known, masters.currencies)[1]
 
 
 @query(f"select {INVALID}, date '2001-01-01' TRANSACTION_DATE from o_checked where REASON is not null")
@@ -182,7 +182,7 @@ def invalid_union_opr09(i: Inputs) -> DataFrame:
     masters = i.masters()
     known, by_branch = val.quarantine_branch(i.postings(), masters.branches)
     _, by_currency = val.quarantine_currency(known, masters.currencies)
-    return posting_money(val.invalid_union(by_branch, by_currency, DAY))
+    return val.invalid_union(by_branch, by_currency, DAY)
 
 
 def valid_postings(i: Inputs) -> DataFrame:
@@ -192,17 +192,17 @@ def valid_postings(i: Inputs) -> DataFrame:
 
 @query(f"select {POSTING} from o_valid")
 def remap_cgl_opr10(i: Inputs) -> DataFrame:
-    return posting_money(valid_postings(i))
+    return valid_postings(i)
 
 
 @query(f"select {POSTING} from o_consolidated")
 def consolidate_opr11(i: Inputs) -> DataFrame:
-    return posting_money(post.consolidate(valid_postings(i)))
+    return post.consolidate(valid_postings(i))
 
 
 @query("select * from o_balancing")
 def balancing_entries_opr12(i: Inputs) -> DataFrame:
-    return posting_money(post.balancing_entries(post.consolidate(valid_postings(i))))
+    return post.balancing_entries(post.consolidate(valid_postings(i)))
 
 
 @query(f"""
@@ -215,7 +215,7 @@ def stamp_and_union_opr13(i: Inputs) -> DataFrame:
     )
     stamped = post.stamp_postings(extra, "J9", "B1")
     posted = post.union_postings(post.balanced_postings(valid_postings(i)), stamped)
-    return posting_money(post.dated(posted, DAY))
+    return post.dated(posted, DAY)
 
 
 @query(f"""
@@ -224,7 +224,7 @@ def stamp_and_union_opr13(i: Inputs) -> DataFrame:
       group by CGL, CURRENCY, BRANCH_CODE, SOURCE_FLAG) t""")
 def merge_journals_opr14(i: Inputs) -> DataFrame:
     journals = post.carried_journals(i("posted_table"), DAY)
-    return posting_money(post.merge_journals(post.balanced_postings(valid_postings(i)), journals))
+    return post.merge_journals(post.balanced_postings(valid_postings(i)), journals)
 
 
 def closing(i: Inputs) -> DataFrame:
@@ -270,12 +270,12 @@ def ledger_balance_opr18(i: Inputs) -> DataFrame:
 
 @query(f"select {POSTING}, date '2001-01-01' TRANSACTION_DATE from o_posted")
 def ledger_transactions_opr18(i: Inputs) -> DataFrame:
-    return posting_money(ledger_day(i).transactions)
+    return ledger_day(i).transactions
 
 
 @query(f"select {INVALID}, date '2001-01-01' TRANSACTION_DATE from o_checked where REASON is not null")
 def ledger_invalid_opr18(i: Inputs) -> DataFrame:
-    return posting_money(ledger_day(i).invalid)
+    return ledger_day(i).invalid
 
 
 @query(f"""
@@ -288,14 +288,14 @@ def ledger_lake_balances_opr18(i: Inputs) -> DataFrame:
 @query("select * from o_difference")
 def balance_difference_opr19(i: Inputs) -> DataFrame:
     rows = diff.balance_difference(i("gl_side"), i("cbs_side"))
-    return money(rows, "cbs_balance", "gl_balance", "today_difference")
+    return rows
 
 
 def classified(i: Inputs) -> DataFrame:
     rows = diff.classify_change(
         diff.balance_difference(i("gl_side"), i("cbs_side")), i("previous_difference"), DAY
     )
-    return money(rows, "gl_balance", "cbs_balance", "DIFFERENCE_AMOUNT")
+    return rows
 
 
 @query("select * from o_classified")
@@ -340,7 +340,7 @@ def transfer(i: Inputs) -> TransferResult:
 
 @query("select * from o_legs")
 def transfer_postings_opr26(i: Inputs) -> DataFrame:
-    return money(transfer(i).postings, "DEBIT_AMOUNT", "CREDIT_AMOUNT")
+    return transfer(i).postings
 
 
 @query("select * from o_transfer_balance")

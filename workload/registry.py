@@ -6,9 +6,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from daybook.functions import MONEY, decode_overpunch
+from daybook.functions import decode_overpunch
 from daybook.functions.amounts import LEDGER_WIDTH
 from daybook.operators.movements import aggregate_movements, exclude_file_types
 from daybook.sources.masters import Masters, load_masters
@@ -55,12 +54,3 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
         return function
 
     return register
-
-
-def money(df: DataFrame, *names: str) -> DataFrame:
-    """Money columns in their stored type."""
-    return df.withColumns({name: F.col(name).cast(MONEY) for name in names})
-
-
-def posting_money(df: DataFrame) -> DataFrame:
-    return money(df, "CREDIT_AMOUNT", "DEBIT_AMOUNT")

@@ -145,8 +145,8 @@ def lake_overwrite_snk01(i: Inputs) -> DataFrame:
 @query("select glcc, BALANCE from opening_balance")
 def lake_overwrite_schema_snk02(i: Inputs) -> DataFrame:
     path = new_folder(i.spark, "opening")
-    lake.overwrite_files(i("closing_balance"), path, 4)
-    lake.overwrite_files(i("opening_balance"), path, 2)
+    lake.overwrite_files(i("closing_balance"), path, 100_000)
+    lake.overwrite_files(i("opening_balance"), path, 100_000)
     return lake_source.read_lake(i.spark, path)
 
 
@@ -270,9 +270,7 @@ def csv_report_snk13(i: Inputs) -> DataFrame:
 
     path = new_folder(i.spark, "csv")
     rows = balance_difference(i("gl_side"), i("cbs_side"))
-    shown = rows.select(
-        "GLCC", F.col("cbs_balance").cast(MONEY).alias("cbs"), F.col("gl_balance").cast(MONEY).alias("gl")
-    )
+    shown = rows.select("GLCC", F.col("cbs_balance").alias("cbs"), F.col("gl_balance").alias("gl"))
     reports.write_csv(shown, path)
     return i.spark.read.csv(path, sep="|", header=True, schema="GLCC string, cbs string, gl string")
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions import MONEY, RATED_MONEY, compose_glcc, is_financial_year_start, split_glcc
+from daybook.functions import MONEY, RATED_MONEY, compose_glcc, is_financial_year_start, is_month_end, split_glcc
 from daybook.functions.amounts import HOME_CURRENCY
 from daybook.operators.lookups import with_rate
 from daybook.operators.postings import net
@@ -51,10 +51,15 @@ def select_opening(lake: DataFrame, year_end: DataFrame, day: dt.date, run_no: i
     return table_opening(year_end, slice_day) if source == "year_end" else lake_opening(lake, slice_day)
 
 
+def united(movements: DataFrame, opening: DataFrame) -> DataFrame:
+    """Bag union of key and balance by position, whatever the two columns are called."""
+    return movements.select(movements.columns[:2]).union(opening.select(opening.columns[:2]))
+
+
 def carry_forward(movements: DataFrame, opening: DataFrame, day: dt.date) -> DataFrame:
     """Closing balance per key: movements of the day plus the opening balance."""
     return (
-        movements.unionByName(opening)
+        united(movements.select("glcc", "BALANCE"), opening.select("glcc", "BALANCE"))
         .groupBy("glcc")
         .agg(F.sum("BALANCE").cast(MONEY).alias("BALANCE"))
         .withColumn("BALANCE_DATE", F.lit(day))
@@ -63,7 +68,7 @@ def carry_forward(movements: DataFrame, opening: DataFrame, day: dt.date) -> Dat
 
 def apply_month_end(closing: DataFrame, postings: DataFrame | None, day: dt.date) -> DataFrame:
     """Add month-end postings to the closing balances; on other days the closing balances stay as they are."""
-    if postings is None:
+    if postings is None or not is_month_end(day):
         return closing
     return carry_forward(closing.select("glcc", "BALANCE"), movement_balances(postings), day)
 

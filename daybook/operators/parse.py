@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -64,6 +65,7 @@ COMPONENT_TAILS = {"CGL_COMP_1_DR": 4, "CGL_COMP_1_CR": 4, "CGL_COMP_2_DR": 2, "
 TYPES_WITHOUT_ACCOUNT = ("GLCCCTA", "GLCCGEN")
 SUMMARY_TYPE_PREFIX = "GLCC"
 NO_ACCOUNT = "NA"
+UNDECODABLE = "UNDECODABLE AMOUNT"
 
 
 class Field(NamedTuple):
@@ -148,19 +150,44 @@ def unsigned_amounts(df: DataFrame, layout: Sequence[Field]) -> DataFrame:
     return replace_present(df, {f.name: overpunch_to_digits(f.name) for f in layout if f.kind == "AMOUNT"})
 
 
+def account_columns(layout: Sequence[Field], file_type: str, value: str = "value") -> dict[str, Column]:
+    """Columns of one account file type: signed amounts, bare account, shortened component codes."""
+    cuts = {f.name: F.trim(F.substring(F.col(value), f.start, f.end - f.start)) for f in layout}
+    changes = {name: decode_trailing_sign for name in SIGNED_COLUMNS[file_type]} | {"ACCOUNT": strip_zeros}
+    if not file_type.startswith(SUMMARY_TYPE_PREFIX):
+        changes |= {name: partial(tail, n=n) for name, n in COMPONENT_TAILS.items()}
+    columns = {name: changes[name](cut) if name in changes else cut for name, cut in cuts.items()}
+    if file_type in TYPES_WITHOUT_ACCOUNT:
+        columns["ACCOUNT"] = F.lit(NO_ACCOUNT)
+    return columns
+
+
 def account_rows(
     lines: DataFrame, layout: Sequence[Field], file_type: str, keep: Sequence[str | Column] = ()
 ) -> DataFrame:
-    """Typed rows of one account file type: signed amounts, bare account, shortened component codes."""
-    parsed = parse_fixed_width(lines, layout, keep=keep)
-    changes = {name: decode_trailing_sign(name) for name in SIGNED_COLUMNS[file_type]}
-    changes["ACCOUNT"] = strip_zeros("ACCOUNT")
-    if not file_type.startswith(SUMMARY_TYPE_PREFIX):
-        changes |= {name: tail(name, n) for name, n in COMPONENT_TAILS.items()}
-    rows = replace_present(parsed, changes)
-    return rows.withColumn("ACCOUNT", F.lit(NO_ACCOUNT)) if file_type in TYPES_WITHOUT_ACCOUNT else rows
+    """Typed rows of one account file type."""
+    return lines.select(*keep, *[c.alias(name) for name, c in account_columns(layout, file_type).items()])
+
+
+def account_rows_of_types(
+    lines: DataFrame, layouts: Mapping[str, Sequence[Field]], type_column: str = "FILE_TYPE"
+) -> DataFrame:
+    """Typed rows of all account file types in one scan; columns that a type does not have are NULL."""
+    chosen: dict[str, Column] = {}
+    for file_type, layout in layouts.items():
+        of_type = F.col(type_column) == file_type
+        for name, column in account_columns(layout, file_type).items():
+            chosen[name] = chosen[name].when(of_type, column) if name in chosen else F.when(of_type, column)
+    known = lines.filter(F.col(type_column).isin(*layouts))
+    return known.select(type_column, *[column.alias(name) for name, column in chosen.items()])
 
 
 def rejected_amounts(df: DataFrame, raw: str, decoded: str) -> DataFrame:
     """Rows whose raw amount is present but could not be decoded."""
     return df.filter(F.col(raw).isNotNull() & F.col(decoded).isNull())
+
+
+def split_rejects(lines: DataFrame, amount: str = "AMT") -> tuple[DataFrame, DataFrame]:
+    """Lines with an amount, and those without one that counts, with the REASON; no line is in neither or in both."""
+    reason = F.lit(UNDECODABLE)
+    return lines.filter(F.col(amount).isNotNull()), lines.filter(F.col(amount).isNull()).withColumn("REASON", reason)

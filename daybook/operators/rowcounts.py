@@ -15,6 +15,11 @@ def file_row_counts(lines: DataFrame, file_name: str = "FILE_NAME") -> DataFrame
     return lines.groupBy(file_name).agg(F.count(F.lit(1)).alias("ROW_COUNT"))
 
 
+def total_rows(counts: DataFrame) -> DataFrame:
+    """Rows of all files together, out of the counts per file."""
+    return counts.agg(F.coalesce(F.sum("ROW_COUNT"), F.lit(0)).alias("ROWS_READ"))
+
+
 def compare_counts(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Every file of either side with both counts."""
     return expected.select("FILE_NAME", F.col("HDFS_ROW_COUNT").cast("bigint").alias("HDFS_ROW_COUNT")).join(

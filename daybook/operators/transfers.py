@@ -24,6 +24,7 @@ TRANSFER_LEGS = (
     ("CIRCLE_CODE", TRANSFER_CGL, -1),
     ("CIRCLE_CODE", PROFIT_CGL, 1),
 )
+ORDINARY, CIRCLE = "ordinary", "circle"
 TRANSFER_COLUMNS = (
     "CIRCLE_CODE",
     "BATCH_ID",
@@ -46,13 +47,18 @@ def is_income_expense() -> Column:
     return income | expense
 
 
-def latest_income_expense(balances: DataFrame) -> DataFrame:
+def latest_date(balances: DataFrame) -> Column:
+    """The latest date of a frame, as a scalar subquery over the date column alone."""
+    return balances.agg(F.max("BALANCE_DATE")).scalar()
+
+
+def latest_income_expense(balances: DataFrame, latest: dt.date | None = None) -> DataFrame:
     """Income and expense balances of the latest date, in the home currency.
 
-    The latest date is a scalar subquery over the date column alone; on a table partitioned by date its value prunes
-    the partitions that are read.
+    Of a lake table pass the ``latest`` date that its partition folders tell (``latest_partition``): the other dates
+    are then pruned and no file of theirs is opened. Without it the date column is read first.
     """
-    latest = balances.agg(F.max("BALANCE_DATE")).scalar()
+    latest = latest_date(balances) if latest is None else F.lit(latest)
     rows = balances.filter(F.col("BALANCE_DATE") == latest)
     return rows.filter(is_income_expense()).select(
         compose_glcc().alias("GLCC"),
@@ -88,6 +94,24 @@ def branch_profit(totals: DataFrame, assignment: DataFrame) -> DataFrame:
     return assigned.select("BRANCH_CODE", "CIRCLE_CODE", "BALANCE")
 
 
+def assigned_profit(totals: DataFrame, branches: DataFrame, circles: DataFrame) -> DataFrame:
+    """Profit or loss with circle and KIND, ordinary or circle branch, out of one join of the totals."""
+    ordinary = circle_assignment(branches, circles).select("BRANCH_CODE", "CIRCLE_CODE", F.lit(ORDINARY).alias("KIND"))
+    own = circles.select("BRANCH_CODE", F.col("CIRCLE_CODE").cast("string"), F.lit(CIRCLE).alias("KIND"))
+    both = ordinary.unionByName(own).filter(F.col("CIRCLE_CODE").isNotNull())
+    return totals.join(both, "BRANCH_CODE").select("BRANCH_CODE", "CIRCLE_CODE", "KIND", "BALANCE")
+
+
+def of_kind(profit: DataFrame, kind: str) -> DataFrame:
+    return profit.filter(F.col("KIND") == kind).drop("KIND")
+
+
+def balances_after(profit: DataFrame, day: dt.date) -> DataFrame:
+    """Balances after the transfer of an assigned profit."""
+    postings = transfer_postings(of_kind(profit, ORDINARY), day)
+    return transfer_balances(postings, of_kind(profit, CIRCLE), day)
+
+
 def transfer_postings(
     profit: DataFrame, day: dt.date, batch_id: int | str | None = None, journal_id: int | str | None = None
 ) -> DataFrame:

@@ -3,18 +3,34 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.functions import MONEY, decode_overpunch
 from daybook.functions.text import LOOSE_FILE_PATTERN, STRICT_FILE_PATTERN
 from daybook.operators import rowcounts
-from daybook.operators.parse import Field, account_rows, ledger_rows
-from daybook.sinks import lake, reports
-from daybook.sources.lake import read_lake
-from daybook.sources.text_files import control_paths, files_below, path_list, read_lines, split_by_presence
+from daybook.operators.parse import (
+    Field,
+    account_rows,
+    ledger_rows,
+    parse_fixed_width,
+    parse_raw_ledger,
+    unsigned_amounts,
+)
+from daybook.session import checkpointed
+from daybook.sinks import lake, reports, steps
+from daybook.sources.lake import empty_frame, read_lake, read_slice
+from daybook.sources.text_files import (
+    control_paths,
+    files_below,
+    path_list,
+    qualified,
+    read_lines,
+    split_by_presence,
+)
 
 
 @dataclass(frozen=True)
@@ -38,6 +54,21 @@ def counted(rows: DataFrame, control: DataFrame) -> Ingested:
     )
 
 
+class NothingToIngest(LookupError):
+    """None of the announced files is there; the table was left as it is."""
+
+
+@dataclass(frozen=True)
+class Control:
+    """The control table of a day, to be updated with what was read, and where steps are logged."""
+
+    path: str
+    column: str
+    day: dt.date
+    step_log: str | None = None
+    run_id: str = ""
+
+
 def run_ledger_ingest(
     spark: SparkSession,
     control: DataFrame,
@@ -48,25 +79,70 @@ def run_ledger_ingest(
     pattern: str = LOOSE_FILE_PATTERN,
     lower_stream: bool = False,
     partitions: int | None = None,
+    update: Control | None = None,
+    parse: Callable[[DataFrame, Sequence[Field]], DataFrame] = ledger_rows,
 ) -> Ingested:
-    """Scan the files that the control table announces, write the table, then report on it.
+    """Scan the files that the control table announces, write the table, report on it and update the control table.
 
-    The compressed text is read once. Row counts come from the FILE_NAME column of the table that was written.
+    The compressed text is read once and spread over ``partitions`` tasks, by default as many as a shuffle has. Row
+    counts come from the FILE_NAME column of the table that was written and are held, one row per file. When none of
+    the files is there, the report names them, the table is left as it is and :class:`NothingToIngest` is raised.
+    ``parse`` chooses the variant of the rows. With ``update`` the control rows of its date get counts and status, and
+    the steps are logged.
     """
-    expected = control_paths(control, input_folder, pattern, lower_stream)
-    found, missing = split_by_presence(expected, files_below(spark, input_folder))
-    lines = read_lines(spark, path_list(found), partitions)
-    lake.overwrite(ledger_rows(lines, layout), table)
-    result = counted(read_lake(spark, table), control)
-    report = rowcounts.discrepancy_report(missing, result.status)
-    totals = report.groupBy("SECTION").count().collect()
-    sizes = {row["SECTION"]: row["count"] for row in totals}
-    name = reports.discrepancy_name(sizes.get(1, 0), sizes.get(2, 0), result.rows.count())
+    log_state(spark, update, "ingest", steps.STARTED)
+    base = qualified(spark, input_folder)
+    expected = control_paths(control, base, pattern, lower_stream)
+    found, missing = split_by_presence(checkpointed(expected), files_below(spark, base))
+    missing = checkpointed(missing)
+    paths = path_list(found)
+    if not paths:
+        none = rowcounts.row_count_status(control.limit(0), empty_frame(spark, "FILE_NAME string, ROW_COUNT bigint"))
+        name = reports.discrepancy_name(missing.count(), 0, 0)
+        reports.write_text(rowcounts.discrepancy_report(missing, none), f"{report_folder}/{name}")
+        log_state(spark, update, "ingest", steps.FAILED, "no file found")
+        raise NothingToIngest(f"none of the announced files is below {base}; {table} was left as it is")
+    lines = read_lines(spark, paths, partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lake.overwrite(parse(lines, layout), table)
+    rows = read_lake(spark, table)
+    actual = checkpointed(rowcounts.file_row_counts(rows))
+    result = Ingested(
+        rows, rowcounts.reconcile_row_counts(control, actual), rowcounts.row_count_status(control, actual)
+    )
+    report = checkpointed(rowcounts.discrepancy_report(missing, result.status))
+    sizes = {row["SECTION"]: row["count"] for row in report.groupBy("SECTION").count().collect()}
+    total = rowcounts.total_rows(actual).first()["ROWS_READ"]
+    name = reports.discrepancy_name(sizes.get(1, 0), sizes.get(2, 0), total)
     reports.write_text(report, f"{report_folder}/{name}", order=("SECTION", "REPORT_LINE"))
     reports.write_text(rowcounts.row_count_report(result.compared), f"{report_folder}/row_counts")
+    if update is not None:
+        announced = read_slice(spark, update.path, update.column, update.day)
+        filled = rowcounts.apply_status(announced, result.status)
+        lake.update_control_status(update.path, filled, update.column, update.day)
+    log_state(spark, update, "ingest", steps.SUCCEEDED)
     return result
 
 
+def log_state(spark: SparkSession, update: Control | None, step: str, status: int, message: str = "") -> None:
+    if update is not None and update.step_log is not None:
+        steps.log_step(spark, update.step_log, update.run_id, step, status, message)
+
+
+def entry_rows(lines: DataFrame, layout: Sequence[Field], file_name: str = "FILE_NAME") -> DataFrame:
+    """Variant of the ingest for raw entry lines at their known positions.
+
+    Both the amount as it stands in the file, ``Amount_raw``, and its value, ``Amount_final``, are kept.
+    """
+    raw = parse_raw_ledger(lines, keep=[file_name])
+    amount = decode_overpunch("AMOUNT_RAW").cast(MONEY)
+    return raw.select(file_name, "CURRENCY_IND", "GLCC", F.col("AMOUNT_RAW").alias("Amount_raw"), amount.alias("Amount_final"))
+
+
+def unsigned_rows(lines: DataFrame, layout: Sequence[Field], file_name: str = "FILE_NAME") -> DataFrame:
+    """Variant of the ingest that keeps the columns of the layout as text, amounts as digits without a sign."""
+    return unsigned_amounts(parse_fixed_width(lines, layout, keep=[file_name]), layout)
+
+
 def run_account_ingest(
     spark: SparkSession,
     control: DataFrame,
@@ -76,15 +152,17 @@ def run_account_ingest(
     table: str,
     partitions: int | None = None,
 ) -> bool:
-    """Scan the account files of one type and write their table; False when the control table announces none.
+    """Scan the account files of one type and write their table; False when none that is announced is there.
 
     The types are independent jobs: run them side by side by whatever starts the jobs.
     """
     announced = control.filter(F.startswith(F.col("FILE_NAME"), F.lit(file_type)))
-    paths = path_list(control_paths(announced, input_folder, STRICT_FILE_PATTERN))
+    base = qualified(spark, input_folder)
+    expected = control_paths(announced, base, STRICT_FILE_PATTERN)
+    paths = path_list(split_by_presence(expected, files_below(spark, base))[0])
     if not paths:
         return False
-    lines = read_lines(spark, paths, partitions)
+    lines = read_lines(spark, paths, partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
     lake.overwrite(account_rows(lines, layout, file_type), table)
     return True
 

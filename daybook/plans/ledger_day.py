@@ -7,15 +7,17 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daybook.functions import is_month_end
 from daybook.operators import balances as bal
 from daybook.operators import movements as mov
 from daybook.operators import postings as post
+from daybook.operators.parse import split_rejects
 from daybook.operators.validation import validate
 from daybook.session import checkpointed
-from daybook.sinks import lake, reports
-from daybook.sources.lake import find_slice
+from daybook.sinks import lake, reports, steps
+from daybook.sources.lake import EMPTY_OPENING, find_slice, first_available, present_slice
 from daybook.sources.masters import Masters
 
 Rule = Callable[[DataFrame], DataFrame]
@@ -47,26 +49,28 @@ class LedgerResult:
     balances: DataFrame
     lake_balances: DataFrame
     month_end: DataFrame | None
+    rejects: DataFrame
 
 
 def ledger_balance(
     lines: DataFrame, masters: Masters, opening: DataFrame, run: LedgerDay, hold: Rule = as_is
 ) -> LedgerResult:
-    """Decoded lines (BRANCH_CODE, CURRENCY, CGL, AMT) to transactions, quarantine and balances.
+    """Decoded lines (BRANCH_CODE, CURRENCY, CGL, AMT) to transactions, quarantine, rejects and balances.
 
-    ``hold`` is applied to the two frames that several results share: the postings per key, which stand for the only
-    scan of the lines, and the closing balances. Pass ``daybook.session.checkpointed`` when more than one result is
+    Lines without an amount that counts are rejects and take no part. ``hold`` is applied to the frames that several
+    results share: the postings per key, which stand for the only scan of the lines that count, the balanced postings
+    and the closing balances. Pass ``daybook.session.checkpointed`` when more than one result is
     written; with the default the results are plain lazy plans.
     """
+    lines, rejects = split_rejects(lines)
     postings = mov.aggregate_movements(lines, run.batch_id, positive_side=run.positive_side)
     if run.provision is not None:
         postings = post.union_postings(postings, run.provision)
     postings = hold(postings)
 
     valid, invalid = validate(postings, masters.branches, masters.currencies, masters.cgls, run.day)
-    posted = post.balanced_postings(valid)
+    posted = hold(post.balanced_postings(valid))
     if run.posting_rule is not None:
-        posted = hold(posted)
         posted = post.union_postings(posted, post.stamp_postings(run.posting_rule(posted), run.journal_id))
 
     # Journals count towards the balances only. Balances are summed per key next, so they need no consolidation here.
@@ -81,7 +85,7 @@ def ledger_balance(
 
     converted = hold(bal.convert_currency(closing, masters.rates))
     return LedgerResult(
-        post.dated(posted, run.day), invalid, converted, bal.lake_balances(converted), month_end
+        post.dated(posted, run.day), invalid, converted, bal.lake_balances(converted), month_end, rejects
     )
 
 
@@ -93,7 +97,9 @@ class LedgerTables:
     invalid: str
     balances: str
     lake_balances: str
+    rejects: str
     markers: str
+    step_log: str | None = None
 
 
 def run_ledger_day(
@@ -103,7 +109,9 @@ def run_ledger_day(
 
     Journals and reversals that the transaction table already has for the date stay.
     """
+    log_state(spark, tables, run, steps.STARTED)
     result = ledger_balance(lines, masters, opening, run, hold=checkpointed)
+    lake.replace_slice(result.rejects.withColumn("REJECT_DATE", F.lit(run.day)), tables.rejects, "REJECT_DATE", run.day)
     posted = result.transactions
     if result.month_end is not None:
         posted = posted.unionByName(post.dated(result.month_end, run.day).select(*posted.columns))
@@ -112,9 +120,41 @@ def run_ledger_day(
     lake.replace_slice(result.balances, tables.balances, "BALANCE_DATE", run.day)
     lake.replace_slice(result.lake_balances, tables.lake_balances, "BALANCE_DATE", run.day)
     reports.write_marker(spark, tables.markers, run.day, run.run_no)
+    log_state(spark, tables, run, steps.SUCCEEDED)
     return result
 
 
+def log_state(spark: SparkSession, tables: LedgerTables, run: LedgerDay, status: int) -> None:
+    if tables.step_log is not None:
+        steps.log_step(spark, tables.step_log, run.batch_id or "", "ledger_day", status)
+
+
+def load_opening(
+    spark: SparkSession,
+    day: dt.date,
+    run_no: int,
+    lake_path: str,
+    balances: Callable[[], DataFrame],
+    year_end: Callable[[], DataFrame],
+    allow_empty: bool = False,
+) -> tuple[DataFrame, str]:
+    """Opening balances and where they came from: the lake slice of the run, else the balance table.
+
+    The financial year starts from the year-end table, which has no substitute. ``balances`` and ``year_end`` load
+    tables of the database. Without any source the day must not start, unless ``allow_empty`` says that it is the first.
+    """
+    source, of = bal.opening_source(day, run_no)
+    if source == "year_end":
+        return bal.table_opening(year_end(), of), source
+
+    def lake_slice() -> DataFrame | None:
+        rows = present_slice(spark, lake_path, "BALANCE_DATE", of)
+        return None if rows is None else bal.lake_opening(rows, of)
+
+    loaders = [("lake", lake_slice), ("table", lambda: bal.table_opening(balances(), of))]
+    return first_available(spark, loaders, EMPTY_OPENING if allow_empty else None)
+
+
 def _replace_transactions(spark: SparkSession, posted: DataFrame, path: str, day: dt.date) -> None:
     present = find_slice(spark, path, "TRANSACTION_DATE", day)
     if present is not None:

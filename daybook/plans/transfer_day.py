@@ -29,11 +29,9 @@ def pl_transfer(
     hold=lambda df: df,
 ) -> TransferResult:
     """Income and expense balances (GLCC, BALANCE) to transfer postings, new balances and the report per branch."""
-    totals = hold(tr.branch_totals(balances))
-    ordinary = tr.branch_profit(totals, tr.circle_assignment(branches, circles))
-    own = tr.branch_profit(totals, circles.select("BRANCH_CODE", "CIRCLE_CODE"))
-    postings = hold(tr.transfer_postings(ordinary, day, batch_id, journal_id))
-    moved = hold(tr.transfer_balances(postings, own, day))
+    profit = hold(tr.assigned_profit(tr.branch_totals(balances), branches, circles))
+    postings = tr.transfer_postings(tr.of_kind(profit, tr.ORDINARY), day, batch_id, journal_id)
+    moved = hold(tr.balances_after(profit, day))
     return TransferResult(postings, moved, tr.transfer_report(moved, tr.branch_circles(branches, circles)))
 
 
@@ -46,10 +44,10 @@ def run_pl_transfer(
     batch_id: int | str | None = None,
     journal_id: int | str | None = None,
 ) -> TransferResult:
-    """Write the three tables of the transfer, each replaced as a whole."""
+    """Write the three tables of the transfer; each gets the date replaced, so a rerun ends in the same state."""
     small = broadcast_if_small(branches, circles)
     result = pl_transfer(balances, *small, day, batch_id, journal_id, hold=checkpointed)
-    lake.overwrite(result.postings, f"{folder}/transactions")
-    lake.overwrite(result.balances, f"{folder}/balances")
-    lake.overwrite(result.report, f"{folder}/report")
+    lake.replace_slice(result.postings, f"{folder}/transactions", "TRANSACTION_DATE", day)
+    lake.replace_slice(result.balances, f"{folder}/balances", "BALANCE_DATE", day)
+    lake.replace_slice(result.report, f"{folder}/report", "TRANSFER_DATE", day)
     return result

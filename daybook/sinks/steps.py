@@ -16,6 +16,11 @@ def step_rows(spark: SparkSession, run_id: str, step: str, status: int, message:
     return row.withColumns({"PAYLOAD": F.lit(None).cast("string"), "LOGGED_AT": F.current_timestamp()})
 
 
+def append_states(rows: DataFrame, path: str) -> None:
+    """Append states to the log."""
+    rows.write.mode("append").parquet(path)
+
+
 def log_step(
     spark: SparkSession, path: str, run_id: str, step: str, status: int, message: str = "", payload: str | None = None
 ) -> None:
@@ -23,7 +28,7 @@ def log_step(
     rows = step_rows(spark, run_id, step, status, message)
     if payload is not None:
         rows = rows.withColumn("PAYLOAD", F.lit(payload))
-    rows.coalesce(1).write.mode("append").parquet(path)
+    append_states(rows.coalesce(1), path)
 
 
 def latest_status(steps: DataFrame) -> DataFrame:

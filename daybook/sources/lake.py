@@ -55,21 +55,66 @@ def empty_frame(spark: SparkSession, schema: str | StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _is_failed_connection(error: Py4JJavaError) -> bool:
+    """Whether a database could not be reached: an SQLState of class 08 somewhere down the causes.
+
+    A missing driver and a URL that no driver takes have such a state too, but are mistakes in the settings.
+    """
+    cause = error.java_exception
+    while cause is not None:
+        if cause.getClass().getName().startswith("java.sql.") and cause.getSQLState():
+            return cause.getSQLState().startswith("08") and "No suitable driver" not in (cause.getMessage() or "")
+        cause = cause.getCause()
+    return False
+
+
 def first_available(
-    spark: SparkSession, loaders: Sequence[tuple[str, Callable[[], DataFrame]]], schema: str | StructType
+    spark: SparkSession,
+    loaders: Sequence[tuple[str, Callable[[], DataFrame | None]]],
+    empty: str | StructType | None = None,
 ) -> tuple[DataFrame, str]:
-    """The first source that exists, with its name; a typed empty frame named ``empty`` when none does.
+    """The first source that exists, with its name.
 
-    Only an absent table or a failing database connection leads on to the next source. Wrong columns and errors in the
-    data surface.
+    A loader that gives None, an absent table or a database that can't be reached leads on to the next source; wrong
+    settings, wrong columns and errors in the data surface. When no source is left, ``empty`` is the type of the frame
+    without rows that stands in, named ``empty``; without it that is an error.
     """
     for name, load in loaders:
         try:
-            return load(), name
+            found = load()
+            if found is not None:
+                return found, name
+            log.warning("source %s has nothing", name)
         except AnalysisException as error:
             if not is_absent(error):
                 raise
             log.warning("source %s is absent", name)
         except Py4JJavaError as error:
-            log.warning("source %s is not available: %s", name, error.java_exception.getClass().getName())
-    return empty_frame(spark, schema), "empty"
+            if not _is_failed_connection(error):
+                raise
+            log.warning("source %s can't be reached: %s", name, error.java_exception.getClass().getName())
+    if empty is None:
+        raise LookupError(f"none of {[name for name, _ in loaders]} is there")
+    return empty_frame(spark, empty), "empty"
+
+
+def present_slice(spark: SparkSession, path: str, column: str, day: dt.date) -> DataFrame | None:
+    """One date of a lake table, or None when the table or the date is absent; at most one row is read."""
+    rows = find_slice(spark, path, column, day)
+    return None if rows is None or rows.isEmpty() else rows
+
+
+def latest_partition(spark: SparkSession, path: str, column: str) -> dt.date | None:
+    """The latest date of a lake table, from the names of its partition folders: no file is opened.
+
+    The listing has one entry per date, and only folders with a data file count.
+    """
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(base):
+        return None
+    folders = [s.getPath() for s in files.listStatus(base) if s.isDirectory() and s.getPath().getName().startswith(f"{column}=")]
+    for folder in sorted(folders, key=lambda f: f.getName(), reverse=True):
+        if any(s.getPath().getName().startswith("part-") for s in files.listStatus(folder)):
+            return dt.date.fromisoformat(folder.getName().removeprefix(f"{column}="))
+    return None

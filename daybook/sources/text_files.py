@@ -26,9 +26,15 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], partitions: int
     return lines.repartition(partitions) if partitions else lines
 
 
-def control_slice(control: DataFrame, etl_date: str, file_type: str, name_prefix: str = "") -> DataFrame:
-    """Control rows of one date and file type that announce rows, optionally of one name prefix."""
+def control_slice(
+    control: DataFrame, etl_date: str, file_type: str, name_prefix: str = "", announcing_rows: bool = True
+) -> DataFrame:
+    """Control rows of one date and file type that announce rows, optionally of one name prefix.
+
+    Account files count as announced with any number of rows: pass ``announcing_rows=False`` for them.
+    """
     rows = control.filter((F.col("ETL_DATE") == etl_date) & (F.col("FILE_TYPE") == file_type))
+    rows = rows.filter(F.col("HDFS_ROW_COUNT") > 0) if announcing_rows else rows
     return rows.filter(F.startswith(F.col("FILE_NAME"), F.lit(name_prefix))) if name_prefix else rows
 
 
@@ -55,10 +61,16 @@ def path_list(paths: DataFrame) -> list[str]:
     return [row["PATH"] for row in paths.select("PATH").collect()]
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder with scheme and host and without a slash at its end, as listings give it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def files_below(spark: SparkSession, folder: str) -> DataFrame:
-    """PATH of every file below a folder, without scheme and host. Only the listing is read, no file content."""
+    """PATH of every file below a folder, qualified. Only the listing is read, no file content."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return listing.select(F.regexp_replace("path", r"^[A-Za-z0-9+.-]+:(//[^/]*)?", "").alias("PATH"))
+    return listing.select(F.col("path").alias("PATH"))
 
 
 def split_by_presence(expected: DataFrame, present: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,8 @@ import pytest
 
 from daybook.functions.text import STRICT_FILE_PATTERN
 from daybook.operators import parse
-from daybook.plans.file_ingest import days_between, run_account_ingest, run_ledger_ingest
+from daybook.operators.parse import Field
+from daybook.plans.file_ingest import NothingToIngest, days_between, run_account_ingest, run_ledger_ingest
 from daybook.sources import text_files as tf
 from daybook.sources.lake import read_lake
 from workload.ledger_jobs import ACCOUNT_LAYOUTS, LEDGER_LAYOUT
@@ -44,10 +45,36 @@ def test_control_table_names_the_paths(spark):
 
 def test_presence_splits_expected_paths(spark, tmp_path):
     write_gz(tmp_path / "a" / "one.gz", ["x"])
-    expected = spark.createDataFrame([(f"{tmp_path}/a/one.gz",), (f"{tmp_path}/a/two.gz",)], "PATH string")
-    found, missing = tf.split_by_presence(expected, tf.files_below(spark, str(tmp_path)))
-    assert tf.path_list(found) == [f"{tmp_path}/a/one.gz"]
-    assert tf.path_list(missing) == [f"{tmp_path}/a/two.gz"]
+    for folder in (str(tmp_path), f"{tmp_path}/", f"file://{tmp_path}"):
+        base = tf.qualified(spark, folder)
+        expected = spark.createDataFrame([(f"{base}/a/one.gz",), (f"{base}/a/two.gz",)], "PATH string")
+        found, missing = tf.split_by_presence(expected, tf.files_below(spark, folder))
+        assert tf.path_list(found) == [f"{base}/a/one.gz"]
+        assert tf.path_list(missing) == [f"{base}/a/two.gz"]
+
+
+LINE_LAYOUT = (Field("BRANCH_CODE", 1, 4), Field("FCY_CODE", 4, 7), Field("FCY_AMT", 7, 10), Field("LCY_AMT", 10, 13),
+               Field("POST_DATE", 13, 16), Field("TRANS_DATE", 16, 19), Field("POST_TIME", 19, 22), Field("ACCOUNT", 22, 25))
+
+
+def test_ledger_ingest_of_any_form_of_folder(spark, tmp_path):
+    """The day is read from a URI or with a slash at its end; when nothing is there the table stays as it is."""
+    write_gz(tmp_path / "in" / "A" / "GLIFCOR_01012026_A_001.gz", ["001INR10q00200100100100100", "002USD20030p001001001002"])
+    control = spark.createDataFrame(
+        [("GLIFCOR_01012026_A_001", 2), ("GLIFCOR_01012026_B_001", 5)], "FILE_NAME string, HDFS_ROW_COUNT long"
+    )
+    table, report = str(tmp_path / "table"), str(tmp_path / "report")
+    for folder in (f"file://{tmp_path}/in", f"{tmp_path}/in/", f"{tmp_path}/in"):
+        result = run_ledger_ingest(spark, control, folder, LINE_LAYOUT, table, report)
+        assert result.rows.count() == 2
+        assert {r["FILE_NAME"]: r["DATA_LAKE_STATUS"] for r in result.status.collect()} == {
+            "GLIFCOR_01012026_A_001": "YES", "GLIFCOR_01012026_B_001": None,
+        }
+    assert (tmp_path / "report" / "MissingPath_1_RowDiffCount_1_TotalRows_2.txt").exists()
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(NothingToIngest):
+        run_ledger_ingest(spark, control, f"{tmp_path}/empty", LINE_LAYOUT, table, report)
+    assert spark.read.parquet(table).count() == 2
 
 
 def test_globs_of_a_day(spark, tmp_path):

@@ -8,12 +8,13 @@ from unittest.mock import MagicMock
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from daybook.session import broadcast_if_small, checkpointed, measured_bytes, new_folder, shared_folder
 from daybook.sinks import jdbc as jdbc_sink
 from daybook.sinks import lake, reports, steps
 from daybook.sources import jdbc
-from daybook.sources.lake import EMPTY_GL, empty_frame, first_available, read_lake, read_slice
+from daybook.sources.lake import EMPTY_GL, empty_frame, first_available, latest_partition, read_lake, read_slice
 
 D1, D2, D3 = dt.date(2001, 1, 1), dt.date(2001, 1, 2), dt.date(2001, 1, 3)
 SCHEMA = "glcc string, closing_balance decimal(25,4), INR_BALANCE decimal(25,4), BALANCE_DATE date"
@@ -121,6 +122,34 @@ def test_first_available_source(spark, tmp_path):
     assert name == "empty" and rows.isEmpty() and rows.dtypes[1] == ("GL_BALANCE", "decimal(25,4)")
 
 
+def test_no_source_is_an_error_unless_said_otherwise(spark, tmp_path):
+    with pytest.raises(LookupError):
+        first_available(spark, [("lake", lambda: read_lake(spark, str(tmp_path / "absent"))), ("table", lambda: None)])
+
+
+def test_a_wrong_driver_surfaces(spark):
+    for options in ({"driver": "no.such.Driver"}, {}):
+        reader = spark.read.format("jdbc").options(url="jdbc:nosuch:thing", dbtable="t", **options)
+        with pytest.raises(Exception, match="no.such.Driver|No suitable driver|suitable"):
+            first_available(spark, [("database", reader.load)], EMPTY_GL)
+
+
+def test_a_slice_of_another_shape_is_refused(spark, table):
+    before = sorted(map(str, read_lake(spark, table).collect()))
+    rows = read_slice(spark, table, "BALANCE_DATE", D1)
+    name = next(c for c, kind in rows.dtypes if c != "BALANCE_DATE")
+    with pytest.raises(ValueError, match="the new rows have"):
+        lake.replace_slice(rows.withColumn(name, F.lit(True)), table, "BALANCE_DATE", D1)
+    with pytest.raises(ValueError, match="no such column"):
+        lake.replace_slice(rows.drop(name), table, "BALANCE_DATE", D1)
+    assert sorted(map(str, read_lake(spark, table).collect())) == before
+
+
+def test_latest_partition_comes_from_folder_names(spark, table, tmp_path):
+    assert latest_partition(spark, table, "BALANCE_DATE") == max(r[0] for r in read_lake(spark, table).select("BALANCE_DATE").collect())
+    assert latest_partition(spark, str(tmp_path / "absent"), "BALANCE_DATE") is None
+
+
 def test_only_absent_sources_are_passed_over(spark, table):
     wrong_column = ("lake", lambda: read_slice(spark, table, "NO_SUCH_COLUMN", D1))
     with pytest.raises(AnalysisException):
@@ -194,7 +223,7 @@ def test_shared_folder_is_read_from_the_session(spark):
 def test_checkpoint_cuts_the_lineage(spark):
     df = checkpointed(spark.range(100).selectExpr("id % 7 as k").groupBy("k").count())
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "LogicalRDD" in plan and "Aggregate" not in plan
+    assert "Relation" in plan and "parquet" in plan and "Aggregate" not in plan
     assert df.count() == 7
 
 

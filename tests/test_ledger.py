@@ -16,6 +16,7 @@ from daybook.operators import postings as post
 from daybook.operators import validation as val
 from daybook.plans.ledger_day import LedgerDay, LedgerTables, ledger_balance, run_ledger_day
 from daybook.sinks import lake
+from daybook.sinks.steps import latest_status
 from daybook.sources.lake import read_lake, read_slice
 from daybook.sources.masters import load_masters
 
@@ -157,7 +158,7 @@ def test_conversion_rounds_half_up_and_defaults_to_one(spark, masters):
 
 @pytest.fixture
 def tables(tmp_path):
-    return LedgerTables(*[str(tmp_path / n) for n in ("transactions", "invalid", "balances", "lake", "markers")])
+    return LedgerTables(*[str(tmp_path / n) for n in ("transactions", "invalid", "balances", "lake", "rejects", "markers", "steps")])
 
 
 def journal_rows(spark):
@@ -165,7 +166,7 @@ def journal_rows(spark):
     return spark.createDataFrame(
         [row],
         "BATCH_ID string, JOURNAL_ID string, BRANCH_CODE string, CURRENCY string, CGL string, NARRATION string, "
-        "CREDIT_AMOUNT decimal(38,7), DEBIT_AMOUNT decimal(38,7), TRANSACTION_COUNT long, SOURCE_FLAG string, "
+        "CREDIT_AMOUNT decimal(25,4), DEBIT_AMOUNT decimal(25,4), TRANSACTION_COUNT long, SOURCE_FLAG string, "
         "TRANSACTION_DATE date",
     )
 
@@ -212,7 +213,11 @@ def test_rules_of_the_caller_add_postings(spark, masters):
 
     df = lines(spark, ("00001", "INR", "1000000001", 5))
     opening = spark.createDataFrame([], "glcc string, BALANCE decimal(25,4)")
-    run = LedgerDay(DAY, batch_id="B1", journal_id="J7", posting_rule=rule("extra"), month_end_rule=rule("month end"))
+    rules = {"posting_rule": rule("extra"), "month_end_rule": rule("month end")}
+    ordinary = ledger_balance(df, masters, opening, LedgerDay(DAY, batch_id="B1", journal_id="J7", **rules))
+    assert ordinary.month_end is None
+    assert {r["CGL"]: r["BALANCE"] for r in ordinary.balances.collect()}["7000000001"] == 8
+    run = LedgerDay(dt.date(2001, 1, 31), batch_id="B1", journal_id="J7", **rules)
     result = ledger_balance(df, masters, opening, run)
     balances = {r["CGL"]: r["BALANCE"] for r in result.balances.collect()}
     assert balances == {"1000000001": 5, "1111111111": -5, "7000000001": 16}
@@ -220,6 +225,22 @@ def test_rules_of_the_caller_add_postings(spark, masters):
     assert [r["JOURNAL_ID"] for r in result.month_end.collect()] == ["J7"]
 
 
+def test_no_line_is_lost(spark, masters, tables):
+    """Lines in are lines counted and lines rejected; a rerun replaces the rejects."""
+    rows = lines(spark, *[("00001", "INR", "1000000001", n) for n in range(1, 6)])
+    bad = F.col("AMT").isin(2, 4)
+    rows = rows.withColumn("AMT", F.when(~bad, F.col("AMT")))
+    opening = spark.createDataFrame([], "glcc string, BALANCE decimal(25,4)")
+    for run_no in (1, 2):
+        run_ledger_day(spark, rows, masters, opening, LedgerDay(DAY, run_no, batch_id="B1"), tables)
+    posted = read_lake(spark, tables.transactions).filter("NARRATION <> 'OUT OF BAL'")
+    counted = posted.agg(F.sum("TRANSACTION_COUNT")).first()[0]
+    rejects = read_lake(spark, tables.rejects)
+    assert counted == 3 and rejects.count() == 2 and counted + rejects.count() == rows.count()
+    assert {r["REASON"] for r in rejects.collect()} == {"UNDECODABLE AMOUNT"}
+    assert latest_status(spark.read.parquet(tables.step_log)).first()["STATUS"] == 2
+
+
 def test_closing_equals_opening_plus_movements(small):
     """End to end on the given tables: what is not quarantined arrives in the balances, plus balancing entries of 0 net."""
     from workload import ledger_jobs as jobs

@@ -18,6 +18,7 @@ from daybook.operators import transfers as tr
 from daybook.operators import validation as val
 from daybook.session import broadcast_if_small
 from daybook.sources import masters as ms
+from daybook.sources import text_files as tf
 from workload.fixtures import DAY, KEY, MILLIS, MONEY, POSTING, POSTING_SUMS
 from workload.registry import Inputs, query
 
@@ -105,9 +106,10 @@ def conditional_by_presence_prj09(i: Inputs) -> DataFrame:
     return parse.replace_present(i("posted_table").select("BATCH_ID", "JOURNAL_ID", "SOURCE_FLAG"), changes)
 
 
-@query("select GLCC, cast(null as varchar) JOURNAL_ID from gl_side")
+@query("select BRANCH_CODE, CURRENCY, CGL, cast(null as varchar) JOURNAL_ID, 'B1' BATCH_ID from o_postings")
 def null_literal_prj10(i: Inputs) -> DataFrame:
-    return i("gl_side").select("GLCC", F.lit(None).cast("string").alias("JOURNAL_ID"))
+    totals = mov.as_postings(mov.key_totals(i.lines()), "B1")
+    return totals.select("BRANCH_CODE", "CURRENCY", "CGL", "JOURNAL_ID", "BATCH_ID")
 
 
 @query("""
@@ -115,7 +117,7 @@ def null_literal_prj10(i: Inputs) -> DataFrame:
       then 'income or expense' else 'other' end KIND from closing_balance""")
 def regex_prefix_filter_prj11(i: Inputs) -> DataFrame:
     memo = F.startswith(F.col("CGL"), F.lit(val.MEMO_PREFIX))
-    kind = F.when(memo, "memo").when(F.col("CGL").rlike("^[78]"), "income or expense")
+    kind = F.when(memo, "memo").when(tr.is_income_expense(), "income or expense")
     return i("closing_balance").select("CGL", "CURRENCY", "BRANCH_CODE", kind.otherwise("other").alias("KIND"))
 
 
@@ -316,12 +318,12 @@ def nested_collect_agg09(i: Inputs) -> DataFrame:
 
 @query("select max(BALANCE_DATE) BALANCE_DATE from balance_table")
 def global_max_agg10(i: Inputs) -> DataFrame:
-    return i("balance_table").agg(F.max("BALANCE_DATE").alias("BALANCE_DATE"))
+    return i("balance_table").filter(F.col("BALANCE_DATE") == tr.latest_date(i("balance_table"))).select("BALANCE_DATE").distinct()
 
 
 @query("select cast(count(*) as bigint) ROWS_READ from ledger_raw")
 def row_count_agg11(i: Inputs) -> DataFrame:
-    return i("ledger_raw").agg(F.count(F.lit(1)).alias("ROWS_READ"))
+    return rc.total_rows(rc.file_row_counts(i("ledger_raw")))
 
 
 @query("select * from o_postings union all select * from o_journals")
@@ -331,12 +333,15 @@ def union_by_name_set01(i: Inputs) -> DataFrame:
 
 @query("select glcc, BALANCE from opening_balance union all select GLCC, GL_BALANCE from gl_side")
 def union_positional_set02(i: Inputs) -> DataFrame:
-    return i("opening_balance").union(i("gl_side"))
+    return bal.united(i("opening_balance"), i("gl_side"))
 
 
-@query("select distinct BRANCH_CODE, CURRENCY, CGL from ledger_raw")
+@query("""
+    select distinct FILE_NAME, substring(FILE_NAME,18,1) STREAM, concat('/in/', substring(FILE_NAME,18,1), '/',
+      FILE_NAME, '.gz') PATH from ledger_raw""")
 def distinct_rows_set03(i: Inputs) -> DataFrame:
-    return i("ledger_raw").select("BRANCH_CODE", "CURRENCY", "CGL").distinct()
+    named = i("ledger_raw").select("FILE_NAME", F.substring("FILE_NAME", 18, 1).alias("STREAM"))
+    return tf.control_paths_direct(named, "/in")
 
 
 @query(f"select l_orderkey, cast({decoded('AMOUNT')} as {MONEY}) AMT from ledger_raw")
@@ -396,9 +401,8 @@ def code_tail_scl08(i: Inputs) -> DataFrame:
     select case when l_linenumber in (3, 4) then 'NA' else ltrim(lpad(cast(l_orderkey as varchar),17,'0'),'0') end
       ACCOUNT from lineitem""")
 def constant_override_scl09(i: Inputs) -> DataFrame:
-    summary = F.col("FILE_TYPE").isin(*parse.TYPES_WITHOUT_ACCOUNT)
-    account = F.when(summary, parse.NO_ACCOUNT).otherwise(fn.strip_zeros(F.substring("value", 1, 17)))
-    return i("account_text").select(account.alias("ACCOUNT"))
+    layouts = {name: [parse.Field("ACCOUNT", 1, 18)] for name in parse.SIGNED_COLUMNS}
+    return parse.account_rows_of_types(i("account_text"), layouts).select("ACCOUNT")
 
 
 @query("""

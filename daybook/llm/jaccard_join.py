@@ -1,4 +1,4 @@
-"""Jaccard similarity join of word shingles, with prefixes of single tokens and of token pairs."""
+"""Jaccard similarity join of word shingles, by single rare tokens and by combinations of frequent ones."""
 
 from __future__ import annotations
 
@@ -15,13 +15,13 @@ from daybook.llm.components import components
 from daybook.llm.registry import query
 from daybook.session import broadcast_if_small
 
-FREQUENT = 200
-MOST_FREQUENT = 1 << 17
-SUMMARY = 1 << 16
-ALL_PAIRS = 64
-PAIRS_TO = 400
+FREQUENT = 8
+MOST_FREQUENT = 1 << 20
+SUMMARY = 1 << 17
+ALL_PAIRS = 100
+SKETCH = 256
 _U64 = np.uint64
-_SUMS = "doc_id long, n long, s1 long, s2 long, token long, seen long"
+_SUMS = "doc_id long, n long, s1 long, s2 long, sketch binary, token long, seen long"
 _CANDIDATE = "a long, b long, star boolean"
 
 
@@ -51,7 +51,7 @@ def shingles(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Summary:
-    """Counts of frequent tokens in bounded memory; what falls out was seen at most once per ``SUMMARY`` tokens."""
+    """Counts of the most frequent tokens of a task in bounded memory."""
 
     def __init__(self) -> None:
         self.token, self.seen = np.zeros(0, _U64), np.zeros(0, np.int64)
@@ -61,7 +61,7 @@ class _Summary:
     def add(self, tokens: np.ndarray) -> None:
         self.waiting.append(tokens)
         self.size += len(tokens)
-        if self.size > 1 << 22:
+        if self.size > 1 << 20:
             self.merge()
 
     def merge(self) -> None:
@@ -72,16 +72,20 @@ class _Summary:
         starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
         token, seen = token[starts], np.add.reduceat(seen, starts) if len(starts) else seen
         if len(token) > SUMMARY:
-            least = np.partition(seen, len(seen) - SUMMARY - 1)[len(seen) - SUMMARY - 1]
-            token, seen = token[seen > least], (seen - least)[seen > least]
+            most = np.sort(np.argpartition(-seen, SUMMARY)[:SUMMARY])
+            token, seen = token[most], seen[most]
         self.token, self.seen, self.waiting, self.size = token, seen, [], 0
 
 
 def _sums(size: int) -> Callable:
-    """Per row the size of the set and a checksum of 128 bits; per task the frequent tokens."""
+    """Per row the size of the set, a checksum of 128 bits and a sketch; per task the frequent tokens.
+
+    The sketch counts the tokens of each of ``SKETCH`` classes, up to 255: the sum of the absolute differences of two
+    sketches is never more than the size of the symmetric difference of the sets.
+    """
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n", "s1", "s2", "token", "seen"]
+        names = ["doc_id", "n", "s1", "s2", "sketch", "token", "seen"]
         summary = _Summary()
         for batch in batches:
             for part in chunks(batch, "text"):
@@ -95,24 +99,58 @@ def _sums(size: int) -> Callable:
                     np.cumsum(mixed(token + _U64(salt)), out=line[1:])
                     sums.append(pa.array((line[first[1:]] - line[first[:-1]]).view(np.int64)))
                 nothing = pa.nulls(n, pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(first)), *sums, nothing, nothing], names)
+                classes = np.bincount(row * SKETCH + (token >> _U64(8)).astype(np.int64) % SKETCH, minlength=n * SKETCH)
+                sketch = np.minimum(classes, 255).astype(np.uint8).reshape(n, SKETCH)
+                sketches = pa.array([line.tobytes() for line in sketch], pa.binary())
+                sizes = pa.array(np.diff(first))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), sizes, *sums, sketches, nothing, nothing], names)
         summary.merge()
         for begin in range(0, len(summary.token), 10_000):
             token, seen = summary.token[begin : begin + 10_000], summary.seen[begin : begin + 10_000]
             often = seen > 1
             columns = [pa.nulls(int(often.sum()), pa.int64())] * 4
+            columns.append(pa.nulls(int(often.sum()), pa.binary()))
             yield pa.RecordBatch.from_arrays([*columns, pa.array(token[often].view(np.int64)), pa.array(seen[often])], names)
 
     return scan
 
 
+def _steps(n: np.ndarray, percent: int) -> np.ndarray:
+    """Sizes in geometric steps: sets that link are in one step or in neighbouring ones."""
+    return np.floor(np.log(np.maximum(n, 1)) / _step_width(percent)).astype(np.int64)
+
+
+def _step_width(percent: int) -> float:
+    return 1.001 * max(np.log(100 / percent), 1e-3)
+
+
+def _combinations(token: np.ndarray, n: int, step: int, percent: int) -> np.ndarray:
+    """Keys of a set for one step of size: the combination of its tokens in each class of tokens.
+
+    There are more classes than two linked sets of this step can have different tokens, so the tokens of some class are
+    the same in both. A class without a token is a key only where so many are empty that nothing else need be the same.
+    """
+    largest = int(np.exp((step + 1) * _step_width(percent)))
+    classes = int(np.ceil(1.15 * ((100 - percent) * 2 * largest // (100 + percent) + 1)))
+    owner = (token % _U64(classes)).astype(np.int64)
+    order = np.argsort(owner, kind="stable")
+    sums = np.zeros(len(token) + 1, _U64)
+    np.cumsum(mixed(token[order] + _U64(3)), out=sums[1:])
+    first = np.searchsorted(owner[order], np.arange(classes + 1))
+    total = sums[first[1:]] - sums[first[:-1]]
+    keys = mixed(total ^ mixed(np.arange(classes, dtype=_U64) + _U64(step << 32)))
+    filled = first[1:] > first[:-1]
+    most_different = int((100 - percent) * (n + n * 100 / percent) / (100 + percent))
+    return keys if (~filled).sum() >= classes - most_different else keys[filled]
+
+
 def _keys(shared: object, size: int, percent: int) -> Callable:
-    """Index keys of each set, in lists: ``rare`` packs single tokens, ``often`` pairs of frequent tokens or such tokens.
+    """Index keys of each set, in lists: ``rare`` has single tokens, ``often`` combinations of tokens.
 
     Tokens are in one order everywhere: those outside the list of frequent ones first, then by count. Two sets that link
-    share their first common token among the first ``n - need + 1`` tokens of both. If it is frequent, so are all common
-    tokens, and two of them are among the first ``n - need + 2``. Where that makes too many pairs the single frequent
-    tokens are keys; sets near the limit have both kinds, so that sets that may link have one kind in common.
+    share their first common token among the first ``n - need + 1`` tokens of both. If it is not frequent, it is a key
+    of both. If it is, so are all common tokens, both sets have fewer than ``n - need + 1`` other tokens, and such sets
+    have combinations of several tokens as keys (see :func:`_combinations`), since single frequent tokens say little.
     """
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,30 +170,28 @@ def _keys(shared: object, size: int, percent: int) -> Callable:
                 need = -(-percent * n // 100)
                 place = np.arange(len(token)) - first[row]
                 single = (place < (n - need + 1)[row]) & (rank == 0)
-                keys = [(row[single], token[single], place[single])]
-                pair_rows, pair_keys = [], []
-                in_pair = (place < (n - need + 2)[row]) & (rank > 0)
-                lots = np.bincount(row[in_pair], minlength=rows)
-                for one in np.flatnonzero((lots > 1) & (n <= PAIRS_TO)).tolist():
-                    mine = token[first[one] : first[one + 1]][in_pair[first[one] : first[one + 1]]]
-                    i, j = np.triu_indices(len(mine), 1)
-                    pair_keys.append(mixed(mine[i] * _U64(0x9E3779B97F4A7C15) + mine[j]))
-                    pair_rows.append(np.full(len(i), one))
-                alone = (place < (n - need + 1)[row]) & (rank > 0) & (100 * n >= percent * PAIRS_TO)[row]
-                pair_rows.append(row[alone])
-                pair_keys.append(token[alone])
-                often_row, often = np.concatenate(pair_rows), np.concatenate(pair_keys)
+                rare = np.bincount(row[rank == 0], minlength=rows)
+                steps = _steps(n, percent)
+                often_row, often = [np.zeros(0, np.int64)], [np.zeros(0, _U64)]
+                for one in np.flatnonzero((n > 1) & (rare < n - need + 1)).tolist():
+                    mine = token[first[one] : first[one + 1]]
+                    for step in (int(steps[one]), int(steps[one]) + 1):
+                        often.append(_combinations(mine, int(n[one]), step, percent))
+                        often_row.append(np.full(len(often[-1]), one))
                 lists = []
-                for owner, key in ((keys[0][0], keys[0][1]), (keys[0][0], keys[0][2].astype(np.int64)), (often_row, often)):
-                    order = np.argsort(owner, kind="stable")
-                    offsets = np.searchsorted(owner[order], np.arange(rows + 1)).astype(np.int32)
-                    lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(key[order].view(np.int64))))
+                for owner, key in (
+                    (row[single], token[single]),
+                    (row[single], place[single].astype(np.int64)),
+                    (np.concatenate(often_row), np.concatenate(often)),
+                ):
+                    offsets = np.searchsorted(owner, np.arange(rows + 1)).astype(np.int32)
+                    lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(key.view(np.int64))))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *lists], ["doc_id", "rare", "places", "often"])
 
     return scan
 
 
-def _bucket_candidates(percent: int) -> Callable:
+def _bucket_candidates(percent: int, all_pairs: int) -> Callable:
     """Candidates from rows sorted by key: all pairs of a small bucket, the pairs with the least node of a larger one.
 
     A pair must be near enough in size, and what is left of both sets behind the common token must suffice.
@@ -165,7 +201,7 @@ def _bucket_candidates(percent: int) -> Callable:
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         sizes = np.diff(np.append(starts, len(key)))
         bucket_end = np.repeat(starts + sizes, sizes)
-        small = np.repeat(sizes <= ALL_PAIRS, sizes)
+        small = np.repeat(sizes <= all_pairs, sizes)
         here = np.arange(len(key))
         partners = np.where(small, bucket_end - here - 1, 0)
         left = np.repeat(here, partners)
@@ -238,6 +274,31 @@ def _compare(size: int, percent: int) -> Callable:
     return scan
 
 
+def _near_sketches(percent: int) -> Callable:
+    """Candidates whose sketches don't rule out a link; pairs of a star stay, since they place their members."""
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (
+                np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
+                for name in ("sketch_a", "sketch_b")
+            )
+            both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            near = (100 + percent) * np.abs(a - b).sum(axis=1) <= (100 - percent) * both
+            keep = pa.array(near | batch.column("star").to_numpy(zero_copy_only=False))
+            yield batch.select(["a", "b", "star"]).filter(keep)
+
+    return scan
+
+
+def _sketched(candidates: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    for side in ("a", "b"):
+        one = sketches.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
+        candidates = candidates.join(one, side)
+    columns = candidates.select("a", "b", "star", "n_a", "n_b", "sketch_a", "sketch_b")
+    return columns.mapInArrow(_near_sketches(percent), _CANDIDATE)
+
+
 def _verified(candidates: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Compare candidates in full. ``texts`` has ``node, text`` for each node."""
     nodes = candidates.select(F.col("a").alias("node")).union(candidates.select(F.col("b").alias("node"))).distinct()
@@ -285,8 +346,9 @@ def near_duplicates(
     links reach; texts without words are alone. Rows without id take part only as copies of a row with one, their own
     class has no id otherwise. Rows that repeat an id with different texts count as one document.
 
-    Equal sets are joined first, so copies cost one row each. Then candidates share a token, or a pair of tokens where
-    tokens are frequent, in the prefixes of their sets, and every candidate is compared in full. Buckets are small or
+    Equal sets are joined first, so copies cost one row each. Then candidates share a token of the prefixes of
+    their sets or, where tokens are frequent, a combination of tokens, and every candidate that a sketch
+    of its sets does not rule out is compared in full. Buckets are small or
     give the pairs with one hub each (see :func:`_around_hubs`), so no bucket lists its square. The list of frequent
     tokens has a bounded length, and results do not depend on what is in it.
     """
@@ -295,14 +357,16 @@ def near_duplicates(
     spark = docs.sparkSession
     plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sums = stored(plain.mapInArrow(_sums(size), _SUMS), "shingle-sums")
-    sets = sums.where("n IS NOT NULL").drop("token", "seen")
+    sets = sums.where("n IS NOT NULL").select("doc_id", "n", "s1", "s2")
+    sketches = sums.where("n > 0 AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("node"), "n")
+    sketches = sketches.agg(F.min("sketch").alias("sketch"))
     classes = sets.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"))
     classes = stored(classes, "shingle-classes")
     summed = sums.where("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen")).where(f"seen >= {FREQUENT}")
-    listed = summed.orderBy(F.desc("seen"), "token").limit(MOST_FREQUENT).collect()
-    known = np.array([row.token for row in listed], np.int64).view(_U64)
+    listed = summed.orderBy(F.desc("seen"), "token").limit(MOST_FREQUENT).toArrow()
+    known, count = listed["token"].to_numpy().view(_U64), listed["seen"].to_numpy()
     order = np.argsort(known)
-    shared = spark.sparkContext.broadcast((known[order], np.array([row.seen for row in listed], np.int64)[order]))
+    shared = spark.sparkContext.broadcast((known[order], count[order]))
     lists = plain.where("doc_id IS NOT NULL").mapInArrow(
         _keys(shared, size, percent), "doc_id long, rare array<long>, places array<long>, often array<long>"
     )
@@ -312,16 +376,21 @@ def near_duplicates(
     packed = F.shiftleft(F.col("n"), 32).bitwiseOR(F.col("places")[F.col("at")])
     rare = keyed.select("node", "n", "places", zipped).select("key", "node", packed.alias("packed"))
     buckets = rare.repartition("key").sortWithinPartitions("key", "node")
-    from_rare = buckets.mapInArrow(_bucket_candidates(percent), _CANDIDATE)
+    from_rare = buckets.mapInArrow(_bucket_candidates(percent, ALL_PAIRS), _CANDIDATE)
     often = keyed.select("node", F.explode("often").alias("key"))
-    hubs = often.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last").drop("last")
-    from_often = often.join(hubs, "key").where("a <> node").select("a", F.col("node").alias("b"), F.lit(True).alias("star"))
-    candidates = from_rare.union(from_often).groupBy("a", "b").agg(F.max("star").alias("star"))
+    hubs = often.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("seen"))
+    shared_keys = stored(often.join(hubs.where("hub < last"), "key").select("key", "node", "hub", "seen"), "shared-keys")
+    few = shared_keys.where(f"seen <= {ALL_PAIRS}")
+    partner = few.select("key", F.col("node").alias("b"))
+    in_few = few.select("key", F.col("node").alias("a")).join(partner, "key").where("a < b").select("a", "b", F.lit(False).alias("star"))
+    spokes = shared_keys.where(f"seen > {ALL_PAIRS} AND node <> hub")
+    from_often = in_few.union(spokes.select(F.col("hub").alias("a"), F.col("node").alias("b"), F.lit(True).alias("star")))
+    candidates = _sketched(from_rare.union(from_often).groupBy("a", "b").agg(F.max("star").alias("star")), sketches, percent)
     texts = plain.select(F.col("doc_id").alias("node"), "text")
     compared = _verified(stored(candidates, "candidates"), texts, size, percent)
     around = stored(_around_hubs(compared.where("star"), percent), "candidates")
     done = compared.select("a", "b")
-    again = _verified(around.join(done, ["a", "b"], "left_anti"), texts, size, percent)
+    again = _verified(_sketched(around.join(done, ["a", "b"], "left_anti"), sketches, percent), texts, size, percent)
     links = compared.where("linked").select("a", "b").union(again.where("linked").select("a", "b"))
     found = components(links).withColumnRenamed("node", "class_id")
     members = sets.join(classes, ["n", "s1", "s2"], "left").join(found, "class_id", "left")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from daybook.session import new_folder
 
 BLANK = r"\x20\x09-\x0D"
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,10 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame below the shared folder and read it again: computed once, safe when executors are lost."""
-    folder = new_folder(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    """Write a frame below the shared folder and read it again: computed once, safe when executors are lost.
+
+    Spark deletes the shuffle files of finished work when the driver collects its garbage, which a driver with little
+    to do puts off for long; so it is asked to, once the frame is there and no longer needs them.
+    """
+    spark, folder = df.sparkSession, new_folder(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(folder)
+    spark._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 # ---- words as arrays of bytes

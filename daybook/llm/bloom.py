@@ -16,18 +16,20 @@ BITS = 27
 HASHES = 4
 
 
-def _places(values: np.ndarray) -> np.ndarray:
-    """The bits of each 64-bit value, one row per hash."""
-    first, second = mixed(values ^ U64(0x5851F42D4C957F2D)), mixed(values + U64(0x14057B7EF767814F)) | U64(1)
-    return np.stack([(first + U64(turn) * second) >> U64(64 - BITS) for turn in range(HASHES)])
+def _places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The word of each 64-bit value, and its bits in this word."""
+    spread = mixed(values ^ U64(0x5851F42D4C957F2D))
+    bits = np.zeros(len(values), U64)
+    for turn in range(HASHES):
+        bits |= U64(1) << ((spread >> U64(6 * turn)) & U64(63))
+    return spread >> U64(64 - (BITS - 6)), bits
 
 
 def _words(column: str) -> Callable:
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << (BITS - 6), U64)
         for batch in batches:
-            places = _places(batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64).view(U64)).ravel()
-            np.bitwise_or.at(bits, places >> U64(6), U64(1) << (places & U64(63)))
+            np.bitwise_or.at(bits, *_places(batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64).view(U64)))
         used = np.flatnonzero(bits)
         for begin in range(0, len(used), 100_000):
             some = used[begin : begin + 100_000]
@@ -47,8 +49,5 @@ def bloom(values: DataFrame, column: str) -> Broadcast:
 
 def maybe(shared: Broadcast, values: np.ndarray) -> np.ndarray:
     """False where a value was certainly not among those of the filter."""
-    bits, places = shared.value, _places(values)
-    result = np.ones(len(values), bool)
-    for line in places:
-        result &= (bits[line >> U64(6)] >> (line & U64(63))) & U64(1) > 0
-    return result
+    word, bits = _places(values)
+    return shared.value[word] & bits == bits

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from daybook.llm.bloom import bloom, maybe
 from daybook.llm.common import U64, chunks, mixed, ragged_ranges, span_hash, span_sums, stored, table, text_bytes
 from daybook.llm.registry import query
+from daybook.session import ROW_OVERHEAD_BYTES, hinted
 
 LENGTH = 50
 GRAM = 20
@@ -120,14 +121,14 @@ def _contexts(repeated: Broadcast, length: int) -> Callable:
                 found = anchors(data, offsets, length)
                 use = np.flatnonzero(maybe(repeated, _short(found.gram)))
                 start = found.low[use] - offsets[found.row[use]]
+                size = found.high[use] - found.low[use] + length
                 columns = [
                     part.column("doc_id").take(pa.array(found.row[use])),
-                    pa.array(found.gram[use].view(np.int64)),
+                    pa.array(_short(found.gram[use]).view(np.int64)),
                     pa.array(found.context[use].view(np.int64)),
-                    pa.array(start.astype(np.int32)),
-                    pa.array((found.high[use] - found.low[use] + length).astype(np.int32)),
+                    pa.array((start << 32) | size),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "gram", "context", "start", "size"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "gram", "context", "span"])
 
     return scan
 
@@ -136,34 +137,45 @@ def _digest(kept: np.ndarray) -> str:
     return hashlib.sha256(kept.tobytes()).hexdigest()
 
 
-def _untouched(touched: Broadcast) -> Callable:
-    """Results of the documents that no span touches; the others with their text."""
+def _pack(spans: np.ndarray) -> bytes:
+    return spans.astype("<i4").tobytes()
 
-    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, "text"):
-                data, offsets = text_bytes(part.column("text"))
-                ids = part.column("doc_id")
-                known = ids.is_valid().to_numpy(zero_copy_only=False)
-                value = ids.fill_null(0).to_numpy().view(U64)
-                open_ = known & maybe(touched, value)
-                sha = [None if later else _digest(data[a:b]) for later, a, b in zip(open_.tolist(), offsets[:-1], offsets[1:], strict=True)]
-                text = [t if later else None for later, t in zip(open_.tolist(), part.column("text").to_pylist(), strict=True)]
-                zero = pa.array(np.zeros(part.num_rows, np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(np.diff(offsets)), zero, zero, pa.array(sha, pa.string()), pa.array(text, pa.string())],
-                    ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"],
-                )
-
-    return scan
 
+def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each document the covered spans, joined where they touch, and the contexts that are edges, as start and size.
 
-def _edge_windows(starts: pa.Array, sizes: pa.Array, edges: pa.Array, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and place of all windows of the anchors that are edges."""
-    counts = np.diff(starts.offsets.to_numpy())
-    row = np.repeat(np.arange(len(counts)), counts)
-    edge = edges.flatten().to_numpy(zero_copy_only=False)
-    start, size, row = starts.flatten().to_numpy()[edge], sizes.flatten().to_numpy()[edge], row[edge]
+    A span comes as its start in the upper 32 bits, a mark of edges in the next and its size in the rest.
+    """
+    for batch in batches:
+        out: dict[str, list] = {"covered": [], "edges": []}
+        lists = batch.column("spans")
+        bounds, packed = lists.offsets.to_numpy(), lists.values.to_numpy()
+        for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+            every = np.sort(packed[begin:end])
+            pairs = np.stack([every >> 32, every & 0x7FFFFFFF], axis=1)
+            is_edge = (every >> 31) & 1 == 1
+            edge, sure = pairs[is_edge], pairs[~is_edge]
+            if len(sure):
+                reach = np.maximum.accumulate(sure.sum(axis=1))
+                first = np.flatnonzero(np.append(True, sure[1:, 0] > reach[:-1]))
+                last = np.append(first[1:], len(sure)) - 1
+                sure = np.stack([sure[first, 0], reach[last] - sure[first, 0]], axis=1)
+            out["covered"].append(_pack(sure))
+            out["edges"].append(_pack(edge))
+        columns = [batch.column("doc_id"), *(pa.array(x, pa.binary()) for x in out.values())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "covered", "edges"])
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and size of all spans of a packed column; NULL has none."""
+    lists = [x or b"" for x in column.to_pylist()]
+    spans = np.frombuffer(b"".join(lists), "<i4").reshape(-1, 2).astype(np.int64)
+    return np.repeat(np.arange(len(lists)), [len(x) // 8 for x in lists]), spans[:, 0], spans[:, 1]
+
+
+def _edge_windows(edges: pa.Array, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place of all windows of the contexts that are edges."""
+    row, start, size = _unpacked(edges)
     windows = size - length + 1
     return np.repeat(row, windows), ragged_ranges(start + offsets[row], windows)
 
@@ -173,7 +185,7 @@ def _windows(length: int) -> Callable:
         for batch in batches:
             for part in chunks(batch, "text"):
                 data, offsets = text_bytes(part.column("text"))
-                row, at = _edge_windows(*(part.column(c) for c in ("starts", "sizes", "edges")), offsets, length)
+                row, at = _edge_windows(part.column("edges"), offsets, length)
                 value = span_hash(span_sums(data), at, at + length)
                 for begin in range(0, len(row), 50_000):
                     some = slice(begin, begin + 50_000)
@@ -196,16 +208,12 @@ def _removed(length: int, with_text: bool) -> Callable:
         for batch in batches:
             for part in chunks(batch, "text"):
                 data, offsets = text_bytes(part.column("text"))
-                starts, sizes, edges = (part.column(c) for c in ("starts", "sizes", "edges"))
                 cover = np.zeros(len(data) + 1, np.int64)
-                counts = np.diff(starts.offsets.to_numpy())
-                row = np.repeat(np.arange(len(counts)), counts)
-                sure = ~edges.flatten().to_numpy(zero_copy_only=False)
-                start = starts.flatten().to_numpy()[sure] + offsets[row[sure]]
-                np.add.at(cover, start, 1)
-                np.add.at(cover, start + sizes.flatten().to_numpy()[sure], -1)
-                row, at = _edge_windows(starts, sizes, edges, offsets, length)
-                value = span_hash(span_sums(data), at, at + length)
+                row, start, size = _unpacked(part.column("covered"))
+                np.add.at(cover, start + offsets[row], 1)
+                np.add.at(cover, start + offsets[row] + size, -1)
+                row, at = _edge_windows(part.column("edges"), offsets, length)
+                value = span_hash(span_sums(data), at, at + length) if len(at) else np.zeros(0, U64)
                 gone = part.column("windows")
                 gone_row = np.repeat(np.arange(part.num_rows), gone.value_lengths().fill_null(0).to_numpy())
                 # a window is gone if its row lists it
@@ -253,40 +261,39 @@ def remove_repeats(
        size. 2. An anchor with its context, all strings that have it, is covered where an earlier document has the same
        context. 3. Where one gram has several contexts, the earliest document of each context lists its strings, and
        those that an earlier document lists too are gone. Every step is a sum and a join on hashes of 64 bits, so hot
-       passages are partial sums and split joins, and no list of pairs is ever made.
+       passages are partial sums and split joins, and no list of pairs is ever made. What was found of each document is
+       broadcast to the texts when it is measured to be small, and joined with them by a shuffle otherwise.
     """
     plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     known = plain.where("doc_id IS NOT NULL")
     grams = known.mapInArrow(_grams(length), "gram long").repartition("gram").sortWithinPartitions("gram")
     repeated = bloom(grams.mapInArrow(_repeats, "gram long"), "gram")
-    found = known.mapInArrow(_contexts(repeated, length), "doc_id long, gram long, context long, start int, size int")
+    found = known.mapInArrow(_contexts(repeated, length), "doc_id long, gram long, context long, span long")
     found = stored(found, "contexts")
-    first = found.groupBy("gram", "context").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    first = found.groupBy("context").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.min("gram").alias("gram"))
     first = stored(first, "context-firsts")
     several = first.groupBy("gram").agg(F.count("*").alias("contexts")).where("contexts > 1").select("gram", F.lit(True).alias("several"))
-    marked = first.join(several, "gram", "left").where("several OR first < last")
-    spans = found.join(marked, ["gram", "context"])
-    spans = spans.where("first < doc_id OR several").select("doc_id", "start", "size", (F.col("first") == F.col("doc_id")).alias("edge"))
-    plan = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "size", "edge")).alias("spans"))
-    plan = stored(plan.select("doc_id", *[F.col(f"spans.{c}").alias(f"{c}s") for c in ("start", "size", "edge")]), "spans")
-    touched = bloom(plan, "doc_id")
-    parts = stored(plain.mapInArrow(_untouched(touched), f"{_RESULT}, text string"), "parts")
-    opened = parts.where("text IS NOT NULL").select("doc_id", "text").join(plan, "doc_id", "left")
-    empty = {c: F.coalesce(c, F.array().cast(f"array<{kind}>")) for c, kind in (("starts", "int"), ("sizes", "int"), ("edges", "boolean"))}
-    opened = stored(opened.withColumns(empty), "opened")
-    windows = stored(opened.mapInArrow(_windows(length), "window long, doc_id long"), "windows")
+    marked = first.join(several, "gram", "left").where("several OR first < last").select("context", "first", "several")
+    spans = found.select("doc_id", "context", "span").join(marked, "context").where("first < doc_id OR several")
+    edge = F.when(F.col("first") == F.col("doc_id"), F.lit(1 << 31).cast("long")).otherwise(F.lit(0).cast("long"))
+    lists = spans.select("doc_id", (F.col("span") + edge).alias("span")).groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
+    plan = stored(lists.mapInArrow(_packed, "doc_id long, covered binary, edges binary"), "spans")
+    opened = plain.join(_small(plan, "octet_length(covered) + octet_length(edges)"), "doc_id", "left")
+    listing = plain.join(_small(plan.select("doc_id", "edges").where("octet_length(edges) > 0"), "octet_length(edges)"), "doc_id")
+    windows = listing.mapInArrow(_windows(length), "window long, doc_id long")
     firsts = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     firsts = stored(firsts.select("window", "first"), "window-firsts")
     again = windows.mapInArrow(_filtered(bloom(firsts, "window")), "window long, doc_id long")
     gone = again.join(firsts, "window").where("first < doc_id").groupBy("doc_id").agg(F.collect_set("window").alias("windows"))
-    schema = _RESULT + ", kept_text string" * with_text
-    late = opened.join(gone, "doc_id", "left").mapInArrow(_removed(length, with_text), schema)
-    done = parts.where("text IS NULL").drop("text")
-    if with_text:
-        texts = plain.select(F.col("doc_id").alias("whole_id"), F.sha2("text", 256).alias("whole_sha"), F.col("text").alias("kept_text"))
-        same = F.col("doc_id").eqNullSafe(F.col("whole_id")) & (F.col("kept_sha256") == F.col("whole_sha"))
-        done = done.join(texts.dropDuplicates(["whole_id", "whole_sha"]), same).select(*late.columns)
-    return done.unionByName(late)
+    gone = stored(gone, "gone-windows")
+    final = opened.join(_small(gone, "8 * size(windows)"), "doc_id", "left")
+    return final.mapInArrow(_removed(length, with_text), _RESULT + ", kept_text string" * with_text)
+
+
+def _small(df: DataFrame, row_bytes: str) -> DataFrame:
+    """A stored frame with a broadcast hint if the sum of its rows is within the limit."""
+    size = df.agg(F.expr(f"coalesce(sum({ROW_OVERHEAD_BYTES} + {row_bytes}), 0) AS n")).first()["n"]
+    return hinted(df, size)
 
 
 @query()

@@ -28,6 +28,7 @@ def _count_batches(path: str) -> Callable:
                 tokens = [len(encoder(path).ids(text or "")) // 4 for text in part.column("count_text").to_pylist()]
                 columns = [part.column(name) for name in names]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(np.array(tokens, np.int64))], [*names, "tokens"])
+        encoder(path).known.clear()
 
     return count
 

@@ -119,6 +119,8 @@ def _encode_partition(path: str, end_id: int | None) -> Callable[[Iterable[pa.Re
                     ["doc_id", "part", "row", "start_in_part", "n_tokens", "ids"],
                 )
                 start, row = start + int(offsets[-1]), row + piece.num_rows
+        # the worker goes on to other work, which needs the memory
+        encoder(path).known.clear()
 
     return encode
 

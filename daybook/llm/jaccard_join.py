@@ -51,12 +51,13 @@ def shingles(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Summary:
-    """Counts of the most frequent tokens of a task in bounded memory."""
+    """Counts of the tokens of a task: all while they fit into bounded memory, then the most frequent ones."""
 
     def __init__(self) -> None:
         self.token, self.seen = np.zeros(0, _U64), np.zeros(0, np.int64)
         self.waiting: list[np.ndarray] = []
         self.size = 0
+        self.full = False
 
     def add(self, tokens: np.ndarray) -> None:
         self.waiting.append(tokens)
@@ -72,6 +73,7 @@ class _Summary:
         starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
         token, seen = token[starts], np.add.reduceat(seen, starts) if len(starts) else seen
         if len(token) > SUMMARY:
+            self.full = True
             most = np.sort(np.argpartition(-seen, SUMMARY)[:SUMMARY])
             token, seen = token[most], seen[most]
         self.token, self.seen, self.waiting, self.size = token, seen, [], 0
@@ -107,7 +109,7 @@ def _sums(size: int) -> Callable:
         summary.merge()
         for begin in range(0, len(summary.token), 10_000):
             token, seen = summary.token[begin : begin + 10_000], summary.seen[begin : begin + 10_000]
-            often = seen > 1
+            often = seen > 1 if summary.full else seen > 0
             columns = [pa.nulls(int(often.sum()), pa.int64())] * 4
             columns.append(pa.nulls(int(often.sum()), pa.binary()))
             yield pa.RecordBatch.from_arrays([*columns, pa.array(token[often].view(np.int64)), pa.array(seen[often])], names)

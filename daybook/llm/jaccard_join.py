@@ -19,6 +19,7 @@ FREQUENT = 8
 MOST_FREQUENT = 1 << 20
 SUMMARY = 1 << 17
 ALL_PAIRS = 100
+COMBINED_PAIRS = 16
 SKETCH = 256
 _U64 = np.uint64
 _SUMS = "doc_id long, n long, s1 long, s2 long, sketch binary, token long, seen long"
@@ -382,10 +383,10 @@ def near_duplicates(
     often = keyed.select("node", F.explode("often").alias("key"))
     hubs = often.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("seen"))
     shared_keys = stored(often.join(hubs.where("hub < last"), "key").select("key", "node", "hub", "seen"), "shared-keys")
-    few = shared_keys.where(f"seen <= {ALL_PAIRS}")
+    few = shared_keys.where(f"seen <= {COMBINED_PAIRS}")
     partner = few.select("key", F.col("node").alias("b"))
     in_few = few.select("key", F.col("node").alias("a")).join(partner, "key").where("a < b").select("a", "b", F.lit(False).alias("star"))
-    spokes = shared_keys.where(f"seen > {ALL_PAIRS} AND node <> hub")
+    spokes = shared_keys.where(f"seen > {COMBINED_PAIRS} AND node <> hub")
     from_often = in_few.union(spokes.select(F.col("hub").alias("a"), F.col("node").alias("b"), F.lit(True).alias("star")))
     candidates = _sketched(from_rare.union(from_often).groupBy("a", "b").agg(F.max("star").alias("star")), sketches, percent)
     texts = plain.select(F.col("doc_id").alias("node"), "text")

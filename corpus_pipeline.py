@@ -48,7 +48,7 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; a copy has the id of its document."""
+    """Each document as often as the mix takes it, in the order of the shards; a copy has the id of its document."""
     return mix(docs).select(docs.columns)
 
 

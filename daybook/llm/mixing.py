@@ -20,6 +20,8 @@ _FACTS = (
     "mix_source string, mix_source_size long, mix_target double, mix_epochs int, mix_cut long, mix_bounds array<long>"
 )
 
+_SHUFFLED = ("mix_shard", "mix_order", "mix_size")
+
 
 def _block(level: int) -> F.Column:
     """The block of a row at a level: the leading bits of its place in the permutation, as an unsigned number."""
@@ -159,28 +161,53 @@ def mix_plan(
     return joined.withColumn("mix_copies", F.coalesce(F.col("mix_epochs"), F.lit(0)) + part)
 
 
-def mix(docs: DataFrame, **options: object) -> DataFrame:
-    """The mix: each row as often as the plan takes it, with ``mix_copy``, ``mix_shard`` and ``mix_order``.
-
-    A block of an epoch goes to one shard as a whole; inside a shard rows are in the order of ``mix_order``.
-    """
-    planned = mix_plan(docs, **options)
+def drawn(planned: DataFrame, columns: list[str], shards: int) -> DataFrame:
+    """The copies of planned rows: ``columns`` and those of :func:`mix`, dealt to shards and shuffled inside them."""
     copies = planned.where("mix_copies > 0").withColumn("mix_copy", F.explode(F.expr("sequence(0, mix_copies - 1)")))
-    rank = F.col("mix_copy") * (1 << BLOCK_BITS) + F.shiftrightunsigned("mix_place", 64 - BLOCK_BITS)
-    shard = F.size(F.filter("mix_bounds", lambda bound: bound <= rank))
+    block = F.col("mix_copy") * (1 << BLOCK_BITS) + F.shiftrightunsigned("mix_place", 64 - BLOCK_BITS)
+    shard = F.size(F.filter("mix_bounds", lambda bound: bound <= F.col("mix_block")))
     order = F.xxhash64("mix_place", "mix_copy", F.lit(1))
-    return copies.select(
-        *docs.columns, "mix_size", "mix_copy", shard.alias("mix_shard"), order.alias("mix_order")
-    )
+    marked = copies.withColumn("mix_block", block).withColumns({"mix_shard": shard, "mix_order": order})
+    kept = [name for name in columns if not name.startswith("mix_")]
+    dealt = marked.select(
+        *kept, "mix_place", "mix_size", "mix_source", "mix_copy", "mix_block", "mix_shard", "mix_order"
+    ).repartitionById(shards, F.col("mix_shard"))
+    return dealt.sortWithinPartitions(*_SHUFFLED)
+
+
+def mix(docs: DataFrame, shards: int = 64, **options: object) -> DataFrame:
+    """The mix: each row as often as the plan takes it, in the order of shards, each of which is one partition.
+
+    Blocks are drawn by the quotas of :func:`shard_quotas`: ``mix_block`` counts the blocks of a source, epoch after
+    epoch, and a block goes to one shard (``mix_shard``) as a whole. Inside a shard the rows of all its blocks are
+    shuffled, by ``mix_order``. Further columns are ``mix_copy`` (the epoch), ``mix_place``, ``mix_source`` and ``mix_size``.
+    """
+    return drawn(mix_plan(docs, shards=shards, **options), docs.columns, shards)
 
 
 @query()
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = mix_plan(table(spark, sf_dir, "documents"))
-    return planned.select(
+    """Each document with the words that are taken of it and where its copies are: ``draws`` has shard and position of each.
+
+    Rows that agree in id, source, length and words are taken together, and name the draws of all of them.
+    """
+    shards = 64
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    planned = mix_plan(docs, shards=shards)
+    same = ["doc_id", "mix_source", "mix_place", "mix_size"]
+    position = F.row_number().over(Window.partitionBy("mix_shard").orderBy(*_SHUFFLED[1:]))
+    placed = drawn(planned, docs.columns, shards).withColumn("position", position - 1)
+    found = placed.groupBy(*[F.col(name).alias(f"of_{name}") for name in same]).agg(
+        F.sum("mix_size").alias("words"),
+        F.count_if(F.col("mix_copy") == 0).alias("rows"),
+        F.sort_array(F.collect_list(F.struct(F.col("mix_shard").alias("shard"), "position"))).alias("draws"),
+    )
+    of_row = [F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in same]
+    return planned.join(found, of_row, "left").select(
         "doc_id",
         F.col("mix_size").alias("size"),
         F.col("mix_source_size").alias("source_size"),
         F.col("mix_target").alias("target"),
-        (F.col("mix_size") * F.col("mix_copies")).alias("taken"),
+        F.coalesce(F.expr("words div rows"), F.lit(0)).alias("taken"),
+        F.coalesce("draws", F.array().cast("array<struct<shard:int,position:int>>")).alias("draws"),
     )

@@ -55,7 +55,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write the token files and return what they hold: ``doc_id, start, n_tokens, ids`` of each document."""
     folder = new_folder(spark, "tokens")
-    write_token_files(docs, folder)
+    write_token_files(docs, folder, special=True)
     return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", "ids")
 
 

@@ -20,25 +20,28 @@ MEASURES = ["documents", "tokens"]
 _DELTA = "source string, lang string, tokenizer string, documents long, tokens long"
 
 
-def _count_batches(path: str) -> Callable:
+def _count_batches(path: str, special: bool) -> Callable:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "count_text"):
                 names = [name for name in part.schema.names if name != "count_text"]
-                tokens = [len(encoder(path).ids(text or "")) // 4 for text in part.column("count_text").to_pylist()]
+                tokens = [len(encoder(path, special).ids(text or "")) // 4 for text in part.column("count_text").to_pylist()]
                 columns = [part.column(name) for name in names]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(np.array(tokens, np.int64))], [*names, "tokens"])
-        encoder(path).known.clear()
+        encoder(path, special).known.clear()
 
     return count
 
 
-def counted(docs: DataFrame, tokenizer: str = TOKENIZER, text: str = "text") -> DataFrame:
-    """The documents without their text, with ``tokens`` of the whole text (NULL: 0) and ``tokenizer``, the version."""
+def counted(docs: DataFrame, tokenizer: str = TOKENIZER, text: str = "text", special: bool = False) -> DataFrame:
+    """The documents without their text, with ``tokens`` of the whole text (NULL: 0) and ``tokenizer``, the version.
+
+    With ``special`` names of special tokens inside a text count as those tokens, without as ordinary text.
+    """
     plain = docs.drop("tokens", "tokenizer").withColumn("count_text", F.col(text)).drop(text)
     kept = [field for field in plain.schema.fields if field.name != "count_text"]
     schema = ", ".join([*(f"`{field.name}` {field.dataType.simpleString()}" for field in kept), "tokens long"])
-    return plain.mapInArrow(_count_batches(tokenizer_path(tokenizer)), schema).withColumn("tokenizer", F.lit(tokenizer))
+    return plain.mapInArrow(_count_batches(tokenizer_path(tokenizer), special), schema).withColumn("tokenizer", F.lit(tokenizer))
 
 
 def delta(added: DataFrame | None = None, removed: DataFrame | None = None) -> DataFrame:
@@ -130,7 +133,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = table(spark, sf_dir, "documents")
     texts = docs.select("doc_id", "source", "lang", "text", F.xxhash64("text").alias("text_hash"))
-    counts = stored(counted(texts), "counts")
+    counts = stored(counted(texts, special=True), "counts")
     bare = counts.withColumns({name: F.lit(None).cast("string") for name in ("source", "lang")})
     first = counts.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"))
     copies = counts.join(first, "text_hash").where("doc_id > first_id")

@@ -54,13 +54,15 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Encodes whole texts with a tokenizer file. The ids of pieces met before are kept, up to a fixed number of pieces.
 
-    Texts with letters outside the Latin blocks go through the tokenizer as they are. Names of special tokens inside a
-    text are ordinary text.
+    Texts with letters outside the Latin blocks and texts that hold the name of an added token go through the tokenizer
+    as they are. ``special`` says what names of special tokens inside a text are: those tokens, as in the tokenizer's
+    file, or ordinary text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special: bool) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
     def piece(self, piece: str) -> bytes:
@@ -70,7 +72,7 @@ class Encoder:
     def ids(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         is_latin, cut = _latin()
-        if not is_latin(text):
+        if not is_latin(text) or any(name in text for name in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         pieces, known = cut(text), self.known
         try:
@@ -85,23 +87,23 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    """One encoder for each Python worker."""
-    return Encoder(path)
+def encoder(path: str, special: bool) -> Encoder:
+    """One encoder of a kind for each Python worker."""
+    return Encoder(path, special)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _encode_partition(path: str, end_id: int | None) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _encode_partition(path: str, end_id: int | None, special: bool) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start, row = TaskContext.get().partitionId(), 0, 0
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 piece = batch.slice(begin, 256)
-                coded = [encoder(path).ids(text or "") + end for text in piece.column("text").to_pylist()]
+                coded = [encoder(path, special).ids(text or "") + end for text in piece.column("text").to_pylist()]
                 lengths = np.array([len(x) // 4 for x in coded], np.int64)
                 offsets = np.append(0, np.cumsum(lengths))
                 ids = pa.ListArray.from_arrays(
@@ -120,26 +122,33 @@ def _encode_partition(path: str, end_id: int | None) -> Callable[[Iterable[pa.Re
                 )
                 start, row = start + int(offsets[-1]), row + piece.num_rows
         # the worker goes on to other work, which needs the memory
-        encoder(path).known.clear()
+        encoder(path, special).known.clear()
 
     return encode
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int | None = END_ID, id_column: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    folder: str,
+    tokenizer: str | None = None,
+    end_id: int | None = END_ID,
+    id_column: str = "doc_id",
+    text: str = "text",
+    special: bool = False,
 ) -> None:
     """Encode every text and write ``doc_id, part, row, start_in_part, n_tokens, ids`` in ascending id order.
 
     Rows are dealt to ranges of the id before they are encoded, so a text is encoded once and a file holds one range.
     NULL texts count as empty and get the end id alone; rows without id come first; rows that repeat an id stand side by
-    side, ordered by a hash of their text. The ids are dictionary-encoded inside row groups of ``ROW_GROUP_BYTES``,
+    side, ordered by a hash of their text. With ``special`` names of special tokens inside a text become those tokens, as
+    by the tokenizer's file; without, they are ordinary text. The ids are dictionary-encoded inside row groups of ``ROW_GROUP_BYTES``,
     with delta encoding where a dictionary grows too large, and pages of ``PAGE_BYTES`` with a page index: a reader of
     single documents or of the counts alone skips all other pages.
     """
     plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     dealt = plain.repartitionByRange(F.col("doc_id").asc_nulls_first())
     ordered = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    tokens = ordered.mapInArrow(_encode_partition(tokenizer or tokenizer_path(), end_id), _STORED)
+    tokens = ordered.mapInArrow(_encode_partition(tokenizer or tokenizer_path(), end_id, special), _STORED)
     (
         tokens.write.option("compression", "zstd")
         .option("parquet.writer.version", "PARQUET_2_0")
@@ -178,6 +187,6 @@ def _checksums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 @query()
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
-    write_token_files(table(spark, sf_dir, "documents"), folder)
+    write_token_files(table(spark, sf_dir, "documents"), folder, special=True)
     read = read_token_files(spark, folder).select("doc_id", "start", "n_tokens", "ids")
     return read.mapInArrow(_checksums, "doc_id long, start long, n_tokens long, ids_crc32 long")

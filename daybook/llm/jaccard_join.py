@@ -21,6 +21,7 @@ SUMMARY = 1 << 17
 ALL_PAIRS = 100
 COMBINED_PAIRS = 16
 SKETCH = 256
+CELLS = 16
 _U64 = np.uint64
 _SUMS = "doc_id long, n long, s1 long, s2 long, sketch binary, token long, seen long"
 _CANDIDATE = "a long, b long, star boolean"
@@ -313,12 +314,13 @@ def _verified(candidates: DataFrame, texts: DataFrame, size: int, percent: int)
     return stored(both.select("a", "b", "star", "text_a", "text_b").mapInArrow(_compare(size, percent), schema), "compared")
 
 
-def _around_hubs(stars: DataFrame, percent: int) -> DataFrame:
+def _around_hubs(stars: DataFrame, percent: int, every: bool) -> DataFrame:
     """Candidates among the members of a star, from their differences to its hub.
 
     The difference of two sets is the difference of their differences to the hub. Two sets that link therefore share a
-    known number of these tokens, or both link with the hub and need no link of their own. A join of prefixes of these
-    short lists, rare tokens first, finds the rest; pairs inside a star are never listed as such.
+    known number of these tokens, or link whatever these tokens are (see :func:`_close_to_hubs`). A join of prefixes of
+    these short lists, rare tokens first, finds the former. Unless ``every`` link is asked for, pairs of which both
+    link with the hub are left out, since components need no link of their own for them.
     """
     member = stars.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.col("n_b").alias("n"), "linked", "differ")
     spread = member.select("hub", "node", "n", "linked", F.size("differ").alias("d"), F.explode("differ").alias("token"))
@@ -331,23 +333,51 @@ def _around_hubs(stars: DataFrame, percent: int) -> DataFrame:
     most = f"floor({100 - percent} * (x_n + y_n) / {100 + percent})"
     share = f"ceil((x_d + y_d - {most}) / 2)"
     near = (
-        f"x_node < y_node AND NOT (x_linked AND y_linked) AND abs(x_d - y_d) <= {most} AND {share} >= 1"
+        f"x_node < y_node AND ({every} OR NOT (x_linked AND y_linked)) AND abs(x_d - y_d) <= {most} AND {share} >= 1"
         f" AND x_place <= x_d - {share} + 1 AND y_place <= y_d - {share} + 1"
     )
     pairs = x.join(y, ["hub", "token"]).where(near)
     return pairs.select(F.col("x_node").alias("a"), F.col("y_node").alias("b"), F.lit(False).alias("star")).distinct()
 
 
+def _close_to_hubs(stars: DataFrame, percent: int) -> DataFrame:
+    """Links among the members of a star that are so near its hub that their differences to it can't add up to too much.
+
+    The pairs of one star are dealt to ``CELLS`` times ``CELLS`` keys.
+    """
+    member = stars.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.col("n_b").alias("n"), F.size("differ").alias("d"))
+    member = stored(member.withColumn("cell", F.pmod(F.xxhash64("node"), F.lit(CELLS))), "hub-members")
+    cells = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(CELLS - 1).cast("long")))
+    x, y = (member.select("hub", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "d", "cell")]) for side in "xy")
+    x, y = x.withColumn("y_cell", cells), y.withColumn("x_cell", cells)
+    near = f"x_node < y_node AND {100 + percent} * (x_d + y_d) <= {100 - percent} * (x_n + y_n)"
+    pairs = x.join(y, ["hub", "x_cell", "y_cell"]).where(near)
+    return pairs.select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
+
+
+def _link_counts(links: DataFrame, members: DataFrame) -> DataFrame:
+    """``link_class, class_size, class_links``: the documents of each class, and those of all classes it links with."""
+    named = members.where("n > 0 AND class_id IS NOT NULL")
+    sizes = stored(named.groupBy(F.col("class_id").alias("link_class")).agg(F.count_distinct("doc_id").alias("class_size")), "class-sizes")
+    both = links.select(F.col("a").alias("link_class"), F.col("b").alias("other"))
+    both = both.union(both.select(F.col("other").alias("link_class"), F.col("link_class").alias("other")))
+    others = sizes.select(F.col("link_class").alias("other"), F.col("class_size").alias("other_size"))
+    linked = both.join(others, "other").groupBy("link_class").agg(F.sum("other_size").alias("class_links"))
+    return sizes.join(linked, "link_class", "left")
+
+
 def near_duplicates(
-    docs: DataFrame, size: int = 4, percent: int = 85, id_column: str = "doc_id", text: str = "text"
+    docs: DataFrame, size: int = 4, percent: int = 85, id_column: str = "doc_id", text: str = "text", with_links: bool = False
 ) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, class_id, component_id``.
+    """One row per document: ``doc_id, n_shingles, class_id, component_id``, and ``n_links`` if asked for.
 
     The set of a text holds its distinct ``size``-word shingles, after lower-casing A-Z; a text of fewer words is one
     shingle, and NULL, empty and blank texts have none. Two texts link when their sets have a Jaccard similarity of
     ``percent`` / 100 or more. ``class_id`` is the smallest id with the same set, ``component_id`` the smallest id that
     links reach; texts without words are alone. Rows without id take part only as copies of a row with one, their own
-    class has no id otherwise. Rows that repeat an id with different texts count as one document.
+    class has no id otherwise. Rows that repeat an id with different texts count as one document. ``n_links`` is the
+    number of other documents that the text links with, copies included. All links are found for it, as many as a family
+    of different texts has pairs; components alone need fewer.
 
     Equal sets are joined first, so copies cost one row each. Then candidates share a token of the prefixes of
     their sets or, where tokens are frequent, a combination of tokens, and every candidate that a sketch
@@ -391,15 +421,24 @@ def near_duplicates(
     candidates = _sketched(from_rare.union(from_often).groupBy("a", "b").agg(F.max("star").alias("star")), sketches, percent)
     texts = plain.select(F.col("doc_id").alias("node"), "text")
     compared = _verified(stored(candidates, "candidates"), texts, size, percent)
-    around = stored(_around_hubs(compared.where("star"), percent), "candidates")
+    stars = compared.where("star")
+    around = stored(_around_hubs(stars, percent, with_links), "candidates")
     done = compared.select("a", "b")
     again = _verified(_sketched(around.join(done, ["a", "b"], "left_anti"), sketches, percent), texts, size, percent)
     links = compared.where("linked").select("a", "b").union(again.where("linked").select("a", "b"))
     found = components(links).withColumnRenamed("node", "class_id")
     members = sets.join(classes, ["n", "s1", "s2"], "left").join(found, "class_id", "left")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("class_id"))
+    counts = []
+    if with_links:
+        every = stored(links.union(_close_to_hubs(stars, percent)).distinct(), "links")
+        sums = _link_counts(every, members.select("doc_id", "n", "class_id"))
+        members = members.join(sums, F.col("class_id") == F.col("link_class"), "left")
+        copies = F.col("class_size") - F.col("doc_id").isNotNull().cast("long")
+        total = F.when(F.col("n") > 0, copies + F.coalesce("class_links", F.lit(0)))
+        counts.append(F.coalesce(total, F.lit(0)).alias("n_links"))
     return members.select(
-        "doc_id", F.col("n").alias("n_shingles"), own.alias("class_id"), F.coalesce("component", own).alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), own.alias("class_id"), F.coalesce("component", own).alias("component_id"), *counts
     )
 
 

@@ -230,7 +230,7 @@ def _sql() -> str:
     return rf"""
 WITH texts AS (
   SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words FROM documents),
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
 firsts AS (SELECT text, min(doc_id) AS first_id FROM texts GROUP BY text),
 marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
 masks AS (

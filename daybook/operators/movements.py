@@ -64,20 +64,38 @@ def split_signed(lines: DataFrame, amount: str = "AMT", positive_side: str = "CR
     return lines.withColumns({above: positive_part(amount).cast(MONEY), below: negative_part(amount).cast(MONEY)})
 
 
-def key_totals(lines: DataFrame, amount: str = "AMT", positive_side: str = "CREDIT") -> DataFrame:
-    """Credit, debit and line count per key.
+def line_totals(lines: DataFrame, amount: str = "AMT", positive_side: str = "CREDIT") -> DataFrame:
+    """Credit, debit, count of accepted and of rejected lines per key; a line without an amount is rejected.
 
-    Lines are summed before the shuffle, so a key that holds a third of the lines costs one row per task.
-    Lines whose key has a NULL part form one group and are counted too.
+    One pass over the lines serves both: no filter stands between the decoder and the sums, so an amount is decoded
+    once. Lines are summed before the shuffle, so a key that holds a third of the lines costs one row per task. Lines
+    whose key has a NULL part form one group and are counted too.
     """
     keyed = split_signed(lines.select(compose_glcc().alias("GLCC"), amount), amount, positive_side)
     return keyed.groupBy("GLCC").agg(
         F.sum("CREDIT_AMOUNT").cast(MONEY).alias("CREDIT_AMOUNT"),
         F.sum("DEBIT_AMOUNT").cast(MONEY).alias("DEBIT_AMOUNT"),
-        F.count(F.lit(1)).alias("TRANSACTION_COUNT"),
+        F.count(amount).alias("TRANSACTION_COUNT"),
+        (F.count(F.lit(1)) - F.count(amount)).alias("REJECTED_COUNT"),
     )
 
 
+def accepted(totals: DataFrame) -> DataFrame:
+    """Totals of the keys that have an accepted line."""
+    return totals.filter(F.col("TRANSACTION_COUNT") > 0).drop("REJECTED_COUNT")
+
+
+def has_rejects(totals: DataFrame) -> bool:
+    """Whether any line was rejected; on stored totals a look at the statistics of one column."""
+    return not totals.filter(F.col("REJECTED_COUNT") > 0).isEmpty()
+
+
+def key_totals(lines: DataFrame, amount: str = "AMT", positive_side: str = "CREDIT") -> DataFrame:
+    """Credit, debit and line count per key; here a line without an amount counts, as nothing on either side."""
+    both = F.col("TRANSACTION_COUNT") + F.col("REJECTED_COUNT")
+    return line_totals(lines, amount, positive_side).withColumn("TRANSACTION_COUNT", both).drop("REJECTED_COUNT")
+
+
 def aggregate_movements(
     lines: DataFrame, batch_id: str | None = None, amount: str = "AMT", positive_side: str = "CREDIT"
 ) -> DataFrame:

@@ -187,7 +187,6 @@ def rejected_amounts(df: DataFrame, raw: str, decoded: str) -> DataFrame:
     return df.filter(F.col(raw).isNotNull() & F.col(decoded).isNull())
 
 
-def split_rejects(lines: DataFrame, amount: str = "AMT") -> tuple[DataFrame, DataFrame]:
-    """Lines with an amount, and those without one that counts, with the REASON; no line is in neither or in both."""
-    reason = F.lit(UNDECODABLE)
-    return lines.filter(F.col(amount).isNotNull()), lines.filter(F.col(amount).isNull()).withColumn("REASON", reason)
+def rejected_lines(lines: DataFrame, amount: str = "AMT") -> DataFrame:
+    """Lines without an amount that counts, with the REASON. The others are what ``movements.line_totals`` accepts."""
+    return lines.filter(F.col(amount).isNull()).withColumn("REASON", F.lit(UNDECODABLE))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from daybook.operators import differences as diff
 from daybook.session import checkpointed
-from daybook.sinks import lake
+from daybook.sinks import lake, steps
 
 
 @dataclass(frozen=True)
@@ -37,9 +37,18 @@ def run_daily_difference(
     day: dt.date,
     table: str,
     lake_table: str,
+    step_log: str | None = None,
+    run_id: str = "",
 ) -> DifferenceResult:
-    """Write the differences of the day to the report table and to the lake table, and return the JSON summary."""
-    rows = checkpointed(daily_difference(gl, cbs, previous, compared_cgls, day))
-    lake.replace_slice(rows, table, "RECON_RUN_DATE", day)
-    lake.replace_slice(diff.lake_differences(rows), lake_table, "RECON_DATE", day)
-    return DifferenceResult(rows, diff.difference_summary(rows))
+    """Write the differences of the day to the report table and to the lake table, and return the JSON summary.
+
+    With a step log the end of the step carries the summary; a step that fails is logged as failed.
+    """
+    with steps.logged_step(gl.sparkSession, step_log, run_id, "daily_difference") as state:
+        rows = checkpointed(daily_difference(gl, cbs, previous, compared_cgls, day))
+        lake.replace_slice(rows, table, "RECON_RUN_DATE", day)
+        lake.replace_slice(diff.lake_differences(rows), lake_table, "RECON_DATE", day)
+        summary = diff.difference_summary(rows)
+        if step_log is not None:
+            state.payload = summary.first()[0]
+        return DifferenceResult(rows, summary)

@@ -13,11 +13,11 @@ from daybook.functions import is_month_end
 from daybook.operators import balances as bal
 from daybook.operators import movements as mov
 from daybook.operators import postings as post
-from daybook.operators.parse import split_rejects
+from daybook.operators.parse import rejected_lines
 from daybook.operators.validation import validate
 from daybook.session import checkpointed
 from daybook.sinks import lake, reports, steps
-from daybook.sources.lake import EMPTY_OPENING, find_slice, first_available, present_slice
+from daybook.sources.lake import EMPTY_OPENING, empty_frame, find_slice, first_available, present_slice
 from daybook.sources.masters import Masters
 
 Rule = Callable[[DataFrame], DataFrame]
@@ -50,6 +50,7 @@ class LedgerResult:
     lake_balances: DataFrame
     month_end: DataFrame | None
     rejects: DataFrame
+    totals: DataFrame
 
 
 def ledger_balance(
@@ -57,16 +58,15 @@ def ledger_balance(
 ) -> LedgerResult:
     """Decoded lines (BRANCH_CODE, CURRENCY, CGL, AMT) to transactions, quarantine, rejects and balances.
 
-    Lines without an amount that counts are rejects and take no part. ``hold`` is applied to the frames that several
-    results share: the postings per key, which stand for the only scan of the lines that count, the balanced postings
-    and the closing balances. Pass ``daybook.session.checkpointed`` when more than one result is
+    Lines without an amount that counts are rejects and take no part; they are counted in the same pass that sums the
+    others, and listed by a scan of their own. ``hold`` is applied to the frames that several results share: the totals
+    per key, which stand for the only scan of the lines that count, the balanced postings and the closing balances. Pass ``daybook.session.checkpointed`` when more than one result is
     written; with the default the results are plain lazy plans.
     """
-    lines, rejects = split_rejects(lines)
-    postings = mov.aggregate_movements(lines, run.batch_id, positive_side=run.positive_side)
+    totals = hold(mov.line_totals(lines, positive_side=run.positive_side))
+    postings = mov.as_postings(mov.accepted(totals), run.batch_id)
     if run.provision is not None:
         postings = post.union_postings(postings, run.provision)
-    postings = hold(postings)
 
     valid, invalid = validate(postings, masters.branches, masters.currencies, masters.cgls, run.day)
     posted = hold(post.balanced_postings(valid))
@@ -85,7 +85,7 @@ def ledger_balance(
 
     converted = hold(bal.convert_currency(closing, masters.rates))
     return LedgerResult(
-        post.dated(posted, run.day), invalid, converted, bal.lake_balances(converted), month_end, rejects
+        post.dated(posted, run.day), invalid, converted, bal.lake_balances(converted), month_end, rejected_lines(lines), totals
     )
 
 
@@ -107,11 +107,19 @@ def run_ledger_day(
 ) -> LedgerResult:
     """Write the day. Every table gets its date replaced, so a rerun ends in the same state; the marker comes last.
 
-    Journals and reversals that the transaction table already has for the date stay.
+    Journals and reversals that the transaction table already has for the date stay. Rejected lines are looked for only
+    when the totals have counted one. A run that fails is logged as failed.
     """
-    log_state(spark, tables, run, steps.STARTED)
+    with steps.logged_step(spark, tables.step_log, run.batch_id or "", "ledger_day"):
+        return _ledger_day(spark, lines, masters, opening, run, tables)
+
+
+def _ledger_day(
+    spark: SparkSession, lines: DataFrame, masters: Masters, opening: DataFrame, run: LedgerDay, tables: LedgerTables
+) -> LedgerResult:
     result = ledger_balance(lines, masters, opening, run, hold=checkpointed)
-    lake.replace_slice(result.rejects.withColumn("REJECT_DATE", F.lit(run.day)), tables.rejects, "REJECT_DATE", run.day)
+    rejects = result.rejects if mov.has_rejects(result.totals) else empty_frame(spark, result.rejects.schema)
+    lake.replace_slice(rejects.withColumn("REJECT_DATE", F.lit(run.day)), tables.rejects, "REJECT_DATE", run.day)
     posted = result.transactions
     if result.month_end is not None:
         posted = posted.unionByName(post.dated(result.month_end, run.day).select(*posted.columns))
@@ -120,15 +128,9 @@ def run_ledger_day(
     lake.replace_slice(result.balances, tables.balances, "BALANCE_DATE", run.day)
     lake.replace_slice(result.lake_balances, tables.lake_balances, "BALANCE_DATE", run.day)
     reports.write_marker(spark, tables.markers, run.day, run.run_no)
-    log_state(spark, tables, run, steps.SUCCEEDED)
     return result
 
 
-def log_state(spark: SparkSession, tables: LedgerTables, run: LedgerDay, status: int) -> None:
-    if tables.step_log is not None:
-        steps.log_step(spark, tables.step_log, run.batch_id or "", "ledger_day", status)
-
-
 def load_opening(
     spark: SparkSession,
     day: dt.date,

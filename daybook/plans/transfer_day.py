@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from daybook.operators import transfers as tr
 from daybook.session import broadcast_if_small, checkpointed
-from daybook.sinks import lake
+from daybook.sinks import lake, steps
 
 
 @dataclass(frozen=True)
@@ -43,11 +43,16 @@ def run_pl_transfer(
     folder: str,
     batch_id: int | str | None = None,
     journal_id: int | str | None = None,
+    step_log: str | None = None,
 ) -> TransferResult:
-    """Write the three tables of the transfer; each gets the date replaced, so a rerun ends in the same state."""
-    small = broadcast_if_small(branches, circles)
-    result = pl_transfer(balances, *small, day, batch_id, journal_id, hold=checkpointed)
-    lake.replace_slice(result.postings, f"{folder}/transactions", "TRANSACTION_DATE", day)
-    lake.replace_slice(result.balances, f"{folder}/balances", "BALANCE_DATE", day)
-    lake.replace_slice(result.report, f"{folder}/report", "TRANSFER_DATE", day)
-    return result
+    """Write the three tables of the transfer; each gets the date replaced, so a rerun ends in the same state.
+
+    A step that fails is logged as failed.
+    """
+    with steps.logged_step(balances.sparkSession, step_log, str(batch_id or ""), "pl_transfer"):
+        small = broadcast_if_small(branches, circles)
+        result = pl_transfer(balances, *small, day, batch_id, journal_id, hold=checkpointed)
+        lake.replace_slice(result.postings, f"{folder}/transactions", "TRANSACTION_DATE", day)
+        lake.replace_slice(result.balances, f"{folder}/balances", "BALANCE_DATE", day)
+        lake.replace_slice(result.report, f"{folder}/report", "TRANSFER_DATE", day)
+        return result

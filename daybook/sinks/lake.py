@@ -9,11 +9,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.sources.lake import empty_frame, find_slice, is_absent, read_lake
+from daybook.sources.lake import empty_frame, find_slice, table_shape
 
 # Postings that a rerun creates again, unlike journals and reversals.
 REGENERATED_FLAGS = ("C", "F", "P", "T", "V")
@@ -47,12 +46,9 @@ def _checked(df: DataFrame, column: str, day: dt.date) -> DataFrame:
 
 def _same_types(df: DataFrame, path: str, column: str) -> None:
     """Refuse rows that would leave a table with slices of two shapes, which can't be read together."""
-    try:
-        present = read_lake(df.sparkSession, path).schema
-    except AnalysisException as error:
-        if is_absent(error):
-            return
-        raise
+    present = table_shape(df.sparkSession, path)
+    if present is None:
+        return
     kinds = {field.name: field.dataType for field in df.schema.fields}
     for field in present.fields:
         if field.name != column and kinds.get(field.name) != field.dataType:

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +23,8 @@ def step_rows(spark: SparkSession, run_id: str, step: str, status: int, message:
 
 
 def append_states(rows: DataFrame, path: str) -> None:
-    """Append states to the log."""
-    rows.write.mode("append").parquet(path)
+    """Append states to the log, each call in a folder of its own: jobs that run side by side share no staging folder."""
+    rows.write.parquet(f"{path}/entry={uuid.uuid4().hex}")
 
 
 def log_step(
@@ -31,6 +37,41 @@ def log_step(
     append_states(rows.coalesce(1), path)
 
 
+@dataclass
+class StepState:
+    """What a step tells when it ends well."""
+
+    message: str = ""
+    payload: str | None = None
+
+
+MOST_MESSAGE = 2000
+
+
+@contextmanager
+def logged_step(spark: SparkSession, path: str | None, run_id: str, step: str) -> Iterator[StepState]:
+    """Log a step as started, then as succeeded or, when its body raises, as failed; the error goes on to the caller.
+
+    A failed step has the first line of the error as its message and a JSON text with the kind of the error and its
+    full message, up to 2,000 characters, as payload. Without a path nothing is logged.
+    """
+    state = StepState()
+
+    def log(status: int, message: str, payload: str | None = None) -> None:
+        if path is not None:
+            log_step(spark, path, run_id, step, status, message, payload)
+
+    log(STARTED, "")
+    try:
+        yield state
+    except BaseException as error:
+        text = str(error)
+        told = {"step": step, "error": type(error).__name__, "message": text[:MOST_MESSAGE]}
+        log(FAILED, f"{type(error).__name__}: {text.splitlines()[0] if text else ''}"[:MOST_MESSAGE], json.dumps(told))
+        raise
+    log(SUCCEEDED, state.message, state.payload)
+
+
 def latest_status(steps: DataFrame) -> DataFrame:
     """Latest status of every step; between equal times the higher status counts."""
     order = F.struct("LOGGED_AT", "STATUS")

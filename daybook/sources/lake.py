@@ -40,14 +40,36 @@ def is_absent(error: AnalysisException) -> bool:
     return error.getCondition() in ABSENT_CONDITIONS
 
 
+def data_file(spark: SparkSession, path: str) -> str | None:
+    """Some data file of a table, or None when it has none. Folders are listed down to the first file, none is opened."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def first(folder) -> str | None:
+        inside = sorted(files.listStatus(folder), key=lambda s: s.getPath().getName(), reverse=True)
+        for status in inside:
+            if status.isFile() and status.getPath().getName().startswith("part-"):
+                return status.getPath().toString()
+        below = (first(s.getPath()) for s in inside if s.isDirectory() and s.getPath().getName()[:1] not in ("_", "."))
+        return next((found for found in below if found), None)
+
+    return first(base) if files.exists(base) else None
+
+
+def table_shape(spark: SparkSession, path: str) -> StructType | None:
+    """Columns of a table without those of its folders, from the footer of one file; None when there is no file."""
+    found = data_file(spark, path)
+    return None if found is None else spark.read.option("recursiveFileLookup", "true").parquet(found).schema
+
+
 def find_slice(spark: SparkSession, path: str, column: str, day: dt.date) -> DataFrame | None:
-    """One date of a lake table, or None when there is no such table. Any other failure surfaces."""
-    try:
-        return read_slice(spark, path, column, day)
-    except AnalysisException as error:
-        if is_absent(error):
-            return None
-        raise
+    """One date of a lake table, or None when there is no such table. Only the folder of the date is listed."""
+    folder = f"{path}/{column}={day}"
+    if data_file(spark, folder) is not None:
+        rows = spark.read.option("basePath", path).parquet(folder)
+        return rows.withColumn(column, F.col(column).cast("date"))
+    # a table without the date gives no rows, one that is not divided by this column an error
+    return None if data_file(spark, path) is None else read_slice(spark, path, column, day)
 
 
 def empty_frame(spark: SparkSession, schema: str | StructType) -> DataFrame:

@@ -98,3 +98,9 @@ def test_master_beyond_the_limit_is_joined_without_broadcast(spark, no_automatic
     assert "SortMergeJoin" in physical(large[0]) and "BroadcastHashJoin" in physical(small_side[0])
     for one, other in zip(large, small_side, strict=True):
         assert one.exceptAll(other).isEmpty() and one.count() == other.count() > 0
+
+
+def test_amounts_are_decoded_once_on_the_way_to_the_balances(small):
+    lines = optimized(small.lines()).count("translate(")
+    assert optimized(jobs.ledger_day(small).balances).count("translate(") == lines > 0
+    assert "Filter" not in optimized(mov.line_totals(small.lines())).split("Aggregate")[1].split("Project")[0]

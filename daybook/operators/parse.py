@@ -66,6 +66,10 @@ TYPES_WITHOUT_ACCOUNT = ("GLCCCTA", "GLCCGEN")
 SUMMARY_TYPE_PREFIX = "GLCC"
 NO_ACCOUNT = "NA"
 UNDECODABLE = "UNDECODABLE AMOUNT"
+# What becomes of a line of a file, and the fields that can fail.
+STORED, REJECTED = "stored", "rejected"
+JUDGED_COLUMNS = ("REASON", "RAW_LINE", "OUTCOME")
+DECODED_COLUMNS = ("FCY_AMT", "LCY_AMT", "POST_DATE", "TRANS_DATE")
 
 
 class Field(NamedTuple):
@@ -126,7 +130,31 @@ def replace_present(df: DataFrame, changes: dict[str, Column]) -> DataFrame:
 
 def ledger_rows(lines: DataFrame, layout: Sequence[Field], file_name: str = "FILE_NAME") -> DataFrame:
     """Typed ledger rows: dates from serial days, clock time, bare account, decoded foreign and local amounts."""
-    parsed = parse_fixed_width(lines, layout, keep=[file_name])
+    typed = _typed_ledger(parse_fixed_width(lines, layout, keep=[file_name]))
+    return typed.select(*[f.name for f in layout], "AMOUNT", file_name)
+
+
+def judged_ledger_rows(lines: DataFrame, layout: Sequence[Field], file_name: str = "FILE_NAME") -> DataFrame:
+    """Typed ledger rows with OUTCOME, REASON and RAW_LINE.
+
+    A line is rejected when a field that has text can't be decoded, or when no amount counts. REASON names the fields and
+    RAW_LINE is the line as it came; stored rows have neither. An empty field is no fault of its own.
+    """
+    raw = [F.trim(F.substring("value", f.start, f.end - f.start)).alias(f"_raw_{f.name}") for f in layout if f.name in DECODED_COLUMNS]
+    typed = _typed_ledger(parse_fixed_width(lines, layout, keep=[file_name, F.col("value").alias("_line"), *raw]))
+    lost = [F.when((F.col(f"_raw_{n}") != "") & F.col(n).isNull(), n) for n in DECODED_COLUMNS if f"_raw_{n}" in typed.columns]
+    judged = _judged(typed, F.concat_ws(",", *lost, F.when(F.col("AMOUNT").isNull(), "AMOUNT")))
+    return judged.select(*[f.name for f in layout], "AMOUNT", file_name, *JUDGED_COLUMNS)
+
+
+def _judged(rows: DataFrame, faults: Column) -> DataFrame:
+    """Rows with what became of them; ``_line`` is the line that they were cut from."""
+    named = rows.withColumn("REASON", F.nullif(faults, F.lit("")))
+    outcome = F.when(F.col("REASON").isNull(), STORED).otherwise(REJECTED)
+    return named.withColumns({"OUTCOME": outcome, "RAW_LINE": F.when(F.col("REASON").isNotNull(), F.col("_line"))})
+
+
+def _typed_ledger(parsed: DataFrame) -> DataFrame:
     day = serial_day("POST_DATE")
     money = {n: decode_overpunch(n).cast(MONEY) for n in ("FCY_AMT", "LCY_AMT")}
     changed = replace_present(
@@ -139,10 +167,7 @@ def ledger_rows(lines: DataFrame, layout: Sequence[Field], file_name: str = "FIL
             **money,
         },
     )
-    columns = [f.name for f in layout]
-    return changed.withColumn("AMOUNT", effective_amount("FCY_CODE", "FCY_AMT", "LCY_AMT")).select(
-        *columns, "AMOUNT", file_name
-    )
+    return changed.withColumn("AMOUNT", effective_amount("FCY_CODE", "FCY_AMT", "LCY_AMT"))
 
 
 def unsigned_amounts(df: DataFrame, layout: Sequence[Field]) -> DataFrame:
@@ -169,8 +194,31 @@ def account_rows(
     return lines.select(*keep, *[c.alias(name) for name, c in account_columns(layout, file_type).items()])
 
 
+def account_type(file_name: Column | str, types: Iterable[str]) -> Column:
+    """The type whose name a file name begins with, the longest if several do; NULL for other files."""
+    name = F.col(file_name) if isinstance(file_name, str) else file_name
+    return F.coalesce(*[F.when(F.startswith(name, F.lit(t)), t) for t in sorted(types, key=len, reverse=True)])
+
+
+def judged_account_rows(
+    lines: DataFrame, layouts: Mapping[str, Sequence[Field]], type_column: str = "FILE_TYPE", file_name: str = "FILE_NAME"
+) -> DataFrame:
+    """Typed rows of all account file types in one scan, with OUTCOME, REASON and RAW_LINE as ledger rows have them."""
+    rows = account_rows_of_types(lines, layouts, type_column, keep=[file_name, F.col("value").alias("_line")])
+    lost = []
+    for file_type, layout in layouts.items():
+        for f in layout:
+            if f.name in SIGNED_COLUMNS[file_type]:
+                there = F.trim(F.substring("_line", f.start, f.end - f.start)) != ""
+                lost.append(F.when((F.col(type_column) == file_type) & there & F.col(f.name).isNull(), f.name))
+    return _judged(rows, F.concat_ws(",", *lost)).drop("_line")
+
+
 def account_rows_of_types(
-    lines: DataFrame, layouts: Mapping[str, Sequence[Field]], type_column: str = "FILE_TYPE"
+    lines: DataFrame,
+    layouts: Mapping[str, Sequence[Field]],
+    type_column: str = "FILE_TYPE",
+    keep: Sequence[str | Column] = (),
 ) -> DataFrame:
     """Typed rows of all account file types in one scan; columns that a type does not have are NULL."""
     chosen: dict[str, Column] = {}
@@ -179,7 +227,7 @@ def account_rows_of_types(
         for name, column in account_columns(layout, file_type).items():
             chosen[name] = chosen[name].when(of_type, column) if name in chosen else F.when(of_type, column)
     known = lines.filter(F.col(type_column).isin(*layouts))
-    return known.select(type_column, *[column.alias(name) for name, column in chosen.items()])
+    return known.select(type_column, *keep, *[column.alias(name) for name, column in chosen.items()])
 
 
 def rejected_amounts(df: DataFrame, raw: str, decoded: str) -> DataFrame:

@@ -291,11 +291,15 @@ HEAD_COUNTS = """
       cast(sum(case when "type" = 'New Entry' then 1 else 0 end) as bigint) "new entry" from o_daily group by 1, 2"""
 
 
+def compared(i: Inputs) -> DataFrame:
+    """Accounts that take part in the daily comparison."""
+    return broadcast_if_small(ms.flagged_cgls(i("cgl_master"), "BAL_COMPARE"))[0]
+
+
 def daily(i: Inputs) -> DataFrame:
     from daybook.plans.difference_day import daily_difference
 
-    (cgls,) = broadcast_if_small(ms.flagged_cgls(i("cgl_master"), "BAL_COMPARE"))
-    rows = daily_difference(i("gl_side"), i("cbs_side"), i("previous_difference"), cgls, DAY)
+    rows = daily_difference(i("gl_side"), i("cbs_side"), i("previous_difference"), compared(i), DAY)
     return rows
 
 

@@ -11,13 +11,16 @@ from daybook.functions import decode_overpunch
 from daybook.functions.amounts import LEDGER_WIDTH
 from daybook.functions.text import STRICT_FILE_PATTERN
 from daybook.operators.movements import exclude_file_types
-from daybook.plans import file_ingest, ledger_day
-from daybook.session import new_folder
-from daybook.sinks import lake, reports, steps
+from daybook.operators.parse import judged_ledger_rows
+from daybook.plans import difference_day, file_ingest, ledger_day
+from daybook.operators import rowcounts as rc
+from daybook.session import checkpointed, new_folder
+from daybook.sinks import control, lake, reports, steps
 from daybook.sources import lake as lake_source
 from daybook.sources import text_files as tf
-from workload.fixtures import BRANCH, CGL, CURRENCY, DAY, FILE_NAME, KEY, POSTING, overpunched, padded
-from workload.ledger_jobs import LEDGER_LAYOUT, thousandths
+from workload.fixtures import BRANCH, CGL, CURRENCY, DAY, FILE_NAME, FILE_TYPE, KEY, MONEY, POSTING, overpunched, padded
+from workload.basics import SUMMARY_JSON, compared
+from workload.ledger_jobs import ACCOUNT_LAYOUTS, LEDGER_LAYOUT, thousandths
 from workload.registry import Inputs, query
 from workload.scans_and_sinks import stored
 
@@ -26,21 +29,25 @@ COUNTED = "(select FILE_NAME, cast(count(*) as bigint) n from ledger_raw group b
 STREAM = "lower(substring(FILE_NAME,18,1))"
 
 
-def text_folder(i: Inputs, view: str, by_stream: bool = True) -> str:
-    """The lines of a view as one gzip file per FILE_NAME, in the folder of its stream or all in one folder."""
+def text_folder(i: Inputs, view: str | DataFrame, by_stream: bool = True) -> str:
+    """The lines of a view as one gzip file per FILE_NAME, in the folder of its stream or all in one folder.
+
+    A file of a bank's day is one gzip file, so its lines do go through one task here, as they do when it is read.
+    """
     staged, base = new_folder(i.spark, "staged"), new_folder(i.spark, "files")
-    lines = i(view).select("FILE_NAME", "value").repartition("FILE_NAME")
+    lines = i(view) if isinstance(view, str) else view
+    lines = lines.select("FILE_NAME", "value").repartition("FILE_NAME")
     lines.write.partitionBy("FILE_NAME").option("compression", "gzip").text(staged)
     path = i.spark._jvm.org.apache.hadoop.fs.Path
     files = path(staged).getFileSystem(i.spark._jsc.hadoopConfiguration())
     for folder in files.listStatus(path(staged)):
         if folder.isDirectory():
             name = folder.getPath().getName().removeprefix("FILE_NAME=")
-            target = f"{base}/{name[17].lower()}" if by_stream else base
+            target = f"{base}/{name[-5].lower()}" if by_stream else base
             files.mkdirs(path(target))
             for part in files.listStatus(folder.getPath()):
-                if part.getPath().getName().startswith("part-"):
-                    files.rename(part.getPath(), path(f"{target}/{name}.gz"))
+                if part.getPath().getName().startswith("part-") and not files.rename(part.getPath(), path(f"{target}/{name}.gz")):
+                    raise OSError(f"{name} could not be put into {target}")
     return base
 
 
@@ -116,18 +123,18 @@ def success_marker_snk15(i: Inputs) -> DataFrame:
 def run_ledger_ingest_opr01(i: Inputs) -> DataFrame:
     """The job over gzip files in a folder given with a slash at its end, run twice."""
     folder = text_folder(i, "ledger_text")
-    table, report, control = (new_folder(i.spark, name) for name in ("lines", "reports", "control"))
+    table, report, announced_at = (new_folder(i.spark, name) for name in ("lines", "reports", "control"))
     log = new_folder(i.spark, "steps")
     announced = i("control_table").filter(F.col("ETL_DAY") == F.lit(DAY))
-    lake.overwrite(announced, control, ["ETL_DAY"])
-    update = file_ingest.Control(control, "ETL_DAY", DAY, log, "R1")
+    lake.overwrite(announced, announced_at, ["ETL_DAY"])
+    update = file_ingest.Control(announced_at, "ETL_DAY", DAY, log, "R1")
     for _ in range(2):
         file_ingest.run_ledger_ingest(
             i.spark, announced, f"{folder}/", LEDGER_LAYOUT, table, report, STRICT_FILE_PATTERN, True, update=update
         )
     read = lake_source.read_lake(i.spark, table).groupBy("FILE_NAME").agg(F.count("*").alias("ROWS_READ"))
     state = steps.latest_status(i.spark.read.parquet(log)).first()["STATUS"]
-    rows = lake_source.read_lake(i.spark, control).drop("ETL_DAY").join(read, "FILE_NAME", "left")
+    rows = lake_source.read_lake(i.spark, announced_at).drop("ETL_DAY").join(read, "FILE_NAME", "left")
     return rows.withColumn("STEP_STATUS", F.lit(state))
 
 
@@ -189,3 +196,134 @@ def run_ledger_day_opr18(i: Inputs) -> DataFrame:
     for _ in range(2):
         ledger_day.run_ledger_day(i.spark, i.lines(), i.masters(), i("opening_balance"), run, tables)
     return lake_source.read_lake(i.spark, path)
+
+
+def spoiled_text(i: Inputs) -> DataFrame:
+    """Ledger text in which some lines have unknown sign characters and some a posting date that is none."""
+    order, line = F.substring("value", 1, 17).cast("long"), F.col("value")
+    signs = F.concat(F.substring(line, 1, 36), F.lit("?"), F.substring(line, 38, 16), F.lit("?"), F.substring(line, 55, 200))
+    line = F.when(order % 97 == 0, signs).otherwise(line)
+    dates = F.concat(F.substring(line, 1, 54), F.lit("xxxxxx"), F.substring(line, 61, 200))
+    return i("ledger_text").withColumn("value", F.when(order % 89 == 0, dates).otherwise(line))
+
+
+@query("""
+    select r.FILE_NAME, cast(count(*) as bigint) ROWS_READ,
+      cast(sum(case when l_orderkey % 97 = 0 or l_orderkey % 89 = 0 then 0 else 1 end) as bigint) ROWS_STORED,
+      cast(sum(case when l_orderkey % 97 = 0 or l_orderkey % 89 = 0 then 1 else 0 end) as bigint) ROWS_REJECTED,
+      cast(sum(case when l_orderkey % 97 = 0 then 1 else 0 end) as bigint) BAD_AMOUNTS,
+      cast(sum(case when l_orderkey % 89 = 0 then 1 else 0 end) as bigint) BAD_DATES,
+      cast(sum(case when l_orderkey % 97 = 0 or l_orderkey % 89 = 0 then 0 else l_orderkey end) as bigint) ACCOUNTS
+    from ledger_raw r join control_file c on c.FILE_NAME = r.FILE_NAME group by 1""")
+def ingest_rejects_opr01(i: Inputs) -> DataFrame:
+    """What a file gave, what was stored and what was rejected for which fields; the stored accounts are added up."""
+    table, report = new_folder(i.spark, "lines"), new_folder(i.spark, "reports")
+    done = file_ingest.run_ledger_ingest(
+        i.spark, i("control_file"), text_folder(i, spoiled_text(i)), LEDGER_LAYOUT, table, report, STRICT_FILE_PATTERN,
+        True, parse=judged_ledger_rows,
+    )
+    lost = done.rejects.groupBy("FILE_NAME").agg(
+        F.count_if(F.col("REASON").contains("AMT")).alias("BAD_AMOUNTS"),
+        F.count_if(F.col("REASON").contains("POST_DATE")).alias("BAD_DATES"),
+    )
+    stored_rows = done.rows.groupBy("FILE_NAME").agg(F.sum(F.col("ACCOUNT").cast("long")).alias("ACCOUNTS"))
+    return done.outcomes.join(lost, "FILE_NAME", "left").join(stored_rows, "FILE_NAME", "left")
+
+
+BAD_ACCOUNT = "l_orderkey % 97 = 0"
+
+
+def account_run(i: Inputs) -> tuple[file_ingest.Ingested, DataFrame]:
+    """The job over gzip files of all five types, some lines with a sign that is none; and the control rows after it."""
+    bad = F.concat(F.substring("value", 1, 33), F.lit("x"), F.substring("value", 35, 200))
+    lines = i("account_file_text").withColumn("value", F.when(F.expr(BAD_ACCOUNT), bad).otherwise(F.col("value")))
+    table, report, events = (new_folder(i.spark, name) for name in ("accounts", "reports", "events"))
+    update = file_ingest.Control("", "", DAY, None, "ACCOUNTS", events)
+    done = file_ingest.run_account_files(i.spark, i("account_control"), text_folder(i, lines), ACCOUNT_LAYOUTS, table, report, update=update)
+    blank = {"DATA_LAKE_COUNT": F.lit(None).cast("bigint"), "DATA_LAKE_STATUS": F.lit(None).cast("string")}
+    return done, control.current_control(i("account_control").withColumns(blank), events, DAY)
+
+
+@query(f"""
+    select c.FILE_NAME, HDFS_ROW_COUNT, FILE_TYPE, n ROWS_READ, n - bad ROWS_STORED, bad ROWS_REJECTED,
+      case when HDFS_ROW_COUNT = n then n end DATA_LAKE_COUNT, case when HDFS_ROW_COUNT = n then 'YES' end DATA_LAKE_STATUS
+    from account_control c left join (
+      select FILE_NAME, FILE_TYPE, cast(count(*) as bigint) n,
+        cast(sum(case when {BAD_ACCOUNT} then 1 else 0 end) as bigint) bad from account_lines group by 1, 2) r
+    on r.FILE_NAME = c.FILE_NAME""")
+def run_account_files_opr02(i: Inputs) -> DataFrame:
+    done, rows = account_run(i)
+    return rows.join(done.outcomes, "FILE_NAME", "left")
+
+
+@query(f"""
+    select FILE_TYPE, cast(count(*) as bigint) STORED_ROWS, cast(sum(a) as {MONEY}) AMOUNT from (
+      select FILE_TYPE, cast(cast(floor(l_extendedprice*100+0.5) as decimal(18,0)) * cast(0.01 as decimal(3,2))
+        * (case when l_linestatus='F' then -1 else 1 end) as {MONEY}) a
+      from (select *, {FILE_TYPE} FILE_TYPE,
+        concat({FILE_TYPE},'_01012026_',substring('AB',cast(1+l_suppkey%2 as int),1),'_001') FILE_NAME from lineitem) l
+      where not ({BAD_ACCOUNT}) and FILE_NAME in (select FILE_NAME from account_control)) t group by 1""")
+def account_files_stored_opr02(i: Inputs) -> DataFrame:
+    done, _ = account_run(i)
+    amount = F.sum(F.coalesce("BALANCE", "BALALANCE", "AMOUNT")).cast(MONEY).alias("AMOUNT")
+    return done.rows.groupBy("FILE_TYPE").agg(F.count("*").alias("STORED_ROWS"), amount)
+
+
+@query("""
+    select t.FILE_TYPE, cast(count(c.FILE_NAME) as bigint) ANNOUNCED, cast(count(r.FILE_NAME) as bigint) FOUND from (
+      select distinct FILE_TYPE from account_lines) t
+    left join account_control c on c.FILE_NAME like concat(t.FILE_TYPE, '_%')
+    left join (select distinct FILE_NAME from account_lines) r on r.FILE_NAME = c.FILE_NAME group by 1""")
+def account_type_presence_opr02(i: Inputs) -> DataFrame:
+    done, _ = account_run(i)
+    return file_ingest.type_presence(i("account_control"), done.outcomes, list(ACCOUNT_LAYOUTS))
+
+
+@query(f"""
+    select c.FILE_NAME, c.HDFS_ROW_COUNT, case when c.HDFS_ROW_COUNT = n then n end DATA_LAKE_COUNT,
+      case when c.HDFS_ROW_COUNT = n then 'YES' end DATA_LAKE_STATUS
+    from control_file c left join {COUNTED} r on r.FILE_NAME = c.FILE_NAME""")
+def control_events_snk11(i: Inputs) -> DataFrame:
+    """Two jobs of one date, each with the files of its streams; both read the control rows before either one writes."""
+    events = new_folder(i.spark, "events")
+    announced = i("control_table").filter(F.col("ETL_DAY") == F.lit(DAY)).drop("ETL_DAY")
+    counts = checkpointed(rc.file_row_counts(i("ledger_raw")))
+    first = F.substring("FILE_NAME", 18, 1) == "A"
+    parts = [(announced.filter(mine), counts.filter(mine)) for mine in (first, ~first)]
+    found = [rc.row_count_status(control.current_control(rows, events, DAY).select(*rows.columns), read) for rows, read in parts]
+    for job, status in reversed(list(enumerate(found))):
+        control.append_status(status, events, DAY, f"J{job}")
+    control.append_status(found[0], events, DAY, "J0")  # a rerun
+    return control.current_control(announced, events, DAY)
+
+
+@query(f"""
+    select 'R1' RUN_ID, cast(2 as int) STATUS, summary_json PAYLOAD, cast(null as varchar) ERROR from ({SUMMARY_JSON}) s
+    union all select 'R2', cast(3 as int), null, 'ValueError' from (select count(*) from lineitem) l""")
+def failing_step_snk16(i: Inputs) -> DataFrame:
+    """A day that ends well, and one whose report table has another shape; the log has the end of both."""
+    log, good, other, lake_table = (new_folder(i.spark, name) for name in ("steps", "report", "other", "lake"))
+    lake.overwrite(i("balance_table").withColumnRenamed("BALANCE_DATE", "RECON_RUN_DATE"), other, ["RECON_RUN_DATE"])
+    for run_id, table in (("R1", good), ("R2", other)):
+        try:
+            difference_day.run_daily_difference(
+                i("gl_side"), i("cbs_side"), i("previous_difference"), compared(i), DAY, table, lake_table, log, run_id
+            )
+        except ValueError:
+            pass  # what the log has about it is the result
+    rows = i.spark.read.parquet(log)
+    ended = rows.join(steps.latest_status(rows).withColumnRenamed("STATUS", "LAST"), ["RUN_ID", "STEP"]).filter("STATUS = LAST")
+    failed = F.col("STATUS") == steps.FAILED
+    return ended.select(
+        "RUN_ID", "STATUS", F.when(~failed, F.col("PAYLOAD")).alias("PAYLOAD"),
+        F.when(failed, F.get_json_object("PAYLOAD", "$.error")).alias("ERROR"),
+    )
+
+
+@query("select * from o_daily")
+def run_daily_difference_opr24(i: Inputs) -> DataFrame:
+    """What the job has in its report table after it ran twice."""
+    table, lake_table = new_folder(i.spark, "report"), new_folder(i.spark, "lake")
+    for _ in range(2):
+        difference_day.run_daily_difference(i("gl_side"), i("cbs_side"), i("previous_difference"), compared(i), DAY, table, lake_table)
+    return lake_source.read_lake(i.spark, table)

@@ -89,6 +89,20 @@ VIEWS = {
     "account_text": f"""
         select concat({padded('l_orderkey', 17)},{signed_text('l_extendedprice')},{signed_text('l_quantity')},
           {padded('l_partkey', 10)},{padded('l_suppkey', 8)}) value, {FILE_TYPE} FILE_TYPE from lineitem""",
+    # The same lines by file: one file a type and stream, the type's name in front.
+    "account_lines": f"""
+        select l_orderkey, {FILE_TYPE} FILE_TYPE,
+          concat({FILE_TYPE},'_01012026_',substring('AB',cast(1+l_suppkey%2 as int),1),'_001') FILE_NAME from lineitem""",
+    "account_file_text": f"""
+        select concat({padded('l_orderkey', 17)},{signed_text('l_extendedprice')},{signed_text('l_quantity')},
+          {padded('l_partkey', 10)},{padded('l_suppkey', 8)}) value, l_orderkey,
+          concat({FILE_TYPE},'_01012026_',substring('AB',cast(1+l_suppkey%2 as int),1),'_001') FILE_NAME from lineitem""",
+    # One file is short by one, one is not there, one is there but not announced, one is of a type nobody knows.
+    "account_control": """
+        select FILE_NAME, cast(count(*) + (case when FILE_NAME='INV_01012026_B_001' then 1 else 0 end) as bigint)
+          HDFS_ROW_COUNT from account_lines where FILE_NAME <> 'GLCCGEN_01012026_A_001' group by FILE_NAME
+        union all select concat(min(FILE_TYPE),'_01012026_Z_001'), cast(10 as bigint) from account_lines
+        union all select concat('X',min(FILE_NAME)), cast(10 as bigint) from account_lines""",
     "branch_master": """
         select lpad(cast(s_suppkey as varchar(20)),5,'0') CODE, s_nationkey % 5 CIRCLE_CODE from supplier
         where s_suppkey % 17 <> 0""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import MONEY, compose_glcc, split_glcc
@@ -97,6 +97,53 @@ def classify_change(today: DataFrame, previous: DataFrame, day: dt.date) -> Data
     ).select(*DIFFERENCE_COLUMNS)
 
 
+def balance_differences_by_day(gl: DataFrame, cbs: DataFrame, date: str = "BALANCE_DATE") -> DataFrame:
+    """``GLCC, RECON_RUN_DATE`` on which the two sources disagree, for all dates at once."""
+    zero = F.lit(0).cast(MONEY)
+    keys = ("GLCC", F.col(date).alias("RECON_RUN_DATE"))
+    ours = gl.select(*keys, zero.alias("cbs_balance"), F.col("GL_BALANCE").cast(MONEY).alias("gl_balance"))
+    theirs = cbs.select(*keys, F.col("CBS_BALANCE").cast(MONEY).alias("cbs_balance"), zero.alias("gl_balance"))
+    sums = ours.unionByName(theirs).groupBy("GLCC", "RECON_RUN_DATE").agg(
+        *[F.sum(side).cast(MONEY).alias(side) for side in ("cbs_balance", "gl_balance")]
+    )
+    difference = (F.col("cbs_balance") - F.col("gl_balance")).cast(MONEY)
+    return sums.withColumn("today_difference", difference).filter(F.col("today_difference") != 0)
+
+
+def classify_changes(differences: DataFrame, previous: DataFrame, first: dt.date) -> DataFrame:
+    """What :func:`classify_change` gives day after day, for all days from ``first`` on in one pass.
+
+    The differences of an account on days that follow each other are an island, and the first day of an island is the
+    first-error date of all of them. ``previous`` is the day before ``first``: an island that begins there has the date
+    that it brings along. An account has one row a day at most, so no window holds more rows than there are days.
+    """
+    none = F.lit(None).cast(MONEY)
+    before = previous.filter(F.col("YESTERDAY_DIFFERENCE").isNotNull()).select(
+        "GLCC",
+        F.lit(first - dt.timedelta(days=1)).alias("RECON_RUN_DATE"),
+        *[none.alias(side) for side in ("cbs_balance", "gl_balance")],
+        F.col("YESTERDAY_DIFFERENCE").cast(MONEY).alias("today_difference"),
+        F.col("FIRST_ERROR_DATE").alias("_since"),
+    )
+    rows = differences.withColumn("_since", F.col("RECON_RUN_DATE")).unionByName(before)
+    days = Window.partitionBy("GLCC").orderBy("RECON_RUN_DATE")
+    goes_on = F.coalesce(F.date_diff("RECON_RUN_DATE", F.lag("RECON_RUN_DATE").over(days)) == 1, F.lit(False))
+    marked = rows.withColumns({"_known": goes_on, "_yesterday": F.when(goes_on, F.lag("today_difference").over(days))})
+    island = F.last(F.when(~F.col("_known"), F.struct("_since")), ignorenulls=True).over(days)
+    dated = marked.withColumn("FIRST_ERROR_DATE", island.getField("_since")).filter(F.col("RECON_RUN_DATE") >= F.lit(first))
+    change = F.col("today_difference") - F.coalesce(F.col("_yesterday"), F.lit(0).cast(MONEY))
+    same = F.col("today_difference") == F.col("_yesterday")
+    parts = {name.lower(): part for name, part in split_glcc("GLCC").items()}
+    return dated.withColumns(
+        {
+            **parts,
+            "DIFFERENCE_AMOUNT": F.col("today_difference"),
+            "DIFF_BW_YESTERDAY": change.cast(MONEY),
+            "type": F.when(~F.col("_known"), NEW_ENTRY).when(same, UNCHANGED).otherwise(CHANGED),
+        }
+    ).select(*DIFFERENCE_COLUMNS)
+
+
 def head_category(df: DataFrame, rules: Sequence[tuple[str, str, str]] = HEAD_RULES, home: str = "INR") -> DataFrame:
     """Add HEAD, the category of the first rule that holds; the rules fold into one CASE expression."""
     at_home = F.col("currency") == home

@@ -6,8 +6,10 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from daybook.operators import differences as diff
+from daybook.plans.file_ingest import days_between
 from daybook.session import checkpointed
 from daybook.sinks import lake, steps
 
@@ -52,3 +54,43 @@ def run_daily_difference(
         if step_log is not None:
             state.payload = summary.first()[0]
         return DifferenceResult(rows, summary)
+
+
+def differences_of_days(
+    gl: DataFrame, cbs: DataFrame, previous: DataFrame, compared_cgls: DataFrame, first: dt.date, last: dt.date
+) -> DataFrame:
+    """Daily differences from ``first`` to ``last`` in one job, equal to the runs of the single days one after the other.
+
+    ``gl`` and ``cbs`` have BALANCE_DATE; ``previous`` is what the day before ``first`` left.
+    """
+    of_days = F.col("BALANCE_DATE").between(F.lit(first), F.lit(last))
+    differences = diff.balance_differences_by_day(gl.filter(of_days), cbs.filter(of_days))
+    classified = diff.classify_changes(differences, previous, first)
+    return diff.restrict_to_master(diff.head_category(classified), compared_cgls)
+
+
+def run_differences_of_days(
+    gl: DataFrame,
+    cbs: DataFrame,
+    previous: DataFrame,
+    compared_cgls: DataFrame,
+    first: dt.date,
+    last: dt.date,
+    table: str,
+    lake_table: str,
+    step_log: str | None = None,
+    run_id: str = "",
+) -> DataFrame:
+    """Write the differences of a range of days, for a catch-up, into the tables that the daily run writes.
+
+    All days are computed at once; each day's slice is then replaced on its own, also that of a day without differences.
+    """
+    with steps.logged_step(gl.sparkSession, step_log, run_id, "differences_of_days"):
+        rows = checkpointed(
+            differences_of_days(gl, cbs, previous, compared_cgls, first, last)
+        )
+        for day in days_between(first, last):
+            of_day = rows.filter(F.col("RECON_RUN_DATE") == F.lit(day))
+            lake.replace_slice(of_day, table, "RECON_RUN_DATE", day)
+            lake.replace_slice(diff.lake_differences(of_day), lake_table, "RECON_DATE", day)
+        return rows

@@ -15,7 +15,7 @@ from daybook.operators.parse import judged_ledger_rows
 from daybook.plans import difference_day, file_ingest, ledger_day
 from daybook.operators import rowcounts as rc
 from daybook.session import checkpointed, new_folder
-from daybook.sinks import control, lake, reports, steps
+from daybook.sinks import buckets, control, lake, reports, runs, steps
 from daybook.sources import lake as lake_source
 from daybook.sources import text_files as tf
 from workload.fixtures import BRANCH, CGL, CURRENCY, DAY, FILE_NAME, FILE_TYPE, KEY, MONEY, POSTING, overpunched, padded
@@ -327,3 +327,98 @@ def run_daily_difference_opr24(i: Inputs) -> DataFrame:
     for _ in range(2):
         difference_day.run_daily_difference(i("gl_side"), i("cbs_side"), i("previous_difference"), compared(i), DAY, table, lake_table)
     return lake_source.read_lake(i.spark, table)
+
+
+def day_after_day() -> str:
+    """The rules of a single day four times, each time on what the day before left."""
+    views, before = [], "select GLCC, YESTERDAY_DIFFERENCE d, FIRST_ERROR_DATE f from previous_difference"
+    for n in range(4):
+        day = f"date '2001-01-0{n + 1}'"
+        views.append(f"""d{n} as (
+          select t.GLCC, t.c, t.g, t.c - t.g d, p.d y, case when p.d is null then {day} else p.f end f, {day} RECON_RUN_DATE
+          from (select g.GLCC, GL_BALANCE g, CBS_BALANCE c from gl_days g join cbs_days c
+            on c.GLCC = g.GLCC and c.BALANCE_DATE = g.BALANCE_DATE where g.BALANCE_DATE = {day} and CBS_BALANCE <> GL_BALANCE) t
+          left join ({before}) p on p.GLCC = t.GLCC)""")
+        before = f"select GLCC, d, f from d{n}"
+    rows = " union all ".join(f"select * from d{n}" for n in range(4))
+    return f"""
+    select RECON_RUN_DATE, GLCC, cast(c as {MONEY}) cbs_balance, cast(g as {MONEY}) gl_balance,
+      cast(d as {MONEY}) DIFFERENCE_AMOUNT, cast(d - coalesce(y, 0) as {MONEY}) DIFF_BW_YESTERDAY,
+      case when y is null then 'New Entry' when d = y then 'Zero Difference' else 'Difference Change' end "type",
+      f FIRST_ERROR_DATE
+    from (with {', '.join(views)} {rows}) t
+    where substring(GLCC,9,10) in (select CGL_NUMBER from cgl_master where BAL_COMPARE = 1)"""
+
+
+@query(day_after_day())
+def differences_of_days_opr24(i: Inputs) -> DataFrame:
+    """Four days in one job, written and read back."""
+    table, lake_table = new_folder(i.spark, "report"), new_folder(i.spark, "lake")
+    last = DAY + dt.timedelta(days=3)
+    difference_day.run_differences_of_days(
+        i("gl_days"), i("cbs_days"), i("previous_difference"), compared(i), DAY, last, table, lake_table
+    )
+    key = F.concat("branch_code", "currency", "cgl").alias("GLCC")
+    return lake_source.read_lake(i.spark, table).drop("HEAD").select(key, "*").drop("branch_code", "currency", "cgl")
+
+
+PURGED = "not (TRANSACTION_DATE = date '2001-01-01' and SOURCE_FLAG in ('C','F','P','T','V'))"
+
+
+@query(f"""
+    select s STATE, KIND, SLICE, cast(count(*) as bigint) ROWS_SEEN from (
+      select 1 s, 'transactions' KIND, TRANSACTION_DATE SLICE from posted_table
+      union all select 1, 'balances', BALANCE_DATE from lake_balance
+      union all select 2, 'transactions', TRANSACTION_DATE from posted_table where {PURGED}
+      union all select 2, 'balances', BALANCE_DATE from lake_balance where BALANCE_DATE <> date '2001-01-01'
+      union all select 3, 'transactions', TRANSACTION_DATE from posted_table where {PURGED}
+      union all select 3, 'balances', BALANCE_DATE from lake_balance) t group by 1, 2, 3""")
+def purge_as_one_unit_snk10(i: Inputs) -> DataFrame:
+    """What readers see when a purge stops between two tables (1), when one is committed (2), and after the rerun (3)."""
+    root, earlier = new_folder(i.spark, "runs"), DAY - dt.timedelta(days=1)
+    tables = {"transactions": ("posted_table", "TRANSACTION_DATE"), "balances": ("lake_balance", "BALANCE_DATE")}
+    for day in (earlier, DAY):
+        for name, (view, column) in tables.items():
+            runs.stage(i(view).filter(F.col(column) == F.lit(day)), root, name, column, day, "R0")
+        runs.commit(i.spark, root, day, "R0", list(tables))
+
+    def seen(state: int) -> DataFrame:
+        parts = [
+            runs.read_committed(i.spark, root, name, column).groupBy(F.col(column).alias("SLICE")).agg(F.count("*").alias("ROWS_SEEN"))
+            .withColumns({"KIND": F.lit(name), "STATE": F.lit(state)})
+            for name, (_, column) in tables.items()
+        ]
+        return checkpointed(parts[0].unionByName(parts[1]))
+
+    runs.purge_run(i.spark, root, DAY, "R1", "transactions", {})  # stops here, before the balances and the commit
+    states = [seen(1)]
+    purged = runs.purge_run(i.spark, root, DAY, "R2", "transactions", {"balances": "BALANCE_DATE"})
+    runs.commit(i.spark, root, DAY, "R2", purged)
+    states.append(seen(2))
+    runs.stage(i("lake_balance").filter(F.col("BALANCE_DATE") == F.lit(DAY)), root, "balances", "BALANCE_DATE", DAY, "R3")
+    runs.commit(i.spark, root, DAY, "R3", ["balances"])
+    return states[0].unionByName(states[1]).unionByName(seen(3))
+
+
+MERGE_BUCKETS = 32
+
+
+@query(f"""
+    select coalesce(g.GLCC, c.GLCC) glcc, case when c.GLCC is null then GL_BALANCE else CBS_BALANCE end closing_balance,
+      date '2001-01-01' BALANCE_DATE from gl_side g
+    full join (select GLCC, CBS_BALANCE from cbs_side where substring(GLCC,1,5) in ('00001','00003')
+      union all select concat('X', GLCC), CBS_BALANCE from cbs_side where substring(GLCC,1,5) = '00002') c
+    on c.GLCC = g.GLCC""")
+def upsert_touched_buckets_snk07(i: Inputs) -> DataFrame:
+    """Balances of a few branches and some new accounts, merged twice into the slice of a day."""
+    path, column = new_folder(i.spark, "buckets"), "BALANCE_DATE"
+    whole = i("gl_side").select(F.col("GLCC").alias("glcc"), F.col("GL_BALANCE").alias("closing_balance"))
+    buckets.write_buckets(whole, path, ["glcc"], column, DAY, MERGE_BUCKETS)
+    rows = i("cbs_side").select(F.col("GLCC").alias("glcc"), F.col("CBS_BALANCE").alias("closing_balance"))
+    branch = F.substring("glcc", 1, 5)
+    changed = rows.filter(branch.isin("00001", "00003")).unionByName(
+        rows.filter(branch == "00002").withColumn("glcc", F.concat(F.lit("X"), "glcc"))
+    )
+    for _ in range(2):
+        buckets.upsert_buckets(changed, path, ["glcc"], ["closing_balance"], column, DAY, MERGE_BUCKETS)
+    return buckets.read_buckets(i.spark, path, column, DAY).drop(buckets.BUCKET)

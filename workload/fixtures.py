@@ -152,6 +152,20 @@ VIEWS = {
     "cbs_side": f"""
         select concat(BRANCH_CODE,CURRENCY,CGL) GLCC, cast(sum(AMT) as {MONEY}) CBS_BALANCE
         from ledger where l_orderkey % 13 <> 0 group by 1""",
+    # Balances of four days in a row; some accounts differ on some of the days, some are mended and differ again.
+    "gl_days": f"""
+        select concat(BRANCH_CODE,CURRENCY,CGL) GLCC, cast(sum(AMT) as {MONEY}) GL_BALANCE, BALANCE_DATE
+        from ledger cross join (
+          select date '2001-01-01' BALANCE_DATE union all select date '2001-01-02' union all select date '2001-01-03'
+          union all select date '2001-01-04') d
+        group by 1, 3""",
+    "cbs_days": f"""
+        select concat(BRANCH_CODE,CURRENCY,CGL) GLCC, BALANCE_DATE,
+          cast(sum(case when l_orderkey % 13 <> n and l_orderkey % 7 <> least(n, 2) then AMT else 0 end) as {MONEY}) CBS_BALANCE
+        from ledger cross join (
+          select date '2001-01-01' BALANCE_DATE, 0 n union all select date '2001-01-02', 1
+          union all select date '2001-01-03', 2 union all select date '2001-01-04', 3) d
+        group by 1, 2""",
     "previous_difference": f"""
         select GLCC, cast(c - g as {MONEY}) YESTERDAY_DIFFERENCE, date '2000-12-31' FIRST_ERROR_DATE from (
           select concat(BRANCH_CODE,CURRENCY,CGL) GLCC, sum(AMT) g,

@@ -120,15 +120,15 @@ def mix_plan(
     (words of the text, NULL text 0), ``mix_source_size``, ``mix_target``, ``mix_copies`` and
     ``mix_bounds`` (for the blocks of the source in permuted order, epoch after epoch, where each shard ends). The last
     epoch of a source is a part of it: whole blocks in permuted order and the leading rows of one more block, so that the
-    words come within half a row of the target. Rows that agree in id and length of text have one place and are taken
-    together.
+    words come within half a row of the target. Rows that agree in id and text have one place and are taken together;
+    rows without an id, or that share one, have places of their own as long as their texts differ.
 
     An empty table gives no rows. NULL is a source of its own. Columns of the documents whose names begin with ``mix_`` are
     replaced. Only one row per source reaches the driver, and a table with more than ``MOST_SOURCES`` sources is refused.
     """
     spark = docs.sparkSession
     size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(f"[^{BLANK}]+")).cast("long")
-    place = F.xxhash64(F.col(id_column), F.length(F.coalesce(F.col(text), F.lit(""))), F.lit(seed))
+    place = F.xxhash64(F.col(id_column), F.coalesce(F.col(text), F.lit("")), F.lit(seed))
     marked = docs.withColumns({"mix_place": place, "mix_size": size})
     sized = stored(
         marked.select(F.col(source).cast("string").alias("source"), F.col("mix_place").alias("place"), F.col("mix_size").alias("size")),
@@ -189,7 +189,7 @@ def mix(docs: DataFrame, shards: int = 64, **options: object) -> DataFrame:
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with the words that are taken of it and where its copies are: ``draws`` has shard and position of each.
 
-    Rows that agree in id, source, length and words are taken together, and name the draws of all of them.
+    Rows that agree in id, source and text are taken together, and name the draws of all of them.
     """
     shards = 64
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")

@@ -21,6 +21,9 @@ LENGTH = 50
 GRAM = 20
 GRAM_BITS = 40
 HELD_ANCHORS = 4_000_000
+#: What names a row: its id and, where an id has several texts, a hash of the text, else NULL.
+_ROW = ("doc_id", "text_key")
+_ROW_SCHEMA = "doc_id long, text_key long"
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -123,12 +126,12 @@ def _contexts(repeated: Broadcast, length: int) -> Callable:
                 start = found.low[use] - offsets[found.row[use]]
                 size = found.high[use] - found.low[use] + length
                 columns = [
-                    part.column("doc_id").take(pa.array(found.row[use])),
+                    *[part.column(name).take(pa.array(found.row[use])) for name in _ROW],
                     pa.array(_short(found.gram[use]).view(np.int64)),
                     pa.array(found.context[use].view(np.int64)),
                     pa.array((start << 32) | size),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "gram", "context", "span"])
+                yield pa.RecordBatch.from_arrays(columns, [*_ROW, "gram", "context", "span"])
 
     return scan
 
@@ -162,8 +165,8 @@ def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sure = np.stack([sure[first, 0], reach[last] - sure[first, 0]], axis=1)
             out["covered"].append(_pack(sure))
             out["edges"].append(_pack(edge))
-        columns = [batch.column("doc_id"), *(pa.array(x, pa.binary()) for x in out.values())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "covered", "edges"])
+        columns = [*(batch.column(name) for name in _ROW), *(pa.array(x, pa.binary()) for x in out.values())]
+        yield pa.RecordBatch.from_arrays(columns, [*_ROW, "covered", "edges"])
 
 
 def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -189,8 +192,8 @@ def _windows(length: int) -> Callable:
                 value = span_hash(span_sums(data), at, at + length)
                 for begin in range(0, len(row), 50_000):
                     some = slice(begin, begin + 50_000)
-                    ids = part.column("doc_id").take(pa.array(row[some]))
-                    yield pa.RecordBatch.from_arrays([pa.array(value[some].view(np.int64)), ids], ["window", "doc_id"])
+                    ids = [part.column(name).take(pa.array(row[some])) for name in _ROW]
+                    yield pa.RecordBatch.from_arrays([pa.array(value[some].view(np.int64)), *ids], ["window", *_ROW])
 
     return scan
 
@@ -254,7 +257,7 @@ def remove_repeats(
 
     Texts are UTF-8 bytes, NULL is empty. A byte goes if a string of ``length`` bytes that covers it also starts in a
     document with a smaller id; strings are judged on the input. Rows without id lose nothing and take nothing; rows that
-    repeat an id don't take from each other.
+    repeat an id don't take from each other, and each is cut by its own strings, whatever text the others have.
 
     Every string of ``length`` bytes has an anchor, the least of its grams, so that equal strings have equal anchors.
     1. Anchors whose gram occurs in two documents go on; the others, most of them, are left behind by a filter of fixed
@@ -265,31 +268,42 @@ def remove_repeats(
        broadcast to the texts when it is measured to be small, and joined with them by a shuffle otherwise.
     """
     plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    text_hash = F.xxhash64("text")
+    several_texts = plain.groupBy("doc_id").agg(F.min(text_hash).alias("low"), F.max(text_hash).alias("high")).where("doc_id IS NOT NULL AND low < high")
+    several_texts = stored(several_texts.select("doc_id", F.lit(True).alias("has_several")), "several-texts")
+    plain = plain.join(_small(several_texts, "8"), "doc_id", "left").select("doc_id", F.when(F.col("has_several"), text_hash).alias("text_key"), "text")
     known = plain.where("doc_id IS NOT NULL")
     grams = known.mapInArrow(_grams(length), "gram long").repartition("gram").sortWithinPartitions("gram")
     repeated = bloom(grams.mapInArrow(_repeats, "gram long"), "gram")
-    found = known.mapInArrow(_contexts(repeated, length), "doc_id long, gram long, context long, span long")
+    found = known.mapInArrow(_contexts(repeated, length), f"{_ROW_SCHEMA}, gram long, context long, span long")
     found = stored(found, "contexts")
     first = found.groupBy("context").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.min("gram").alias("gram"))
     first = stored(first, "context-firsts")
     several = first.groupBy("gram").agg(F.count("*").alias("contexts")).where("contexts > 1").select("gram", F.lit(True).alias("several"))
     marked = first.join(several, "gram", "left").where("several OR first < last").select("context", "first", "several")
-    spans = found.select("doc_id", "context", "span").join(marked, "context").where("first < doc_id OR several")
+    spans = found.select(*_ROW, "context", "span").join(marked, "context").where("first < doc_id OR several")
     edge = F.when(F.col("first") == F.col("doc_id"), F.lit(1 << 31).cast("long")).otherwise(F.lit(0).cast("long"))
-    lists = spans.select("doc_id", (F.col("span") + edge).alias("span")).groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
-    plan = stored(lists.mapInArrow(_packed, "doc_id long, covered binary, edges binary"), "spans")
-    opened = plain.join(_small(plan, "octet_length(covered) + octet_length(edges)"), "doc_id", "left")
-    listing = plain.join(_small(plan.select("doc_id", "edges").where("octet_length(edges) > 0"), "octet_length(edges)"), "doc_id")
-    windows = listing.mapInArrow(_windows(length), "window long, doc_id long")
+    lists = spans.select(*_ROW, (F.col("span") + edge).alias("span")).groupBy(*_ROW).agg(F.collect_list("span").alias("spans"))
+    plan = stored(lists.mapInArrow(_packed, f"{_ROW_SCHEMA}, covered binary, edges binary"), "spans")
+    opened = _with_found(plain, plan, "octet_length(covered) + octet_length(edges)", "left")
+    listing = _with_found(plain, plan.select(*_ROW, "edges").where("octet_length(edges) > 0"), "octet_length(edges)", "inner")
+    windows = listing.mapInArrow(_windows(length), f"window long, {_ROW_SCHEMA}")
     firsts = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     firsts = stored(firsts.select("window", "first"), "window-firsts")
-    again = windows.mapInArrow(_filtered(bloom(firsts, "window")), "window long, doc_id long")
-    gone = again.join(firsts, "window").where("first < doc_id").groupBy("doc_id").agg(F.collect_set("window").alias("windows"))
+    again = windows.mapInArrow(_filtered(bloom(firsts, "window")), f"window long, {_ROW_SCHEMA}")
+    gone = again.join(firsts, "window").where("first < doc_id").groupBy(*_ROW).agg(F.collect_set("window").alias("windows"))
     gone = stored(gone, "gone-windows")
-    final = opened.join(_small(gone, "8 * size(windows)"), "doc_id", "left")
+    final = _with_found(opened, gone, "8 * size(windows)", "left")
     return final.mapInArrow(_removed(length, with_text), _RESULT + ", kept_text string" * with_text)
 
 
+def _with_found(texts: DataFrame, found: DataFrame, row_bytes: str, how: str) -> DataFrame:
+    """Texts with what was found of their rows."""
+    named = found.withColumnsRenamed({name: f"of_{name}" for name in _ROW})
+    same = (F.col("doc_id") == F.col("of_doc_id")) & F.col("text_key").eqNullSafe(F.col("of_text_key"))
+    return texts.join(_small(named, row_bytes), same, how).drop(*[f"of_{name}" for name in _ROW])
+
+
 def _small(df: DataFrame, row_bytes: str) -> DataFrame:
     """A stored frame with a broadcast hint if the sum of its rows is within the limit."""
     size = df.agg(F.expr(f"coalesce(sum({ROW_OVERHEAD_BYTES} + {row_bytes}), 0) AS n")).first()["n"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -17,6 +18,8 @@ from daybook.session import new_folder
 
 KEYS = ["source", "lang", "tokenizer"]
 MEASURES = ["documents", "tokens"]
+#: The file of a compacted batch that names what it replaces.
+REPLACES = "_replaces.json"
 _DELTA = "source string, lang string, tokenizer string, documents long, tokens long"
 
 
@@ -62,14 +65,14 @@ def delta(added: DataFrame | None = None, removed: DataFrame | None = None) -> D
 
 
 def revised(before: DataFrame, after: DataFrame, id_column: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """Of two counts of the same documents the rows to add and to remove: only documents whose keys or counts differ."""
+    """Of two counts of documents the rows to add and to remove: what only one of them has, each row as often as it does.
+
+    Nothing is joined: equal rows (id, keys and tokens) are counted on both sides and cancel out, so repeated ids and
+    rows without id are rows like any other. A document that only one side has was added or removed.
+    """
     columns = [*KEYS, "tokens"]
-    old = before.select(F.col(id_column).alias("old_id"), F.struct(*columns).alias("old"))
-    both = after.select(F.col(id_column).alias("new_id"), F.struct(*columns).alias("new")).join(
-        old, F.col("new_id").eqNullSafe(F.col("old_id"))
-    )
-    differ = both.where(~F.col("old").eqNullSafe(F.col("new")))
-    return differ.select("new.*"), differ.select("old.*")
+    old, new = before.select(id_column, *columns), after.select(id_column, *columns)
+    return new.exceptAll(old).select(*columns), old.exceptAll(new).select(*columns)
 
 
 class Rollup:
@@ -77,7 +80,11 @@ class Rollup:
 
     A batch is written aside and then renamed to the folder of its id. The rename is the commit: a batch whose folder is
     there is not applied again, a batch that failed half way has left nothing that readers see, and of two writers of
-    one batch one wins. Batches are additive, so they may come in any order.
+    one batch one wins: a rename to a folder that is there lands inside of it, which the loser sees and undoes, and
+    readers don't look at names that begin with an underscore. Batches are additive, so they may come in any order.
+
+    A compacted batch names the batches that it replaces. Readers leave those out from its commit on, whether they have
+    been deleted or not, and their ids stay known: they are not applied again.
     """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
@@ -89,34 +96,77 @@ class Rollup:
     def _files(self):
         return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def _batches(self) -> tuple[set[str], dict[str, list[str]]]:
+        """The batches that have a folder, and what each compacted one replaces."""
+        files = self._files()
+        listed = files.listStatus(self._path()) if files.exists(self._path()) else []
+        names = {s.getPath().getName() for s in listed if s.isDirectory()}
+        there = {name.removeprefix("batch=") for name in names if name.startswith("batch=")}
+        replaced = {}
+        for name in there:
+            if files.exists(self._path(f"batch={name}", REPLACES)):
+                stream = files.open(self._path(f"batch={name}", REPLACES))
+                replaced[name] = json.loads(bytes(stream.readAllBytes()).decode())
+                stream.close()
+        return there, replaced
+
     def committed(self, batch: str) -> bool:
-        return self._files().exists(self._path(f"batch={batch}"))
+        """Whether a batch counts already, on its own or in one that replaces it."""
+        there, replaced = self._batches()
+        return batch in there or any(batch in of for of in replaced.values())
 
     def commit(self, batch: str, rows: DataFrame) -> bool:
         """Apply a batch of deltas once; False if it was applied before."""
+        return self._commit(batch, rows, None)
+
+    def _commit(self, batch: str, rows: DataFrame, replaces: list[str] | None) -> bool:
         if self.committed(batch):
             return False
-        aside = f"_aside-{uuid.uuid4().hex}"
+        files, aside = self._files(), f"_aside-{uuid.uuid4().hex}"
         rows.select(*KEYS, *MEASURES).write.parquet(f"{self.folder}/{aside}")
-        won = not self.committed(batch) and self._files().rename(self._path(aside), self._path(f"batch={batch}"))
+        if replaces is not None:
+            stream = files.create(self._path(aside, REPLACES), False)
+            stream.write(bytearray(json.dumps(replaces), "utf-8"))
+            stream.close()
+        won = not self.committed(batch) and files.rename(self._path(aside), self._path(f"batch={batch}"))
+        if won and files.exists(self._path(f"batch={batch}", aside)):  # the other writer was first
+            files.delete(self._path(f"batch={batch}", aside), True)
+            return False
         if not won:
-            self._files().delete(self._path(aside), True)
+            files.delete(self._path(aside), True)
         return bool(won)
 
     def compact(self, batch: str, of: list[str]) -> bool:
-        """Fold committed batches into one. Readers must not be at work, and the folded ids must not come again."""
-        deltas = self.deltas().where(F.col("batch").isin(of)).groupBy(*KEYS).agg(*(F.sum(name).alias(name) for name in MEASURES))
-        if not self.commit(batch, deltas):
-            return False
+        """Fold committed batches into one, in a single commit; False when there was nothing left to fold.
+
+        The folders of the folded batches are deleted afterwards. A call that was stopped before that has lost nothing,
+        and the same call again deletes what is left. Readers that began before the commit must not be at work then.
+        """
+        there, replaced = self._batches()
+        again = batch in there
+        if not again:
+            gone = [old for name in of for old in replaced.get(name, [])]
+            hidden = {name for names in replaced.values() for name in names}
+            rows = self._read([name for name in of if name in there and name not in hidden])
+            deltas = rows.groupBy(*KEYS).agg(*(F.sum(name).alias(name) for name in MEASURES))
+            if not self._commit(batch, deltas, sorted({*of, *gone})):
+                return False
+        elif set(of) - set(replaced.get(batch, [])):
+            return False  # a batch of this name holds something else
         for name in of:
             self._files().delete(self._path(f"batch={name}"), True)
-        return True
+        return not again
+
+    def _read(self, names: list[str]) -> DataFrame:
+        if not names:
+            return self.spark.createDataFrame([], f"{_DELTA}, batch string")
+        folders = [f"{self.folder}/batch={name}" for name in sorted(names)]
+        return self.spark.read.option("basePath", self.folder).schema(f"{_DELTA}, batch string").parquet(*folders)
 
     def deltas(self) -> DataFrame:
         """All committed deltas with their ``batch``; empty before the first commit."""
-        if not self._files().exists(self._path()) or not any(s.isDirectory() and s.getPath().getName().startswith("batch=") for s in self._files().listStatus(self._path())):
-            return self.spark.createDataFrame([], f"{_DELTA}, batch string")
-        return self.spark.read.schema(f"{_DELTA}, batch string").parquet(self.folder)
+        there, replaced = self._batches()
+        return self._read(list(there - {name for names in replaced.values() for name in names}))
 
     def totals(self) -> DataFrame:
         """Documents and tokens of each source, language and tokenizer version that has any."""

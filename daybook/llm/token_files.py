@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from daybook.llm.common import table
+from daybook.llm.common import chunks, table
 from daybook.llm.registry import query
 from daybook.session import new_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-CACHED_PIECES = 400_000
+CACHED_PIECES = 200_000
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 _STORED = "doc_id long, part int, row long, start_in_part long, n_tokens long, ids array<int>"
@@ -101,8 +101,7 @@ def _encode_partition(path: str, end_id: int | None, special: bool) -> Callable[
         part, start, row = TaskContext.get().partitionId(), 0, 0
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                piece = batch.slice(begin, 256)
+            for piece in chunks(batch, "text"):
                 coded = [encoder(path, special).ids(text or "") + end for text in piece.column("text").to_pylist()]
                 lengths = np.array([len(x) // 4 for x in coded], np.int64)
                 offsets = np.append(0, np.cumsum(lengths))

@@ -20,6 +20,7 @@ MOST_FREQUENT = 1 << 20
 SUMMARY = 1 << 17
 ALL_PAIRS = 100
 COMBINED_PAIRS = 16
+HUB_ROUNDS = 6
 SKETCH = 256
 CELLS = 16
 _U64 = np.uint64
@@ -314,32 +315,99 @@ def _verified(candidates: DataFrame, texts: DataFrame, size: int, percent: int)
     return stored(both.select("a", "b", "star", "text_a", "text_b").mapInArrow(_compare(size, percent), schema), "compared")
 
 
-def _around_hubs(stars: DataFrame, percent: int, every: bool) -> DataFrame:
-    """Candidates among the members of a star, from their differences to its hub.
+def _hub_tokens(member: DataFrame) -> DataFrame:
+    """The differences of members to their hubs, a row per token and its ``place`` in the list, rare tokens first.
 
-    The difference of two sets is the difference of their differences to the hub. Two sets that link therefore share a
-    known number of these tokens, or link whatever these tokens are (see :func:`_close_to_hubs`). A join of prefixes of
-    these short lists, rare tokens first, finds the former. Unless ``every`` link is asked for, pairs of which both
-    link with the hub are left out, since components need no link of their own for them.
+    Tokens that one member alone differs in are counted in the places, but not returned.
     """
-    member = stars.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.col("n_b").alias("n"), "linked", "differ")
-    spread = member.select("hub", "node", "n", "linked", F.size("differ").alias("d"), F.explode("differ").alias("token"))
+    kept = [name for name in member.columns if name != "differ"]
+    spread = member.select(*kept, F.size("differ").alias("d"), F.explode("differ").alias("token"))
     seen = spread.groupBy("hub", "token").agg(F.count("*").alias("seen"))
     ordered = Window.partitionBy("hub", "node").orderBy("seen", "token")
-    placed = spread.join(seen, ["hub", "token"]).withColumn("place", F.row_number().over(ordered)).where("seen > 1").drop("seen")
-    placed = stored(placed, "hub-tokens")
-    x = placed.select("hub", "token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "linked", "d", "place")])
-    y = placed.select("hub", "token", *[F.col(c).alias(f"y_{c}") for c in ("node", "n", "linked", "d", "place")])
+    placed = spread.join(seen, ["hub", "token"]).withColumn("place", F.row_number().over(ordered))
+    return placed.where("seen > 1").drop("seen")
+
+
+def _sides(x: DataFrame, y: DataFrame) -> DataFrame:
+    keys = ["hub", "token"]
+    left = x.select(*keys, *[F.col(c).alias(f"x_{c}") for c in x.columns if c not in keys])
+    return left.join(y.select(*keys, *[F.col(c).alias(f"y_{c}") for c in y.columns if c not in keys]), keys)
+
+
+def _hub_condition(percent: int) -> str:
+    """What a pair of members must fulfil to link, unless both are so near the hub that they link in any case.
+
+    The difference of two sets is the difference of their differences to the hub. Two sets that link therefore share a
+    known number of these tokens, so the prefixes of these short lists have one in common.
+    """
     most = f"floor({100 - percent} * (x_n + y_n) / {100 + percent})"
     share = f"ceil((x_d + y_d - {most}) / 2)"
-    near = (
-        f"x_node < y_node AND ({every} OR NOT (x_linked AND y_linked)) AND abs(x_d - y_d) <= {most} AND {share} >= 1"
+    return (
+        f"abs(x_d - y_d) <= {most} AND {share} >= 1"
         f" AND x_place <= x_d - {share} + 1 AND y_place <= y_d - {share} + 1"
     )
-    pairs = x.join(y, ["hub", "token"]).where(near)
+
+
+def _all_around_hubs(stars: DataFrame, percent: int) -> DataFrame:
+    """Candidates for every link among the members of a star but those of :func:`_close_to_hubs`."""
+    placed = stored(_hub_tokens(stars.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.col("n_b").alias("n"), "differ")), "hub-tokens")
+    pairs = _sides(placed, placed).where(f"x_node < y_node AND {_hub_condition(percent)}")
     return pairs.select(F.col("x_node").alias("a"), F.col("y_node").alias("b"), F.lit(False).alias("star")).distinct()
 
 
+def _mixed_buckets(stars: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Members of a star that share a token of their differences to the hub, where links could join two components.
+
+    A bucket (``hub, token``) of one component needs no pairs. The others have ``main``, their most frequent component,
+    ``others``, the number of members outside it, and ``again``, one of these as a hub for the bucket.
+    """
+    member = stars.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.col("n_b").alias("n"), "differ")
+    member = member.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    member = stored(member, "hub-members")
+    several = member.groupBy("hub").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    (several,) = broadcast_if_small(stored(several.where("least < most").select("hub"), "hubs"))
+    placed = _hub_tokens(member.join(several, "hub"))
+    # no partner can have a longer prefix with this member than with the largest set that links with it
+    placed = stored(placed.where(f"place <= floor({100 - percent} * n / {percent}) + 1"), "hub-tokens")
+    parts = placed.groupBy("hub", "token", "component").agg(F.count("*").alias("members"), F.min("node").alias("node"))
+    named = F.struct("component", "node")
+    buckets = parts.groupBy("hub", "token").agg(
+        F.sum("members").alias("members"),
+        F.max(F.struct("members", "component")).alias("most"),
+        F.min(named).alias("low"),
+        F.max(named).alias("high"),
+    )
+    main = F.col("most.component")
+    buckets = buckets.where("low.component < high.component").select(
+        "hub",
+        "token",
+        main.alias("main"),
+        (F.col("members") - F.col("most.members")).alias("others"),
+        F.when(main == F.col("low.component"), F.col("high.node")).otherwise(F.col("low.node")).alias("again"),
+    )
+    (buckets,) = broadcast_if_small(stored(buckets, "hub-buckets"))
+    return stored(placed.join(buckets, ["hub", "token"]), "bucket-members")
+
+
+def _between_components(buckets: DataFrame, percent: int, most_others: int | None) -> DataFrame:
+    """Candidates from :func:`_mixed_buckets` that could join two components.
+
+    The ``others`` of a bucket are paired with its members if there are at most ``most_others`` (None: in any case), so
+    a member is in a bounded number of pairs. Larger buckets give the pairs with the hub ``again``.
+    """
+    listed = buckets if most_others is None else buckets.where(F.col("others") <= most_others)
+    member = listed.select("hub", "token", "node", "n", "d", "place", "component", "main")
+    (other,) = broadcast_if_small(stored(member.where("component <> main"), "bucket-others"))
+    pairs = _sides(other.drop("main"), member).where(
+        f"x_component <> y_component AND (y_component = y_main OR x_node < y_node) AND {_hub_condition(percent)}"
+    )
+    pairs = pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"), F.lit(False).alias("star"))
+    if most_others is not None:
+        spokes = buckets.where((F.col("others") > most_others) & (F.col("node") != F.col("again")))
+        pairs = pairs.union(spokes.select(F.col("again").alias("a"), F.col("node").alias("b"), F.lit(True).alias("star")))
+    return pairs.groupBy("a", "b").agg(F.max("star").alias("star"))
+
+
 def _close_to_hubs(stars: DataFrame, percent: int) -> DataFrame:
     """Links among the members of a star that are so near its hub that their differences to it can't add up to too much.
 
@@ -355,6 +423,28 @@ def _close_to_hubs(stars: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
 
 
+def _joined_components(stars: DataFrame, done: DataFrame, found: DataFrame, compare: Callable, percent: int) -> DataFrame:
+    """``found`` with the components joined that links among the members of a star join.
+
+    Each round pairs the few members of a bucket outside its main component with all its members. Where these are many,
+    one of them becomes a hub of its own and the next round goes on with the differences to it, which lack the token that
+    all members of the bucket share. Families of near copies end after a round or two; what is left after ``HUB_ROUNDS``
+    is listed in full, so no link is lost.
+    """
+    for left in reversed(range(HUB_ROUNDS)):
+        buckets = _mixed_buckets(stars, found, percent)
+        if buckets.isEmpty():
+            break
+        pairs = stored(_between_components(buckets, percent, COMBINED_PAIRS if left else None), "candidates")
+        fresh = pairs.where("NOT star").join(done, ["a", "b"], "left_anti").union(pairs.where("star"))
+        compared = compare(fresh)
+        tied = compared.where("linked").select("a", "b").union(found.select(F.col("component").alias("a"), F.col("node").alias("b")))
+        found = components(tied)
+        stars = compared.where("star")
+        done = done.union(compared.select("a", "b"))
+    return found
+
+
 def _link_counts(links: DataFrame, members: DataFrame) -> DataFrame:
     """``link_class, class_size, class_links``: the documents of each class, and those of all classes it links with."""
     named = members.where("n > 0 AND class_id IS NOT NULL")
@@ -382,7 +472,8 @@ def near_duplicates(
     Equal sets are joined first, so copies cost one row each. Then candidates share a token of the prefixes of
     their sets or, where tokens are frequent, a combination of tokens, and every candidate that a sketch
     of its sets does not rule out is compared in full. Buckets are small or
-    give the pairs with one hub each (see :func:`_around_hubs`), so no bucket lists its square. The list of frequent
+    give the pairs with one hub each, and so do large buckets of the members of a hub (see :func:`_joined_components`),
+    so no bucket lists its square. The list of frequent
     tokens has a bounded length, and results do not depend on what is in it.
     """
     if not 50 < percent <= 100:
@@ -422,11 +513,19 @@ def near_duplicates(
     texts = plain.select(F.col("doc_id").alias("node"), "text")
     compared = _verified(stored(candidates, "candidates"), texts, size, percent)
     stars = compared.where("star")
-    around = stored(_around_hubs(stars, percent, with_links), "candidates")
-    done = compared.select("a", "b")
-    again = _verified(_sketched(around.join(done, ["a", "b"], "left_anti"), sketches, percent), texts, size, percent)
-    links = compared.where("linked").select("a", "b").union(again.where("linked").select("a", "b"))
-    found = components(links).withColumnRenamed("node", "class_id")
+    links = compared.where("linked").select("a", "b")
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        return _verified(_sketched(pairs, sketches, percent), texts, size, percent)
+
+    if with_links:
+        around = stored(_all_around_hubs(stars, percent), "candidates")
+        again = compare(around.join(compared.select("a", "b"), ["a", "b"], "left_anti"))
+        links = links.union(again.where("linked").select("a", "b"))
+    found = components(links)
+    if not with_links:
+        found = _joined_components(stars, compared.select("a", "b"), found, compare, percent)
+    found = found.withColumnRenamed("node", "class_id")
     members = sets.join(classes, ["n", "s1", "s2"], "left").join(found, "class_id", "left")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("class_id"))
     counts = []

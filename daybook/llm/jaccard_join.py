@@ -20,7 +20,8 @@ MOST_FREQUENT = 1 << 20
 SUMMARY = 1 << 17
 ALL_PAIRS = 100
 COMBINED_PAIRS = 16
-HUB_ROUNDS = 6
+HUB_OTHERS = 512
+HUB_ROUNDS = 3
 SKETCH = 256
 CELLS = 16
 _U64 = np.uint64
@@ -426,16 +427,17 @@ def _close_to_hubs(stars: DataFrame, percent: int) -> DataFrame:
 def _joined_components(stars: DataFrame, done: DataFrame, found: DataFrame, compare: Callable, percent: int) -> DataFrame:
     """``found`` with the components joined that links among the members of a star join.
 
-    Each round pairs the few members of a bucket outside its main component with all its members. Where these are many,
-    one of them becomes a hub of its own and the next round goes on with the differences to it, which lack the token that
-    all members of the bucket share. Families of near copies end after a round or two; what is left after ``HUB_ROUNDS``
-    is listed in full, so no link is lost.
+    Each round pairs the few members of a bucket outside its main component with all its members. Where these are more
+    than ``HUB_OTHERS``, one of them becomes a hub of its own and the next round goes on with the differences to it, which
+    lack the token that all members of the bucket share. Families whose members link end after a round; at the edge of
+    linking a family can have many components, each round adds stars for them, and more rounds cost more than pairs.
+    The round ``HUB_ROUNDS`` lists what is left in full, so no link is lost.
     """
     for left in reversed(range(HUB_ROUNDS)):
         buckets = _mixed_buckets(stars, found, percent)
         if buckets.isEmpty():
             break
-        pairs = stored(_between_components(buckets, percent, COMBINED_PAIRS if left else None), "candidates")
+        pairs = stored(_between_components(buckets, percent, HUB_OTHERS if left else None), "candidates")
         fresh = pairs.where("NOT star").join(done, ["a", "b"], "left_anti").union(pairs.where("star"))
         compared = compare(fresh)
         tied = compared.where("linked").select("a", "b").union(found.select(F.col("component").alias("a"), F.col("node").alias("b")))

@@ -34,7 +34,7 @@ def test_rounds_of_hubs_agree_with_brute_force(spark, monkeypatch, listed, round
     """With any number of rounds, the last of which lists what is left."""
     monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard_join, "ALL_PAIRS", 2)
-    monkeypatch.setattr(jaccard_join, "COMBINED_PAIRS", listed)
+    monkeypatch.setattr(jaccard_join, "HUB_OTHERS", listed)
     monkeypatch.setattr(jaccard_join, "HUB_ROUNDS", rounds)
     rows = around_a_stranger(random.Random(21))
     got = jaccard_join.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3))

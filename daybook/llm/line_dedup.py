@@ -10,7 +10,9 @@ from daybook.llm.common import BLANK, stored, table
 from daybook.llm.registry import query
 from daybook.session import broadcast_if_small
 
-MIN_CHARS = 24
+MIN_CHARS = 1
+NEAR_CHARS = 24
+HOT_SHARE = 1000
 _AT = ["doc_id", "doc_hash", "line"]
 
 
@@ -27,8 +29,8 @@ def _lines(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
     )
 
 
-def _half_keys() -> Column:
-    """Keys that two different lines within one edit share at least one of.
+def _half_keys(near_chars: int) -> Column:
+    """Keys that two different lines within one edit share at least one of; none for lines below ``near_chars``.
 
     For a line of ``a`` characters and one of ``a`` or ``a + 1``, the edit leaves the first ``a / 2`` characters or the
     last ``a - a / 2`` alike. Each line has both keys in both roles, so four; the key names its half and ``a``.
@@ -39,7 +41,7 @@ def _half_keys() -> Column:
         half = F.floor(a / 2).cast("int")
         keys.append(F.xxhash64(F.lit(0), a, F.substring(F.col("norm"), F.lit(1), half)))
         keys.append(F.xxhash64(F.lit(1), a, F.substring(F.col("norm"), F.col("chars") - (a - half) + 1, a - half)))
-    return F.array(*keys)
+    return F.when(F.col("chars") >= near_chars, F.array(*keys)).otherwise(F.array().cast("array<bigint>"))
 
 
 def _near_lines(lines: DataFrame, marks: DataFrame) -> DataFrame:
@@ -85,33 +87,52 @@ def _near_lines(lines: DataFrame, marks: DataFrame) -> DataFrame:
     return both.where(F.levenshtein("norm", "near_norm", 1) >= 0).select("h1", "h2", "near")
 
 
-def near_line_drops(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def _keepers(marks: DataFrame, keep: DataFrame) -> DataFrame:
+    """The lines with the place that answers for them: ``doc_id, doc_hash, line, keep``.
+
+    At most ``HOT_SHARE`` lines can make up more than one in ``HOT_SHARE`` of all lines each. These are broadcast; the
+    others are joined by a shuffle in which no key has more than that share.
+    """
+    places = marks.select(*_AT, "h1", "h2")
+    frequent = F.col("n") > marks.count() / HOT_SHARE
+    hot, rest = (keep.where(rows).select("h1", "h2", "keep") for rows in (frequent, ~frequent))
+    others = places.join(F.broadcast(hot.select("h1", "h2")), ["h1", "h2"], "left_anti")
+    return places.join(F.broadcast(hot), ["h1", "h2"]).unionByName(others.join(rest, ["h1", "h2"]))
+
+
+def near_line_drops(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS
+) -> DataFrame:
     """Lines that repeat an earlier line but for one edit at most: ``doc_id, doc_hash, line, keep_doc_id, keep_line``.
 
-    Lines are compared without blanks at their ends and with each run of blanks as one; lines of fewer than
-    ``min_chars`` characters are never dropped. The order is that of id, hash of the text (``doc_hash``) and place in
-    the text, rows without id first. The earliest equal or near line is named, whether it is itself dropped or not. Rows
-    with one id and one text count as one place, so they do not drop each other's lines.
+    Lines are compared without blanks at their ends and with each run of blanks as one. The edit bound depends on the
+    length: lines of at least ``near_chars`` characters repeat each other when one edit or none is between them, shorter
+    ones when they are equal; empty lines, and lines of fewer than ``min_chars`` characters, are never dropped. The order
+    is that of id, hash of the text (``doc_hash``) and place in the text, rows without id first. The earliest equal or
+    near line is named, whether it is itself dropped or not. Rows with one id and one text count as one place, so they do
+    not drop each other's lines.
     """
     plain = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("doc_hash"), F.col(text).alias("text")
     )
-    lines = _lines(plain, "text", min_chars)
-    marks = stored(lines.select(*_AT, "h1", "h2", _half_keys().alias("keys")), "line-marks")
+    lines = _lines(plain, "text", max(1, min_chars))
+    marks = stored(lines.select(*_AT, "h1", "h2", _half_keys(near_chars).alias("keys")), "line-marks")
     near = _near_lines(lines, marks)
     first = marks.groupBy("h1", "h2").agg(F.min(F.struct(*_AT)).alias("first"), F.count("*").alias("n"))
     keep = first.join(near, ["h1", "h2"], "left").where("n > 1 OR near IS NOT NULL")
-    keep = keep.select("h1", "h2", F.least("first", "near").alias("keep"))
-    found = marks.select(*_AT, "h1", "h2").join(keep, ["h1", "h2"]).where(F.col("keep") < F.struct(*_AT))
+    keep = stored(keep.select("h1", "h2", "n", F.least("first", "near").alias("keep")), "line-keep")
+    found = _keepers(marks, keep).where(F.col("keep") < F.struct(*_AT))
     return found.select(*_AT, F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.line").alias("keep_line"))
 
 
-def drop_near_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def drop_near_lines(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS
+) -> DataFrame:
     """The documents without the lines of :func:`near_line_drops`, with ``n_lines`` and ``n_dropped``.
 
     NULL texts stay NULL with 0 lines. Columns of the documents with the names of the results are replaced.
     """
-    drops = near_line_drops(docs, id_column, text, min_chars)
+    drops = near_line_drops(docs, id_column, text, min_chars, near_chars)
     drops = drops.groupBy(F.col("doc_id").alias("drop_id"), F.col("doc_hash").alias("drop_hash"))
     drops = drops.agg(F.collect_set("line").alias("drop_lines"))
     same = F.col(id_column).cast("long").eqNullSafe(F.col("drop_id")) & (F.xxhash64(text) == F.col("drop_hash"))
@@ -133,9 +154,9 @@ WITH lines AS (
         FROM documents)),
 distinct_lines AS (SELECT t, len(t) AS n, min(doc_id * 1000000 + line) AS pos FROM lines WHERE len(t) >= {MIN_CHARS} GROUP BY t),
 keys AS (
-  SELECT t, pos, n - s AS a, 'first' AS side, substr(t, 1, (n - s) // 2) AS half FROM distinct_lines, (VALUES (0), (1)) v(s)
+  SELECT t, pos, n - s AS a, 'first' AS side, substr(t, 1, (n - s) // 2) AS half FROM distinct_lines, (VALUES (0), (1)) v(s) WHERE n >= {NEAR_CHARS}
   UNION ALL
-  SELECT t, pos, n - s AS a, 'last' AS side, right(t, (n - s) - (n - s) // 2) AS half FROM distinct_lines, (VALUES (0), (1)) v(s)),
+  SELECT t, pos, n - s AS a, 'last' AS side, right(t, (n - s) - (n - s) // 2) AS half FROM distinct_lines, (VALUES (0), (1)) v(s) WHERE n >= {NEAR_CHARS}),
 near AS (
   SELECT x.t, min(y.pos) AS pos FROM keys x JOIN keys y USING (a, side, half)
   WHERE y.pos < x.pos AND levenshtein(x.t, y.t) <= 1 GROUP BY x.t),

@@ -44,14 +44,18 @@ def within_one(a: str, b: str) -> bool:
     return a[at + (len(a) == len(b)) :] == b[at + 1 :] or a == b
 
 
-def brute_drops(rows: list[tuple], least: int) -> set[tuple]:
+def brute_drops(rows: list[tuple], least: int, near: int) -> set[tuple]:
     lines = []
     for doc_id, text in rows:
         for place, raw in enumerate((text or "").split("\n") if text is not None else []):
             norm = re.sub(r"[\x20\x09-\x0D]+", " ", raw).strip(" ")
             if len(norm) >= least:
                 lines.append(((doc_id, place), norm))
-    return {at for at, norm in lines if any(other < at and within_one(norm, text) for other, text in lines)}
+
+    def repeats(a: str, b: str) -> bool:
+        return a == b or (min(len(a), len(b)) >= near and within_one(a, b))
+
+    return {at for at, norm in lines if any(other < at and repeats(norm, text) for other, text in lines)}
 
 
 def test_near_lines_agree_with_brute_force(spark):
@@ -64,12 +68,26 @@ def test_near_lines_agree_with_brute_force(spark):
 
     rows = [(i, "\n".join(edited(draw.choice(base)) for _ in range(draw.randint(1, 4)))) for i in range(150)]
     rows += [(500 + i, f"a line that ends in the number {i:04d}\n\nshort") for i in range(60)]
-    got = near_line_drops(spark.createDataFrame(rows, "doc_id long, text string"), min_chars=12)
-    expected = brute_drops(rows, 12)
+    got = near_line_drops(spark.createDataFrame(rows, "doc_id long, text string"), min_chars=12, near_chars=12)
+    expected = brute_drops(rows, 12, 12)
     assert {(r.doc_id, r.line) for r in got.collect()} == expected
     assert len(expected) > 100
 
 
+def test_short_equal_lines_and_a_hot_line_agree_with_brute_force(spark):
+    draw = random.Random(4)
+    short = ["}", "{", " a ", "b", "", " \t", "Item 1", "Item 2", "see also", "a line of 24 characters!", "a line of 24 characters?", "twenty-three characters", "twenty-three characterz"]
+    long = [sentence(draw, vocabulary(60), 90) for _ in range(4)]
+    long += [line[:50] + "#" + line[51:] for line in long] + [line[:200] + line[201:] for line in long]
+    rows = [(i, "\n".join(["- - -", *(draw.choice(short + long) for _ in range(draw.randint(0, 5)))])) for i in range(120)]
+    rows += [(None, "Item 1\nItem 1"), (None, None)]
+    expected = brute_drops([(-1 if doc_id is None else doc_id, text) for doc_id, text in rows], 1, 24)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {(-1 if r.doc_id is None else r.doc_id, r.line) for r in near_line_drops(docs).collect()}
+    assert got == expected
+    assert (-1, 1) in got and (-1, 0) not in got
+
+
 def test_lines_of_odd_rows(spark):
     docs = spark.createDataFrame(odd_rows(), SCHEMA).withColumnRenamed("n_chars", "n_lines")
     got = {(r.doc_id, r.lang): r for r in drop_near_lines(docs).collect()}

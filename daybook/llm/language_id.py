@@ -12,16 +12,18 @@ from pyspark.sql import functions as F
 
 from daybook.llm.common import LOWER_ASCII, Words, chunks, span_hash, span_sums, table, text_bytes, words
 from daybook.llm.registry import query
-from daybook.llm.sampling import bounded_per_class, held_out
+from daybook.llm.sampling import held_out
 
-FIT_DOCUMENTS = 300
-FIT_MOST_CHARS = 20_000
-FIT_LANGUAGES = 200
+FIT_PIECES = 300
+FIT_ALL_PIECES = 60_000
+PIECE_CHARS = 20_000
 FIT_STEPS = 12
 LEXICON = 8192
 GRAMS = 1 << 16
 AFFIXES = 1 << 14
-CHAIN = 64
+BLOCK = 512
+GROUP = 256
+SLICE = 1 << 20
 STAY = 0.97
 UNKNOWN = "und"
 
@@ -89,53 +91,130 @@ def features(column: pa.Array, lexicon: np.ndarray) -> Features:
 
 
 def emissions(found: Features, weights: np.ndarray) -> np.ndarray:
-    """Score of each word for each language."""
-    if not len(found.text.hash):
-        return np.zeros((0, weights.shape[1]), np.float32)
-    score = np.add.reduceat(weights[found.gram], found.gram_start, axis=0)
-    for row in found.single:
-        score += weights[row]
+    """Score of each word for each language, some words at a time."""
+    words_here = len(found.text.hash)
+    score = np.zeros((words_here, weights.shape[1]), np.float32)
+    ends = np.append(found.gram_start[1:], len(found.gram))
+    low = 0
+    while low < words_here:
+        first = found.gram_start[low]
+        high = max(low + 1, int(np.searchsorted(ends, first + SLICE, "right")))
+        grams = weights[found.gram[first : ends[high - 1]]]
+        score[low:high] = np.add.reduceat(grams, found.gram_start[low:high] - first, axis=0)
+        for row in found.single:
+            score[low:high] += weights[row[low:high]]
+        low = high
     return score
 
 
-def chains(text: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Chain and place in it of each word: a text is cut into chains of ``CHAIN`` words, the last may be shorter."""
-    inner = np.arange(len(text.row)) - text.first[text.row]
-    opens = inner % CHAIN == 0
-    return np.cumsum(opens) - 1, inner % CHAIN
+def word_places(text: Words) -> np.ndarray:
+    """Place of each word in its text."""
+    return np.arange(len(text.row)) - text.first[text.row]
+
+
+def _locals(score: np.ndarray) -> np.ndarray:
+    return np.exp(score.astype(np.float64) - score.max(axis=1, keepdims=True))
+
+
+def _steps(opens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The order of blocks, longest first, and the words of each step: the t-th words of the blocks that have one."""
+    order = np.argsort(-sizes, kind="stable")
+    having = np.searchsorted(-sizes[order], -np.arange(sizes.max()), "left")
+    return order, [opens[order[:n]] + t for t, n in enumerate(having.tolist())]
+
+
+def _block_moves(local: np.ndarray, step: np.ndarray, opens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each block the weight of all paths from each label of its first word to each label of its last, up to a factor."""
+    order, lines = _steps(opens, sizes)
+    moves = local[lines[0]][:, :, None] * np.eye(local.shape[1])
+    for line in lines[1:]:
+        now = (moves[: len(line)] @ step) * local[line][:, None, :]
+        moves[: len(line)] = now / now.max(axis=(1, 2), keepdims=True)
+    result = np.empty_like(moves)
+    result[order] = moves
+    return result
+
+
+def _messages(
+    score: np.ndarray, opens: np.ndarray, sizes: np.ndarray, first: np.ndarray, step: np.ndarray, start: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """What the words before a block say of its first word, and what the words after it say of its last.
+
+    Only texts of several blocks need their path weights; groups of blocks bound the memory.
+    """
+    last = np.append(first[1:], True)
+    arrive, leave = np.tile(start, (len(opens), 1)), np.ones((len(opens), len(start)))
+    several = np.flatnonzero(~(first & last))
+    groups = [several[low : low + GROUP] for low in range(0, len(several), GROUP)]
+
+    def moves_of(group: np.ndarray) -> np.ndarray:
+        span = slice(opens[group[0]], opens[group[-1]] + sizes[group[-1]])
+        return _block_moves(_locals(score[span]), step, opens[group] - span.start, sizes[group])
+
+    moves = None
+    for group in groups:
+        moves = moves_of(group)
+        for block, move in zip(group.tolist(), moves, strict=True):
+            if not last[block]:
+                line = arrive[block] @ move @ step
+                arrive[block + 1] = line / line.sum()
+    for number, group in enumerate(reversed(groups)):
+        moves = moves_of(group) if number else moves
+        for block, move in zip(group[::-1].tolist(), moves[::-1], strict=True):
+            if not first[block]:
+                line = step @ (move @ leave[block])
+                leave[block - 1] = line / line.sum()
+    return arrive, leave
 
 
 def forward_backward(
-    score: np.ndarray, chain: np.ndarray, place: np.ndarray, model: Model, with_moves: bool = False
+    score: np.ndarray, text: Words, model: Model, with_moves: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Posterior of each word for each language and, if asked for, the expected number of transitions."""
-    n, kinds = (int(chain[-1]) + 1 if len(chain) else 0), score.shape[1]
-    if not n:
-        return np.zeros((0, kinds)), np.zeros((kinds, kinds))
-    local = np.zeros((CHAIN, n, kinds))
-    used = np.zeros((CHAIN, n), bool)
-    local[place, chain] = score
-    used[place, chain] = True
-    local = np.exp(local - local.max(axis=2, keepdims=True))
+    """Posterior of each word for each language and, if asked for, the expected number of transitions.
+
+    Each text is one chain. It is worked on in blocks of ``BLOCK`` words, many blocks at once; messages are carried over
+    the edges of blocks, so that results do not depend on where these lie.
+    """
+    kinds = score.shape[1]
+    posterior, counted = np.zeros((len(score), kinds)), np.zeros((kinds, kinds))
+    if not len(score):
+        return posterior, counted
+    place = word_places(text)
+    opens = np.flatnonzero(place % BLOCK == 0)
+    sizes = np.diff(np.append(opens, len(place)))
     step = np.exp(model.transitions - model.transitions.max())
-    forward, backward = np.empty_like(local), np.ones_like(local)
-    line = np.exp(model.start - model.start.max()) * local[0]
-    forward[0] = line / line.sum(axis=1, keepdims=True)
-    last = int(used.any(axis=1).sum())
-    for t in range(1, last):
-        line = (forward[t - 1] @ step) * local[t] + 1e-30
-        forward[t] = line / line.sum(axis=1, keepdims=True)
-    for t in range(last - 2, -1, -1):
-        line = (backward[t + 1] * local[t + 1]) @ step.T + 1e-30
-        backward[t] = np.where(used[t + 1][:, None], line / line.sum(axis=1, keepdims=True), 1.0)
-    both = forward[:last] * backward[:last]
-    both /= both.sum(axis=2, keepdims=True)
-    moves = np.zeros((kinds, kinds))
-    for t in range(1, last if with_moves else 0):
-        pair = forward[t - 1][:, :, None] * step[None] * (local[t] * backward[t])[:, None, :]
-        pair = pair / pair.sum(axis=(1, 2), keepdims=True)
-        moves += pair[used[t]].sum(axis=0)
-    return both[place, chain], moves
+    start = np.exp(model.start - model.start.max())
+    arrive, leave = _messages(score, opens, sizes, place[opens] == 0, step, start)
+    tail = start[None]
+    for low in range(0, len(opens), GROUP):
+        group = slice(low, low + GROUP)
+        begin, end = opens[low], opens[group][-1] + sizes[group][-1]
+        local = _locals(score[begin:end])
+        order, lines = _steps(opens[group] - begin, sizes[group])
+        forward, backward = np.empty_like(local), np.empty_like(local)
+        line = arrive[group][order]
+        for t, at in enumerate(lines):
+            line = line[: len(at)] @ step if t else line
+            line = line * local[at]
+            line /= line.sum(axis=1, keepdims=True)
+            forward[at] = line
+        ends = leave[group][order]
+        line = ends[:0]
+        for at in reversed(lines):
+            line = np.concatenate((line, ends[len(line) : len(at)]))
+            backward[at] = line
+            line = (line * local[at]) @ step.T
+            line /= line.sum(axis=1, keepdims=True)
+        both = forward * backward
+        posterior[begin:end] = both / both.sum(axis=1, keepdims=True)
+        if with_moves:
+            after = local * backward
+            follows = np.flatnonzero(place[begin:end] > 0)
+            previous = np.concatenate((tail, forward[:-1]))
+            weight = ((previous[follows] @ step) * after[follows]).sum(axis=1, keepdims=True)
+            counted += step * (previous[follows].T @ (after[follows] / weight))
+        tail = forward[-1:]
+    return posterior, counted
 
 
 def fit(texts: list[str], labels: list[str]) -> Model:
@@ -173,16 +252,15 @@ def fit(texts: list[str], labels: list[str]) -> Model:
     weights[-1] = 0
     stay = np.log(np.where(np.eye(kinds, dtype=bool), STAY, (1 - STAY) / max(1, kinds - 1)))
     model = Model(languages, weights.astype(np.float32), np.sort(common), stay, np.zeros(kinds))
-    chain, place = chains(text)
-    posterior, _ = forward_backward(emissions(found, model.weights) + one[own], chain, place, model)
+    posterior, _ = forward_backward(emissions(found, model.weights) + one[own], text, model)
     label = posterior.argmax(axis=1)
     goal = totals(one[label])
-    follows = np.flatnonzero(place[1:] > 0)
+    follows = np.flatnonzero(word_places(text)[1:] > 0)
     moved = np.zeros((kinds, kinds))
     np.add.at(moved, (label[follows], label[follows + 1]), 1)
     squared, squared_moves = np.full((size, kinds), 1e-3), np.full((kinds, kinds), 1e-3)
     for _ in range(FIT_STEPS):
-        posterior, moves = forward_backward(emissions(found, model.weights), chain, place, model, with_moves=True)
+        posterior, moves = forward_backward(emissions(found, model.weights), text, model, with_moves=True)
         up = goal - totals(posterior) - 0.05 * model.weights
         up_moves = moved - moves - 0.05 * model.transitions
         squared += up**2
@@ -192,17 +270,37 @@ def fit(texts: list[str], labels: list[str]) -> Model:
     return model
 
 
-def train(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = FIT_DOCUMENTS) -> Model:
+def train(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+    per_language: int = FIT_PIECES,
+    all_pieces: int = FIT_ALL_PIECES,
+) -> Model:
     """A model from a bounded sample of rows with a language, outside the held-out fold.
 
-    The sample has about ``per_language`` texts for each of the ``FIT_LANGUAGES`` most frequent languages, and only
-    texts of at most ``FIT_MOST_CHARS`` characters; the driver holds no more than that.
+    Texts are cut into pieces of ``PIECE_CHARS`` characters (most are one piece), so that long texts are learned from as
+    any others. A hash picks about ``per_language`` pieces of each language, or fewer where all languages together would
+    have more than ``all_pieces``; every language is learned. The driver holds twice that at most, and the weights of a
+    language take 0.4 MB.
     """
     usable = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    usable = usable.where(~held_out()).where("lang IS NOT NULL AND text IS NOT NULL")
-    usable = usable.where(F.length("text").between(1, FIT_MOST_CHARS))
-    sample, _ = bounded_per_class(usable, "lang", "doc_id", per_language, FIT_LANGUAGES)
-    rows = sample.collect()
+    usable = usable.where(~held_out()).where("lang IS NOT NULL AND text IS NOT NULL AND text != ''")
+    counts = usable.groupBy("lang").agg(F.sum(F.ceil(F.length("text") / PIECE_CHARS)).alias("pieces")).collect()
+    if not counts:
+        return fit([], [])
+    each = max(1, min(per_language, all_pieces // len(counts)))
+    shares = [(row.lang, int(min(1.0, each / row.pieces) * (1 << 40))) for row in counts]
+    cut = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0))
+    whole = F.length("text") <= PIECE_CHARS
+    pieces = usable.select(
+        "doc_id", "lang", F.posexplode(F.when(whole, F.array("text")).otherwise(cut)).alias("piece", "text")
+    )
+    place = F.pmod(F.xxhash64("doc_id", "piece", F.lit(11)), F.lit(1 << 40))
+    share = docs.sparkSession.createDataFrame(shares, "lang string, share long")
+    chosen = pieces.join(F.broadcast(share), "lang").where(place < F.col("share"))
+    rows = chosen.orderBy(place, "doc_id", "piece", "lang", "text").limit(2 * each * len(counts)).select("text", "lang").collect()
     return fit([row.text for row in rows], [row.lang for row in rows])
 
 
@@ -219,8 +317,7 @@ def _label(shared: object, text: str, with_runs: bool) -> Callable:
                 n = part.num_rows
                 mean, best = np.zeros(n), np.full(n, kinds)
                 if kinds and len(found.text.hash):
-                    chain, place = chains(found.text)
-                    posterior, _ = forward_backward(emissions(found, model.weights), chain, place, model)
+                    posterior, _ = forward_backward(emissions(found, model.weights), found.text, model)
                     sums = np.stack([np.bincount(found.text.row, posterior[:, k], minlength=n) for k in range(kinds)], axis=1)
                     counts = found.text.counts
                     best = np.where(counts > 0, sums.argmax(axis=1), kinds)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,16 +12,22 @@ from pyspark.sql.window import Window
 
 from daybook.llm.common import BLANK, stored, table
 from daybook.llm.registry import query
+from daybook.session import broadcast_if_small
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_EPOCHS = 3.0
 BLOCK_BITS = 10
 LEVELS = 3
 MOST_SOURCES = 100_000
+SHARD_WORDS = 1 << 27
+LEAST_SHARDS = 64
+SHARD_BLOCKS = 16
+MOST_BITS = 30
 _SIGN = -(1 << 63)
 _FACTS = (
-    "mix_source string, mix_source_size long, mix_target double, mix_epochs int, mix_cut long, mix_bounds array<long>"
+    "mix_number int, mix_source string, mix_source_size long, mix_target double, mix_epochs int, mix_cut long, mix_bits int"
 )
+_RUNS = "mix_number int, shards array<int>, ends array<long>"
 
 _SHUFFLED = ("mix_shard", "mix_order", "mix_size")
 
@@ -50,29 +59,50 @@ def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS,
     return result
 
 
-def shard_quotas(blocks: list[int], shards: int, seed: int) -> np.ndarray:
-    """Blocks of each source for each shard: shards get equal numbers of blocks, as if all blocks had been shuffled.
+def _quota_tree(blocks: list[int], shards: int, seed: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each shard in order the sources that give it blocks and how many: see :func:`shard_quotas`.
 
-    A tree halves the shards; at each node the blocks of the left half are one multivariate hypergeometric draw from the
-    blocks of the node, so all block counts are exact.
+    A node knows only the sources that have blocks in it, so the whole tree takes work in proportion to all blocks.
     """
-    quotas = np.zeros((len(blocks), shards), np.int64)
 
-    def split(counts: np.ndarray, low: int, high: int) -> None:
+    def split(sources: np.ndarray, counts: np.ndarray, low: int, high: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         if high - low == 1:
-            quotas[:, low] = counts
+            yield low, sources, counts
             return
         middle = (low + high) // 2
         take = int(counts.sum()) * (middle - low) // (high - low)
         draw = np.random.default_rng([seed, low, high])
         left = draw.multivariate_hypergeometric(counts, take, method="marginals") if take else np.zeros_like(counts)
-        split(left, low, middle)
-        split(counts - left, middle, high)
+        for part, start, end in ((left, low, middle), (counts - left, middle, high)):
+            yield from split(sources[part > 0], part[part > 0], start, end)
+
+    counts = np.array(blocks, np.int64)
+    yield from split(np.flatnonzero(counts), counts[counts > 0], 0, shards)
+
+
+def shard_quotas(blocks: list[int], shards: int, seed: int) -> np.ndarray:
+    """Blocks of each source for each shard: shards get equal numbers of blocks, as if all blocks had been shuffled.
 
-    split(np.array(blocks, np.int64), 0, shards)
+    A tree halves the shards; at each node the blocks of the left half are one multivariate hypergeometric draw from the
+    blocks of the node, so all block counts are exact.
+    """
+    quotas = np.zeros((len(blocks), shards), np.int64)
+    for shard, sources, counts in _quota_tree(blocks, shards, seed):
+        quotas[sources, shard] = counts
     return quotas
 
 
+def shards_of(words: int) -> int:
+    """Shards for a mix of so many words: of ``SHARD_WORDS`` words each, and at least ``LEAST_SHARDS``."""
+    return max(LEAST_SHARDS, -(-words // SHARD_WORDS))
+
+
+def block_bits(words: int, all_words: int, shards: int) -> int:
+    """Bits that number the blocks of a source: blocks of all sources have about ``1 / SHARD_BLOCKS`` of a shard's words."""
+    wanted = SHARD_BLOCKS * shards * words / all_words if all_words else 1
+    return min(MOST_BITS, max(1, math.ceil(math.log2(max(wanted, 1)))))
+
+
 def _partial_cut(sized: DataFrame, wanted: DataFrame) -> DataFrame:
     """For each source the place up to which its rows together have nearly ``need`` words: ``source, mix_cut``.
 
@@ -104,29 +134,39 @@ def _partial_cut(sized: DataFrame, wanted: DataFrame) -> DataFrame:
     return run.groupBy("source", "parent").agg(cut).drop("parent")
 
 
-def mix_plan(
+def mix_plan(docs: DataFrame, **options: object) -> DataFrame:
+    """How often each row goes into the mix.
+
+    Returns the documents with ``mix_place`` (the row's place in the seeded permutation of its source), ``mix_size``
+    (words of the text, NULL text 0), ``mix_source_size``, ``mix_target``, ``mix_copies`` and ``mix_bits`` (how many
+    leading bits of the place number its block). The last epoch of a source is a part of it: whole blocks in permuted
+    order and the leading rows of one more block, so that the words come within half a row of the target. Rows that agree
+    in id and text have one place and are taken together; rows without an id, or that share one, have places of their own
+    as long as their texts differ. Options are those of :func:`planned_mix`.
+
+    An empty table gives no rows. NULL is a source of its own. Columns of the documents whose names begin with ``mix_`` are
+    replaced. Only one row per source reaches the driver, and a table with more than ``MOST_SOURCES`` sources is refused.
+    """
+    return planned_mix(docs, **options)[0]
+
+
+def planned_mix(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
     most: float = MOST_EPOCHS,
-    shards: int = 64,
+    shards: int | None = None,
     seed: int = 8,
     id_column: str = "doc_id",
     text: str = "text",
     source: str = "source",
-) -> DataFrame:
-    """How often each row goes into the mix.
+) -> tuple[DataFrame, DataFrame, int]:
+    """The rows of :func:`mix_plan`, the shard of each block (``mix_number, mix_block, mix_shard``) and the number of shards.
 
-    Returns the documents with ``mix_place`` (the row's place in the seeded permutation of its source), ``mix_size``
-    (words of the text, NULL text 0), ``mix_source_size``, ``mix_target``, ``mix_copies`` and
-    ``mix_bounds`` (for the blocks of the source in permuted order, epoch after epoch, where each shard ends). The last
-    epoch of a source is a part of it: whole blocks in permuted order and the leading rows of one more block, so that the
-    words come within half a row of the target. Rows that agree in id and text have one place and are taken together;
-    rows without an id, or that share one, have places of their own as long as their texts differ.
-
-    An empty table gives no rows. NULL is a source of its own. Columns of the documents whose names begin with ``mix_`` are
-    replaced. Only one row per source reaches the driver, and a table with more than ``MOST_SOURCES`` sources is refused.
+    Unless given, the number of shards follows from all words (:func:`shards_of`), and that of blocks of a source from
+    its words and the shards. There are ``SHARD_BLOCKS`` blocks to a shard and epoch, up to twice that by rounding.
     """
     spark = docs.sparkSession
+    docs = docs.select(*[name for name in docs.columns if not name.startswith("mix_")])
     size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(f"[^{BLANK}]+")).cast("long")
     place = F.xxhash64(F.col(id_column), F.coalesce(F.col(text), F.lit("")), F.lit(seed))
     marked = docs.withColumns({"mix_place": place, "mix_size": size})
@@ -138,51 +178,64 @@ def mix_plan(
     if len(totals) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     words = {row.source: row.words for row in sorted(totals, key=lambda row: (row.source is None, row.source or ""))}
+    all_words = sum(words.values())
+    shards = shards_of(all_words) if shards is None else shards
     target = targets(words, weights, most)
     epochs = {name: int(target[name] // words[name]) if words[name] else 0 for name in words}
     need = [(name, float(target[name] - epochs[name] * words[name])) for name in words if words[name]]
     need = [(name, words_left) for name, words_left in need if words_left > 0]
     cuts = _partial_cut(sized, spark.createDataFrame(need, "source string, need double")).collect()
     cut = {row.source: row.mix_cut for row in cuts}
-    full = 1 << BLOCK_BITS
-    draws = []
-    for name in words:
-        last = -1 if cut.get(name) is None else (cut[name] % (1 << 64)) >> (64 - BLOCK_BITS)
-        draws.append((name, epochs[name], epochs[name] * full + last + 1))
-    quotas = shard_quotas([n for _, _, n in draws], shards, seed) if draws else np.zeros((0, shards), np.int64)
-    facts = [
-        (name, words[name], target[name], times, cut.get(name), [int(x) for x in np.cumsum(quotas[place])])
-        for place, (name, times, _) in enumerate(draws)
-    ]
+    facts, blocks = [], []
+    for number, name in enumerate(words):
+        bits = block_bits(words[name], all_words, shards)
+        last = -1 if cut.get(name) is None else (cut[name] % (1 << 64)) >> (64 - bits)
+        facts.append((number, name, words[name], target[name], epochs[name], cut.get(name), bits))
+        blocks.append((epochs[name] << bits) + last + 1)
+    runs = [(number, [], []) for number in range(len(blocks))]
+    for shard, sources, counts in _quota_tree(blocks, shards, seed):
+        for number, count in zip(sources.tolist(), counts.tolist(), strict=True):
+            ends = runs[number][2]
+            runs[number][1].append(shard)
+            ends.append((ends[-1] if ends else 0) + count)
     per_source = spark.createDataFrame(facts, _FACTS)
     joined = marked.join(F.broadcast(per_source), F.col(source).cast("string").eqNullSafe(F.col("mix_source")), "left")
     flip = F.lit(_SIGN)
     part = F.coalesce((F.col("mix_place").bitwiseXOR(flip) <= F.col("mix_cut").bitwiseXOR(flip)).cast("int"), F.lit(0))
-    return joined.withColumn("mix_copies", F.coalesce(F.col("mix_epochs"), F.lit(0)) + part)
+    planned = joined.withColumn("mix_copies", F.coalesce(F.col("mix_epochs"), F.lit(0)) + part)
+    starts = spark.createDataFrame(runs, _RUNS).select("mix_number", "ends", F.posexplode("shards").alias("at", "mix_shard"))
+    starts = starts.selectExpr("mix_number", "mix_shard", "if(at = 0, 0L, ends[at - 1]) AS low", "ends[at] AS high")
+    dealt = starts.selectExpr("mix_number", "explode(sequence(low, high - 1)) AS mix_block", "mix_shard")
+    return planned, dealt, shards
+
 
+def drawn(planned: DataFrame, dealt: DataFrame, columns: list[str], shards: int) -> DataFrame:
+    """The copies of planned rows: ``columns`` and those of :func:`mix`, dealt to shards and shuffled inside them.
 
-def drawn(planned: DataFrame, columns: list[str], shards: int) -> DataFrame:
-    """The copies of planned rows: ``columns`` and those of :func:`mix`, dealt to shards and shuffled inside them."""
+    The table of blocks is broadcast when it is measured to be small; otherwise rows and blocks are joined by a shuffle,
+    in which a key is one block.
+    """
     copies = planned.where("mix_copies > 0").withColumn("mix_copy", F.explode(F.expr("sequence(0, mix_copies - 1)")))
-    block = F.col("mix_copy") * (1 << BLOCK_BITS) + F.shiftrightunsigned("mix_place", 64 - BLOCK_BITS)
-    shard = F.size(F.filter("mix_bounds", lambda bound: bound <= F.col("mix_block")))
+    block = F.expr("shiftleft(CAST(mix_copy AS BIGINT), mix_bits) + shiftrightunsigned(mix_place, 64 - mix_bits)")
     order = F.xxhash64("mix_place", "mix_copy", F.lit(1))
-    marked = copies.withColumn("mix_block", block).withColumns({"mix_shard": shard, "mix_order": order})
+    marked = copies.withColumns({"mix_block": block, "mix_order": order})
     kept = [name for name in columns if not name.startswith("mix_")]
-    dealt = marked.select(
+    (blocks,) = broadcast_if_small(dealt)
+    found = marked.join(blocks, ["mix_number", "mix_block"]).select(
         *kept, "mix_place", "mix_size", "mix_source", "mix_copy", "mix_block", "mix_shard", "mix_order"
-    ).repartitionById(shards, F.col("mix_shard"))
-    return dealt.sortWithinPartitions(*_SHUFFLED)
+    )
+    return found.repartitionById(shards, F.col("mix_shard")).sortWithinPartitions(*_SHUFFLED)
 
 
-def mix(docs: DataFrame, shards: int = 64, **options: object) -> DataFrame:
+def mix(docs: DataFrame, **options: object) -> DataFrame:
     """The mix: each row as often as the plan takes it, in the order of shards, each of which is one partition.
 
     Blocks are drawn by the quotas of :func:`shard_quotas`: ``mix_block`` counts the blocks of a source, epoch after
     epoch, and a block goes to one shard (``mix_shard``) as a whole. Inside a shard the rows of all its blocks are
     shuffled, by ``mix_order``. Further columns are ``mix_copy`` (the epoch), ``mix_place``, ``mix_source`` and ``mix_size``.
     """
-    return drawn(mix_plan(docs, shards=shards, **options), docs.columns, shards)
+    planned, dealt, shards = planned_mix(docs, **options)
+    return drawn(planned, dealt, docs.columns, shards)
 
 
 @query()
@@ -191,12 +244,11 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Rows that agree in id, source and text are taken together, and name the draws of all of them.
     """
-    shards = 64
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    planned = mix_plan(docs, shards=shards)
+    planned, dealt, shards = planned_mix(docs)
     same = ["doc_id", "mix_source", "mix_place", "mix_size"]
     position = F.row_number().over(Window.partitionBy("mix_shard").orderBy(*_SHUFFLED[1:]))
-    placed = drawn(planned, docs.columns, shards).withColumn("position", position - 1)
+    placed = drawn(planned, dealt, docs.columns, shards).withColumn("position", position - 1)
     found = placed.groupBy(*[F.col(name).alias(f"of_{name}") for name in same]).agg(
         F.sum("mix_size").alias("words"),
         F.count_if(F.col("mix_copy") == 0).alias("rows"),

@@ -37,6 +37,34 @@ def test_blocks_of_shards_follow_the_quotas(spark, monkeypatch):
     assert len(parts) == 5 and all(len({shard for shard, _ in rows}) == 1 and rows == sorted(rows) for rows in parts.values())
 
 
+def test_shards_and_blocks_follow_the_size(spark, monkeypatch):
+    assert mixing.shards_of(0) == mixing.shards_of(10**9) == 64
+    assert mixing.shards_of(10**13) == -(-(10**13) // mixing.SHARD_WORDS)
+    assert mixing.block_bits(10**9, 10**9, 64) == 10 and mixing.block_bits(10**13, 10**13, 75_000) == 21
+    assert mixing.block_bits(1, 10**13, 75_000) == mixing.block_bits(0, 0, 64) == 1
+    tree = list(mixing._quota_tree([2**21] + [2] * 1000, 10_000, 3))
+    assert [shard for shard, _, _ in tree] == list(range(10_000))
+    sizes = [int(counts.sum()) for _, _, counts in tree]
+    assert sum(sizes) == 2**21 + 2000 and max(sizes) - min(sizes) <= 2
+    docs = spark.createDataFrame(rows_of_sources(), SCHEMA).where("doc_id < 900").withColumn("mix_number", F.lit("mine"))
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 150)
+    planned, dealt, shards = mixing.planned_mix(docs)
+    assert shards > 100
+    copies = planned.groupBy("doc_id").agg(F.sum("mix_copies").alias("n")).where("n > 0").collect()
+    mixed = mixing.drawn(planned, dealt, docs.columns, shards).collect()
+    assert Counter(r.doc_id for r in mixed) == {r.doc_id: r.n for r in copies}
+    owner = {(r.mix_number, r.mix_block): r.mix_shard for r in dealt.collect()}
+    assert len(owner) == dealt.count()
+    number = {r.mix_source: (r.mix_number, r.mix_bits) for r in planned.select("mix_source", "mix_number", "mix_bits").distinct().collect()}
+    for r in mixed:
+        source, bits = number[r.source]
+        assert r.mix_block == (r.mix_copy << bits) + ((r.mix_place % (1 << 64)) >> (64 - bits))
+        assert owner[source, r.mix_block] == r.mix_shard
+    monkeypatch.setattr(mixing, "broadcast_if_small", lambda *frames: list(frames))
+    again = mixing.drawn(planned, dealt, docs.columns, shards).collect()
+    assert [(r.doc_id, r.mix_copy) for r in again] == [(r.doc_id, r.mix_copy) for r in mixed]
+
+
 def test_query_takes_what_is_drawn(spark, tmp_path):
     spark.createDataFrame(rows_of_sources(), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")

@@ -144,12 +144,21 @@ def test_queries_agree_with_sql(spark, name):
     assert compare(CORPUS_QUERIES[name](spark, SMALL), database(SMALL), CORPUS_ORACLES[name]) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(CORPUS_QUERIES) - set(CORPUS_ORACLES) - {"op10_token_counts"}))
+OTHER_ROWS = {"op10_token_counts", "op11_conversation_repair"}
+
+
+@pytest.mark.parametrize("name", sorted(set(CORPUS_QUERIES) - set(CORPUS_ORACLES) - OTHER_ROWS))
 def test_queries_have_a_row_for_each_document(spark, name):
     rows = CORPUS_QUERIES[name](spark, SMALL).select("doc_id").collect()
     assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in table(spark, SMALL, "documents").select("doc_id").collect())
 
 
+def test_repair_query_has_a_row_for_each_conversation(spark):
+    rows = CORPUS_QUERIES["op11_conversation_repair"](spark, SMALL).select("conv_id").collect()
+    known = table(spark, SMALL, "conversations").select("conv_id").distinct().collect()
+    assert sorted(r.conv_id for r in rows) == sorted(r.conv_id for r in known)
+
+
 def test_token_count_query_counts_every_document(spark):
     rows = CORPUS_QUERIES["op10_token_counts"](spark, SMALL).collect()
     docs = table(spark, SMALL, "documents").collect()

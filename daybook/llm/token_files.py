@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -51,6 +52,12 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + place) for place, b in enumerate(other)}
 
 
+@cache
+def _packers(count: int) -> Callable:
+    """Writes so many ids as little-endian unsigned 32-bit integers."""
+    return struct.Struct(f"<{count}I").pack
+
+
 class Encoder:
     """Encodes whole texts with a tokenizer file. The ids of pieces met before are kept, up to a fixed number of pieces.
 
@@ -62,12 +69,14 @@ class Encoder:
     def __init__(self, path: str, special: bool) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
     def piece(self, piece: str) -> bytes:
-        spelled = piece.encode().decode("latin-1").translate(_byte_letters())
-        return np.array([token.id for token in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
+        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        found = self.model.tokenize(spelled)
+        return _packers(len(found))(*[token.id for token in found])
 
     def ids(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
@@ -75,15 +84,15 @@ class Encoder:
         if not is_latin(text) or any(name in text for name in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         pieces, known = cut(text), self.known
-        try:
-            return b"".join([known[piece] for piece in pieces])
-        except KeyError:
+        coded = list(map(known.get, pieces))
+        if None in coded:
             if len(known) > CACHED_PIECES:
                 known.clear()
-            for piece in pieces:
-                if piece not in known:
-                    known[piece] = self.piece(piece)
-            return b"".join([known[piece] for piece in pieces])
+            for at, found in enumerate(coded):
+                if found is None:
+                    piece = pieces[at]
+                    coded[at] = known[piece] = known.get(piece) or self.piece(piece)  # it may be there by now
+        return b"".join(coded)
 
 
 @cache

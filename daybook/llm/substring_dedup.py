@@ -20,7 +20,8 @@ from daybook.session import ROW_OVERHEAD_BYTES, hinted
 LENGTH = 50
 GRAM = 20
 GRAM_BITS = 40
-HELD_ANCHORS = 4_000_000
+#: What a task works on and holds at a time; the arrays made of it are many times as large.
+SCAN_BYTES, HELD_ANCHORS = 1 << 17, 1_000_000
 #: What names a row: its id and, where an id has several texts, a hash of the text, else NULL.
 _ROW = ("doc_id", "text_key")
 _ROW_SCHEMA = "doc_id long, text_key long"
@@ -89,7 +90,7 @@ def _grams(length: int) -> Callable:
                 yield pa.RecordBatch.from_arrays([pa.array(out[begin : begin + 50_000])], ["gram"])
 
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", SCAN_BYTES):
                 found = anchors(*text_bytes(part.column("text")), length)
                 order = np.lexsort((found.gram, found.row))
                 row, gram = found.row[order], _short(found.gram[order])
@@ -119,7 +120,7 @@ def _repeats(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _contexts(repeated: Broadcast, length: int) -> Callable:
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", SCAN_BYTES):
                 data, offsets = text_bytes(part.column("text"))
                 found = anchors(data, offsets, length)
                 use = np.flatnonzero(maybe(repeated, _short(found.gram)))
@@ -186,7 +187,7 @@ def _edge_windows(edges: pa.Array, offsets: np.ndarray, length: int) -> tuple[np
 def _windows(length: int) -> Callable:
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", SCAN_BYTES):
                 data, offsets = text_bytes(part.column("text"))
                 row, at = _edge_windows(part.column("edges"), offsets, length)
                 value = span_hash(span_sums(data), at, at + length)
@@ -209,7 +210,7 @@ def _filtered(repeated: Broadcast) -> Callable:
 def _removed(length: int, with_text: bool) -> Callable:
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", SCAN_BYTES):
                 data, offsets = text_bytes(part.column("text"))
                 cover = np.zeros(len(data) + 1, np.int64)
                 row, start, size = _unpacked(part.column("covered"))

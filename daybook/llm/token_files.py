@@ -8,22 +8,27 @@ import unicodedata
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from daybook.llm.common import chunks, table
+from daybook.llm.common import CHUNK_BYTES, chunks, ragged_ranges, table, text_bytes
 from daybook.llm.registry import query
 from daybook.session import new_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 CACHED_PIECES = 200_000
+ENCODED_BYTES = 16 << 20
+SPELLED_PIECES = 1000
+BLOCK_PIECES = 1 << 17
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 _STORED = "doc_id long, part int, row long, start_in_part long, n_tokens long, ids array<int>"
@@ -44,6 +49,75 @@ def _latin() -> tuple[Callable, Callable]:
     return re.compile("[\t\n\r -~\xa0-ɏ]*").fullmatch, re.compile(cut).findall
 
 
+_LETTER, _DIGIT, _SPACE, _OTHER, _FOREIGN = range(5)
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """What each letter that :func:`_latin` takes is to the cut, by code point; all others are foreign."""
+    kinds = np.full(0x251, _FOREIGN, np.uint8)
+    kinds[[*range(0x21, 0x7F), *range(0xA0, 0x250)]] = _OTHER
+    kinds[[ord(c) for c in "\t\n\r \xa0"]] = _SPACE
+    kinds[[*range(0x41, 0x5B), *range(0x61, 0x7B), *map(ord, _letters("L"))]] = _LETTER
+    kinds[[*range(0x30, 0x3A), *map(ord, _letters("N"))]] = _DIGIT
+    return kinds
+
+
+def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and code point of each letter of UTF-8 bytes; code points of more than two bytes are all 0x250."""
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    code = data[at].astype(np.int32)
+    two = np.flatnonzero(code >= 0x80)
+    second = data[np.minimum(at[two] + 1, len(data) - 1)]
+    code[two] = np.where(code[two] < 0xE0, (code[two] & 0x1F) << 6 | second & 0x3F, 0x250)
+    return at, np.minimum(code, 0x250)
+
+
+def _cuts(code: np.ndarray, kind: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Marks the letters at which a piece begins, as the expression of :func:`_latin` cuts. ``first`` marks where texts begin."""
+    last = np.append(first[1:], True)
+    space = kind == _SPACE
+    begins = np.append(True, kind[1:] != kind[:-1])
+    # of several blanks the last one goes with what follows, if it is a space, or stands alone
+    inner = space & ~first & ~last
+    inner[1:] &= space[:-1]
+    inner[:-1] &= ~space[1:]
+    begins |= inner
+    begins[1:] &= space[1:] | (code[:-1] != 0x20)
+    begins |= first
+    # 's 't 'm 'd 're 've 'll, where the apostrophe begins a piece
+    quote = np.flatnonzero((code == 0x27) & begins & ~last)
+    next_one = code[quote + 1]
+    for letters in ("s", "t", "m", "d", "re", "ve", "ll"):
+        found = quote[next_one == ord(letters[0])]
+        if len(letters) == 2:
+            found = found[~last[found + 1]]
+            found = found[code[found + 2] == ord(letters[1])]
+        begins[found + 1] = False
+        after = found + len(letters) + 1
+        begins[after[after < len(code)]] = True
+    return begins
+
+
+def _piece_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes of the pieces of texts, and the rows with letters that are foreign to the cut."""
+    starts, foreign = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    row = 0
+    while row < len(offsets) - 1:
+        stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + CHUNK_BYTES, "right")) - 1)
+        at, code = _code_points(data[offsets[row] : offsets[stop]])
+        if len(at):
+            first = np.zeros(len(at), bool)
+            begin = offsets[row:stop][np.diff(offsets[row : stop + 1]) > 0] - offsets[row]
+            first[np.searchsorted(at, begin)] = True
+            kind = _kinds()[code]
+            starts.append((at[_cuts(code, kind, first)] + offsets[row]).astype(np.int32))
+            strange = at[kind == _FOREIGN] + offsets[row]
+            foreign.append(np.unique(np.searchsorted(offsets, strange, "right") - 1))
+        row = stop
+    return np.concatenate(starts), np.concatenate(foreign)
+
+
 @cache
 def _byte_letters() -> dict[int, str]:
     """The printable letter by which a byte-level BPE writes each byte."""
@@ -59,7 +133,8 @@ def _packers(count: int) -> Callable:
 
 
 class Encoder:
-    """Encodes whole texts with a tokenizer file. The ids of pieces met before are kept, up to a fixed number of pieces.
+    """Encodes whole texts with a tokenizer file: one by one, where the ids of pieces met before are kept, up to a fixed
+    number of pieces, or a batch of them, where a piece is encoded once for all texts and nothing is kept.
 
     Texts with letters outside the Latin blocks and texts that hold the name of an added token go through the tokenizer
     as they are. ``special`` says what names of special tokens inside a text are: those tokens, as in the tokenizer's
@@ -72,6 +147,7 @@ class Encoder:
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.spelling = np.array([ord(self.letters[byte]) for byte in range(256)], "<u4")
 
     def piece(self, piece: str) -> bytes:
         spelled = piece.encode().decode("latin-1").translate(self.letters)
@@ -94,6 +170,48 @@ class Encoder:
                     coded[at] = known[piece] = known.get(piece) or self.piece(piece)  # it may be there by now
         return b"".join(coded)
 
+    def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of many texts, one text after the other, and how many each has. Each different piece is encoded once."""
+        whole = np.zeros(len(texts), bool)
+        for name in self.added:
+            whole |= pc.fill_null(pc.match_substring(texts, name), False).to_numpy(zero_copy_only=False)
+        data, offsets = text_bytes(texts)
+        starts, foreign = _piece_starts(data, offsets)
+        whole[foreign] = True
+        if whole.any():
+            return self._encoded_apart(texts, whole)
+        if not len(starts):
+            return np.zeros(0, "<u4"), np.zeros(len(texts), np.int64)
+        ends = np.append(starts, np.int32(len(data)))
+        cut = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data)).dictionary_encode()
+        found, sizes = self._pieces(cut.dictionary)
+        piece, before = cut.indices.to_numpy(), np.cumsum(sizes) - sizes
+        blocks = [piece[at : at + BLOCK_PIECES] for at in range(0, len(piece), BLOCK_PIECES)]
+        ids = np.concatenate([found[ragged_ranges(before[block], sizes[block])] for block in blocks])
+        sums = np.append(0, np.cumsum(sizes[piece]))
+        return ids, np.diff(sums[np.searchsorted(starts, offsets)])
+
+    def _encoded_apart(self, texts: pa.Array, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`encoded`, the texts that ``whole`` marks by the tokenizer as they are."""
+        ids, sizes = self.encoded(texts.filter(pa.array(~whole)))
+        cut = iter(np.split(ids, np.cumsum(sizes)[:-1]) if len(sizes) else [])
+        apart = iter(texts.filter(pa.array(whole)).to_pylist())
+        rows = [np.frombuffer(self.ids(next(apart)), "<u4") if one else next(cut) for one in whole.tolist()]
+        return np.concatenate(rows), np.array([len(x) for x in rows])
+
+    def _pieces(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different pieces, one after the other, and how many each has."""
+        data, offsets = text_bytes(pieces)
+        ids, sizes = [np.zeros(0, np.uint32)], np.zeros(len(pieces), np.int64)
+        for at in range(0, len(pieces), SPELLED_PIECES):
+            here = offsets[at : at + SPELLED_PIECES + 1]
+            letters = self.spelling[data[here[0] : here[-1]]].tobytes().decode("utf-32-le")
+            ends = (here - here[0]).tolist()
+            found = [self.model.tokenize(letters[begin:end]) for begin, end in pairwise(ends)]
+            sizes[at : at + len(found)] = list(map(len, found))
+            ids.append(np.array([token.id for tokens in found for token in tokens], np.uint32))
+        return np.concatenate(ids), sizes
+
 
 @cache
 def encoder(path: str, special: bool) -> Encoder:
@@ -108,27 +226,31 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 def _encode_partition(path: str, end_id: int | None, special: bool) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start, row = TaskContext.get().partitionId(), 0, 0
-        end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for piece in chunks(batch, "text"):
-                coded = [encoder(path, special).ids(text or "") + end for text in piece.column("text").to_pylist()]
-                lengths = np.array([len(x) // 4 for x in coded], np.int64)
-                offsets = np.append(0, np.cumsum(lengths))
-                ids = pa.ListArray.from_arrays(
-                    pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(coded), "<u4").astype(np.int32))
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        piece.column("doc_id"),
-                        pa.array(np.full(piece.num_rows, part, np.int32)),
-                        pa.array(np.arange(row, row + piece.num_rows)),
-                        pa.array(start + offsets[:-1]),
-                        pa.array(lengths),
-                        ids,
-                    ],
-                    ["doc_id", "part", "row", "start_in_part", "n_tokens", "ids"],
-                )
-                start, row = start + int(offsets[-1]), row + piece.num_rows
+            for texts in chunks(batch, "text", ENCODED_BYTES):
+                found, sizes = encoder(path, special).encoded(texts.column("text"))
+                if end_id is not None:
+                    found, sizes = np.insert(found, np.cumsum(sizes), np.uint32(end_id)), sizes + 1
+                offsets = np.append(0, np.cumsum(sizes))
+                at = 0
+                for piece in chunks(texts, "text"):
+                    here = offsets[at : at + piece.num_rows + 1]
+                    ids = pa.ListArray.from_arrays(
+                        pa.array((here - here[0]).astype(np.int32)), pa.array(found[here[0] : here[-1]].astype(np.int32))
+                    )
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            piece.column("doc_id"),
+                            pa.array(np.full(piece.num_rows, part, np.int32)),
+                            pa.array(np.arange(row, row + piece.num_rows)),
+                            pa.array(start + here[:-1]),
+                            pa.array(np.diff(here)),
+                            ids,
+                        ],
+                        ["doc_id", "part", "row", "start_in_part", "n_tokens", "ids"],
+                    )
+                    at, row = at + piece.num_rows, row + piece.num_rows
+                start += int(offsets[-1])
         # the worker goes on to other work, which needs the memory
         encoder(path, special).known.clear()
 

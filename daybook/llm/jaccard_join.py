@@ -424,6 +424,34 @@ def _close_to_hubs(stars: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
 
 
+def _gathered_stars(stars: DataFrame, found: DataFrame, compare: Callable) -> tuple[DataFrame, DataFrame]:
+    """``stars`` with those of several components moved to a larger star that their hub is a member of; the pairs compared for it.
+
+    The least members of the many buckets of a family make many stars of nearly the same members. Differences to any
+    one hub tell which members link, so members that a larger star has, too, need no list around the smaller one's
+    hub; the others are compared with the larger one's hub. A star is moved if that makes fewer tokens, where a
+    difference to the new hub counts as the differences on the way to it. Hubs are the least nodes of their stars.
+    """
+    member = stars.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.size("differ").alias("d")).join(found, "node", "left")
+    member = stored(member.withColumn("component", F.coalesce("component", "node")), "star-members")
+    sizes = member.groupBy("hub").agg(F.count("*").alias("size"), F.min("component").alias("least"), F.max("component").alias("most"))
+    sizes = stored(sizes, "star-sizes")
+    inner = sizes.where("least < most").select(F.col("hub").alias("node")).join(member, "node").join(sizes.select("hub", "size"), "hub")
+    larger = F.max(F.struct("size", -F.col("hub"), F.col("hub").alias("to_hub"), F.col("d").alias("way"))).alias("best")
+    ways = inner.groupBy("node").agg(larger).select(F.col("node").alias("hub"), "best.to_hub", "best.way")
+    there = member.select(F.col("hub").alias("to_hub"), "node", F.lit(True).alias("is_there")).distinct()
+    trial = member.join(ways, "hub").join(there, ["to_hub", "node"], "left").withColumn("fresh", F.col("is_there").isNull())
+    trial = stored(trial.select("hub", "to_hub", "node", "d", "way", "fresh"), "star-moves")
+    cost = trial.groupBy("hub", "to_hub").agg(F.sum("d").alias("now"), F.sum(F.when(F.col("fresh"), F.col("d") + F.col("way"))).alias("then"))
+    better = cost.where("coalesce(then, 0) < now").select("hub", "to_hub")
+    moved = better.join(better.select(F.col("hub").alias("to_hub")), "to_hub", "left_anti").select("hub")
+    (moved,) = broadcast_if_small(stored(moved, "moved-stars"))
+    fresh = trial.where("fresh AND node <> to_hub").join(moved, "hub", "left_semi")
+    compared = compare(fresh.select(F.col("to_hub").alias("a"), F.col("node").alias("b"), F.lit(True).alias("star")).distinct())
+    kept = stars.join(moved.select(F.col("hub").alias("a")), "a", "left_anti").select(stars.columns)
+    return kept.union(compared.select(stars.columns)), compared
+
+
 def _joined_components(stars: DataFrame, done: DataFrame, found: DataFrame, compare: Callable, percent: int) -> DataFrame:
     """``found`` with the components joined that links among the members of a star join.
 
@@ -433,6 +461,10 @@ def _joined_components(stars: DataFrame, done: DataFrame, found: DataFrame, comp
     linking a family can have many components, each round adds stars for them, and more rounds cost more than pairs.
     The round ``HUB_ROUNDS`` lists what is left in full, so no link is lost.
     """
+    stars, moved = _gathered_stars(stars, found, compare)
+    done, fresh_links = done.union(moved.select("a", "b")), moved.where("linked").select("a", "b")
+    if not fresh_links.isEmpty():
+        found = components(fresh_links.union(found.select(F.col("component").alias("a"), F.col("node").alias("b"))))
     for left in reversed(range(HUB_ROUNDS)):
         buckets = _mixed_buckets(stars, found, percent)
         if buckets.isEmpty():
@@ -475,7 +507,7 @@ def near_duplicates(
     their sets or, where tokens are frequent, a combination of tokens, and every candidate that a sketch
     of its sets does not rule out is compared in full. Buckets are small or
     give the pairs with one hub each, and so do large buckets of the members of a hub (see :func:`_joined_components`),
-    so no bucket lists its square. The list of frequent
+    so no bucket lists its square; stars of one family are gathered around few hubs (:func:`_gathered_stars`). The list of frequent
     tokens has a bounded length, and results do not depend on what is in it.
     """
     if not 50 < percent <= 100:

@@ -59,3 +59,29 @@ def test_a_large_family_around_a_stranger_is_not_listed_in_pairs(spark, monkeypa
     got = jaccard_join.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3))
     assert {r.doc_id: r.component_id for r in got.collect()} == {i: c for i, (_, c) in brute_components(rows, 4, 85).items()}
     assert sum(candidates) < 40 * len(rows)
+
+
+def test_a_family_at_the_edge_of_linking_is_listed_around_few_hubs(spark, monkeypatch):
+    """Nearly every member has a place in the stars of several hubs; their differences are listed about once."""
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 3)
+    listed = []
+    tokens = jaccard_join._hub_tokens
+
+    def counted(member):
+        listed.append(member.selectExpr("sum(size(differ))").first()[0] or 0)
+        return tokens(member)
+
+    monkeypatch.setattr(jaccard_join, "_hub_tokens", counted)
+    draw, words = random.Random(8), vocabulary()
+    base = sentence(draw, words, 150).split()
+    rows = []
+    for doc_id in range(400):
+        text = list(base)
+        for _ in range(draw.randint(1, 7)):
+            text[draw.randrange(150)] = f"w{draw.randrange(10**6)}"
+        rows.append((doc_id, " ".join(text), "en", "s", None))
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    expected = brute_components(rows, 4, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == expected
+    assert len({c for _, c in expected.values()}) > 1
+    assert 0 < sum(listed) < 40 * len(rows)

@@ -10,7 +10,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import LETTER_DIGIT_BYTES, LOWER_ASCII, Words, chunks, gram_hash, ragged_ranges, stored, table, text_bytes, words
+from daybook.llm.common import LETTER_DIGIT_BYTES, LOWER_ASCII, Words, chunks, giving_back, gram_hash, ragged_ranges, stored, table, text_bytes, words
 from daybook.llm.registry import query
 
 WINDOW = 13
@@ -129,6 +129,7 @@ def _scored(docs: Words, rows: int, items: Items) -> list[pa.Array]:
 
 
 def _match_batches(shared: object, window: int, gram: int, text: str) -> Callable:
+    @giving_back
     def match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts = shared.value
         items = Items(ids, pa.array(texts, pa.string()), window, gram)
@@ -145,6 +146,7 @@ def _match_batches(shared: object, window: int, gram: int, text: str) -> Callabl
 def _fingerprints(window: int, gram: int) -> Callable:
     """Fingerprints of whole texts, and the grams of all sizes below ``window``."""
 
+    @giving_back
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text", 1 << 18):
@@ -166,6 +168,7 @@ def _fingerprints(window: int, gram: int) -> Callable:
 def _match_pairs(window: int, gram: int) -> Callable:
     """Exact word places that each candidate pair of texts shares."""
 
+    @giving_back
     def match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
@@ -182,6 +185,7 @@ def _match_pairs(window: int, gram: int) -> Callable:
     return match
 
 
+@giving_back
 def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in chunks(batch, "text"):

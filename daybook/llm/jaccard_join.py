@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from daybook.llm.common import LOWER_ASCII, WORD_BYTES, chunks, gram_hash, mixed, ragged_ranges, stored, table, text_bytes, words
+from daybook.llm.common import LOWER_ASCII, WORD_BYTES, chunks, giving_back, gram_hash, mixed, ragged_ranges, stored, table, text_bytes, words
 from daybook.llm.components import components
 from daybook.llm.registry import query
 from daybook.session import broadcast_if_small
@@ -90,6 +90,7 @@ def _sums(size: int) -> Callable:
     sketches is never more than the size of the symmetric difference of the sets.
     """
 
+    @giving_back
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n", "s1", "s2", "sketch", "token", "seen"]
         summary = _Summary()
@@ -159,6 +160,7 @@ def _keys(shared: object, size: int, percent: int) -> Callable:
     have combinations of several tokens as keys (see :func:`_combinations`), since single frequent tokens say little.
     """
 
+    @giving_back
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, count = shared.value
         for batch in batches:
@@ -224,6 +226,7 @@ def _bucket_candidates(percent: int, all_pairs: int) -> Callable:
         star = np.concatenate([np.zeros(int(good.sum()), bool), np.ones(int(spoke.sum()), bool)])
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(star)], ["a", "b", "star"])
 
+    @giving_back
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, np.int64)] * 4
         for batch in batches:
@@ -255,6 +258,7 @@ def _bounded(key: np.ndarray, rows: int = 20_000) -> Iterator[tuple[int, int]]:
 def _compare(size: int, percent: int) -> Callable:
     """Size of the symmetric difference of two whole texts' sets, and the difference itself for pairs of a star."""
 
+    @giving_back
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text_a", 1 << 19):
@@ -283,6 +287,7 @@ def _compare(size: int, percent: int) -> Callable:
 def _near_sketches(percent: int) -> Callable:
     """Candidates whose sketches don't rule out a link; pairs of a star stay, since they place their members."""
 
+    @giving_back
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (

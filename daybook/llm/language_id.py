@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import LOWER_ASCII, Words, chunks, span_hash, span_sums, table, text_bytes, words
+from daybook.llm.common import LOWER_ASCII, Words, chunks, giving_back, span_hash, span_sums, table, text_bytes, words
 from daybook.llm.registry import query
 from daybook.llm.sampling import held_out
 
@@ -307,6 +307,7 @@ def train(
 def _label(shared: object, text: str, with_runs: bool) -> Callable:
     run_type = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))
 
+    @giving_back
     def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         kinds = len(model.languages)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from daybook.llm.common import CHUNK_BYTES, chunks, ragged_ranges, table, text_bytes
+from daybook.llm.common import CHUNK_BYTES, chunks, giving_back, ragged_ranges, table, text_bytes
 from daybook.llm.registry import query
 from daybook.session import new_folder
 
@@ -224,6 +224,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def _encode_partition(path: str, end_id: int | None, special: bool) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    @giving_back
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start, row = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
@@ -304,6 +305,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.join(F.broadcast(bases), "part").withColumn("start", F.col("base") + F.col("start_in_part"))
 
 
+@giving_back
 def _checksums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lists = batch.column("ids")

@@ -5,23 +5,32 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.bloom import bloom, maybe
-from daybook.llm.common import U64, chunks, mixed, ragged_ranges, span_hash, span_sums, stored, table, text_bytes
+from daybook.llm.common import U64, chunks, kept_by, kept_in, mixed, ragged_ranges, remove, span_hash, span_sums, stored, table, text_bytes
 from daybook.llm.registry import query
-from daybook.session import ROW_OVERHEAD_BYTES, hinted
+from daybook.session import ROW_OVERHEAD_BYTES, hinted, new_folder
 
 LENGTH = 50
 GRAM = 20
 GRAM_BITS = 40
 #: What a task works on and holds at a time; the arrays made of it are many times as large.
 SCAN_BYTES, HELD_ANCHORS = 1 << 17, 1_000_000
+#: Contexts are summed and joined in slices of their grams, one after the other, so that the disk holds the shuffles of a part.
+SLICE_BYTES, MOST_SLICES = 1 << 28, 16
+#: Of all bytes of text one in so many may start a listed string at a time; if there are more strings, they come in parts.
+LISTED_SHARE, LISTED_STRINGS = 12, 1 << 22
+#: With more repeated grams than this their filter lets many others through, and each slice has a filter of its own.
+CROWDED_GRAMS = 1 << 24
+#: Marks the contexts that are edges in a span.
+_EDGE = 1 << 31
 #: What names a row: its id and, where an id has several texts, a hash of the text, else NULL.
 _ROW = ("doc_id", "text_key")
 _ROW_SCHEMA = "doc_id long, text_key long"
@@ -184,13 +193,18 @@ def _edge_windows(edges: pa.Array, offsets: np.ndarray, length: int) -> tuple[np
     return np.repeat(row, windows), ragged_ranges(start + offsets[row], windows)
 
 
-def _windows(length: int) -> Callable:
+def _windows(length: int, number: int = 0, parts: int = 1) -> Callable:
+    """The strings of the contexts that are edges, those of one part by their hash."""
+
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text", SCAN_BYTES):
                 data, offsets = text_bytes(part.column("text"))
                 row, at = _edge_windows(part.column("edges"), offsets, length)
                 value = span_hash(span_sums(data), at, at + length)
+                if parts > 1:
+                    some = np.flatnonzero(value % U64(parts) == U64(number))
+                    row, value = row[some], value[some]
                 for begin in range(0, len(row), 50_000):
                     some = slice(begin, begin + 50_000)
                     ids = [part.column(name).take(pa.array(row[some])) for name in _ROW]
@@ -199,10 +213,10 @@ def _windows(length: int) -> Callable:
     return scan
 
 
-def _filtered(repeated: Broadcast) -> Callable:
+def _filtered(repeated: Broadcast, column: str = "window") -> Callable:
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(maybe(repeated, batch.column("window").to_numpy().view(U64))))
+            yield batch.filter(pa.array(maybe(repeated, batch.column(column).to_numpy().view(U64))))
 
     return scan
 
@@ -267,37 +281,89 @@ def remove_repeats(
        those that an earlier document lists too are gone. Every step is a sum and a join on hashes of 64 bits, so hot
        passages are partial sums and split joins, and no list of pairs is ever made. What was found of each document is
        broadcast to the texts when it is measured to be small, and joined with them by a shuffle otherwise.
+
+    Steps 2 and 3 work on slices by hash, one after the other, and what they leave is deleted once it has been used, so
+    the disk holds the contexts of a large table once and the shuffles of a slice of them.
     """
+    spark = docs.sparkSession
     plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     text_hash = F.xxhash64("text")
     several_texts = plain.groupBy("doc_id").agg(F.min(text_hash).alias("low"), F.max(text_hash).alias("high")).where("doc_id IS NOT NULL AND low < high")
     several_texts = stored(several_texts.select("doc_id", F.lit(True).alias("has_several")), "several-texts")
     plain = plain.join(_small(several_texts, "8"), "doc_id", "left").select("doc_id", F.when(F.col("has_several"), text_hash).alias("text_key"), "text")
     known = plain.where("doc_id IS NOT NULL")
-    grams = known.mapInArrow(_grams(length), "gram long").repartition("gram").sortWithinPartitions("gram")
-    repeated = bloom(grams.mapInArrow(_repeats, "gram long"), "gram")
-    found = known.mapInArrow(_contexts(repeated, length), f"{_ROW_SCHEMA}, gram long, context long, span long")
-    found = stored(found, "contexts")
-    first = found.groupBy("context").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.min("gram").alias("gram"))
-    first = stored(first, "context-firsts")
-    several = first.groupBy("gram").agg(F.count("*").alias("contexts")).where("contexts > 1").select("gram", F.lit(True).alias("several"))
-    marked = first.join(several, "gram", "left").where("several OR first < last").select("context", "first", "several")
-    spans = found.select(*_ROW, "context", "span").join(marked, "context").where("first < doc_id OR several")
-    edge = F.when(F.col("first") == F.col("doc_id"), F.lit(1 << 31).cast("long")).otherwise(F.lit(0).cast("long"))
-    lists = spans.select(*_ROW, (F.col("span") + edge).alias("span")).groupBy(*_ROW).agg(F.collect_list("span").alias("spans"))
+    seen = Observation()
+    observed = known.observe(seen, F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"))
+    grams = observed.mapInArrow(_grams(length), "gram long").repartition("gram").sortWithinPartitions("gram")
+    of_grams = new_folder(spark, "repeated-grams")
+    repeated, n_bytes = kept_in(grams.mapInArrow(_repeats, "gram long"), of_grams), seen.get["bytes"]
+    spans, folders = _spans(known, repeated, length, n_bytes)
+    remove(spark, of_grams)
+    lists = spans.groupBy(*_ROW).agg(F.collect_list("span").alias("spans"))
     plan = stored(lists.mapInArrow(_packed, f"{_ROW_SCHEMA}, covered binary, edges binary"), "spans")
+    strings = F.col("span").bitwiseAND(F.lit(_EDGE - 1)) - length + 1
+    strings = spans.where(F.col("span").bitwiseAND(F.lit(_EDGE)) != 0).agg(F.coalesce(F.sum(strings), F.lit(0)).alias("n")).first()["n"]
+    for folder in folders:
+        remove(spark, folder)
     opened = _with_found(plain, plan, "octet_length(covered) + octet_length(edges)", "left")
     listing = _with_found(plain, plan.select(*_ROW, "edges").where("octet_length(edges) > 0"), "octet_length(edges)", "inner")
-    windows = listing.mapInArrow(_windows(length), f"window long, {_ROW_SCHEMA}")
-    firsts = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    firsts = stored(firsts.select("window", "first"), "window-firsts")
-    again = windows.mapInArrow(_filtered(bloom(firsts, "window")), f"window long, {_ROW_SCHEMA}")
-    gone = again.join(firsts, "window").where("first < doc_id").groupBy(*_ROW).agg(F.collect_set("window").alias("windows"))
-    gone = stored(gone, "gone-windows")
+    gone, folders = _gone(listing, length, max(1, -(-strings // max(LISTED_STRINGS, n_bytes // LISTED_SHARE))))
+    gone = stored(gone.groupBy(*_ROW).agg(F.collect_set("window").alias("windows")), "gone-windows")
+    for folder in folders:
+        remove(spark, folder)
     final = _with_found(opened, gone, "8 * size(windows)", "left")
     return final.mapInArrow(_removed(length, with_text), _RESULT + ", kept_text string" * with_text)
 
 
+def _spans(known: DataFrame, repeated: DataFrame, length: int, n_bytes: int) -> tuple[DataFrame, list[str]]:
+    """Spans that are covered, and contexts that are edges (marked), by row; and the folders that they are read from."""
+    spark, slices = known.sparkSession, min(MOST_SLICES, max(1, -(-n_bytes // SLICE_BYTES)))
+    of_slice = F.pmod(F.col("gram"), F.lit(slices)).cast("int")
+    shared, folder = bloom(repeated, "gram"), new_folder(spark, "contexts")
+    contexts = known.mapInArrow(_contexts(shared, length), f"{_ROW_SCHEMA}, gram long, context long, span long")
+    contexts = kept_by(contexts.withColumn("slice", of_slice), folder, "slice", slices)
+    shared.destroy()
+    crowded = slices > 1 and repeated.count() > CROWDED_GRAMS
+    spans, folders = [], []
+    for number in range(slices):
+        found, used = contexts.where(F.col("slice") == number).drop("slice"), []
+        if crowded:
+            shared = bloom(repeated.where(of_slice == number), "gram")
+            used.append(new_folder(spark, "slice"))
+            found = kept_in(found.mapInArrow(_filtered(shared, "gram"), found.schema), used[-1])
+            shared.destroy()
+        used.append(new_folder(spark, "context-firsts"))
+        first = found.groupBy("context").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.min("gram").alias("gram"))
+        first = kept_in(first, used[-1])
+        several = first.groupBy("gram").agg(F.count("*").alias("contexts")).where("contexts > 1").select("gram", F.lit(True).alias("several"))
+        marked = first.join(several, "gram", "left").where("several OR first < last").select("context", "first", "several")
+        some = found.select(*_ROW, "context", "span").join(marked, "context").where("first < doc_id OR several")
+        edge = F.when(F.col("first") == F.col("doc_id"), F.lit(_EDGE).cast("long")).otherwise(F.lit(0).cast("long"))
+        folders.append(new_folder(spark, "slice-spans"))
+        spans.append(kept_in(some.select(*_ROW, (F.col("span") + edge).alias("span")), folders[-1]))
+        for each in used:
+            remove(spark, each)
+    remove(spark, folder)
+    return reduce(DataFrame.union, spans), folders
+
+
+def _gone(listing: DataFrame, length: int, parts: int) -> tuple[DataFrame, list[str]]:
+    """The listed strings of each row that an earlier document lists too, and the folders that they are read from."""
+    spark, gone, folders = listing.sparkSession, [], []
+    for number in range(parts):
+        windows = listing.mapInArrow(_windows(length, number, parts), f"window long, {_ROW_SCHEMA}")
+        firsts = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+        of_firsts = new_folder(spark, "window-firsts")
+        firsts = kept_in(firsts.select("window", "first"), of_firsts)
+        shared = bloom(firsts, "window")
+        again = windows.mapInArrow(_filtered(shared), f"window long, {_ROW_SCHEMA}")
+        folders.append(new_folder(spark, "part-windows"))
+        gone.append(kept_in(again.join(firsts, "window").where("first < doc_id").select("window", *_ROW), folders[-1]))
+        shared.destroy()
+        remove(spark, of_firsts)
+    return reduce(DataFrame.union, gone), folders
+
+
 def _with_found(texts: DataFrame, found: DataFrame, row_bytes: str, how: str) -> DataFrame:
     """Texts with what was found of their rows."""
     named = found.withColumnsRenamed({name: f"of_{name}" for name in _ROW})

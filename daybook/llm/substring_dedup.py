@@ -10,11 +10,11 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.bloom import bloom, maybe
-from daybook.llm.common import U64, chunks, kept_by, kept_in, mixed, ragged_ranges, remove, span_hash, span_sums, stored, table, text_bytes
+from daybook.llm.common import U64, chunks, giving_back, kept_by, kept_in, mixed, ragged_ranges, remove, span_hash, span_sums, stored, table, text_bytes
 from daybook.llm.registry import query
 from daybook.session import ROW_OVERHEAD_BYTES, hinted, new_folder
 
@@ -24,7 +24,7 @@ GRAM_BITS = 40
 #: What a task works on and holds at a time; the arrays made of it are many times as large.
 SCAN_BYTES, HELD_ANCHORS = 1 << 17, 1_000_000
 #: Contexts are summed and joined in slices of their grams, one after the other, so that the disk holds the shuffles of a part.
-SLICE_BYTES, MOST_SLICES = 1 << 28, 16
+SLICE_BYTES, MOST_SLICES = 1 << 29, 16
 #: Of all bytes of text one in so many may start a listed string at a time; if there are more strings, they come in parts.
 LISTED_SHARE, LISTED_STRINGS = 12, 1 << 22
 #: With more repeated grams than this their filter lets many others through, and each slice has a filter of its own.
@@ -126,13 +126,16 @@ def _repeats(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(found)], ["gram"])
 
 
-def _contexts(repeated: Broadcast, length: int) -> Callable:
+def _contexts(repeated: Broadcast, length: int, slices: int) -> Callable:
+    """The anchors whose gram the filter has, with their contexts; those of a slice lie side by side."""
+
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text", SCAN_BYTES):
                 data, offsets = text_bytes(part.column("text"))
                 found = anchors(data, offsets, length)
                 use = np.flatnonzero(maybe(repeated, _short(found.gram)))
+                use = use[np.argsort(_short(found.gram[use]) % U64(slices), kind="stable")]
                 start = found.low[use] - offsets[found.row[use]]
                 size = found.high[use] - found.low[use] + length
                 columns = [
@@ -193,8 +196,8 @@ def _edge_windows(edges: pa.Array, offsets: np.ndarray, length: int) -> tuple[np
     return np.repeat(row, windows), ragged_ranges(start + offsets[row], windows)
 
 
-def _windows(length: int, number: int = 0, parts: int = 1) -> Callable:
-    """The strings of the contexts that are edges, those of one part by their hash."""
+def _windows(length: int, number: int, parts: int, repeated: Broadcast | None = None) -> Callable:
+    """The strings of the contexts that are edges, those of one part by their hash, and of these what a filter lets through."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,6 +208,9 @@ def _windows(length: int, number: int = 0, parts: int = 1) -> Callable:
                 if parts > 1:
                     some = np.flatnonzero(value % U64(parts) == U64(number))
                     row, value = row[some], value[some]
+                if repeated is not None:
+                    some = np.flatnonzero(maybe(repeated, value))
+                    row, value = row[some], value[some]
                 for begin in range(0, len(row), 50_000):
                     some = slice(begin, begin + 50_000)
                     ids = [part.column(name).take(pa.array(row[some])) for name in _ROW]
@@ -213,10 +219,10 @@ def _windows(length: int, number: int = 0, parts: int = 1) -> Callable:
     return scan
 
 
-def _filtered(repeated: Broadcast, column: str = "window") -> Callable:
+def _filtered(repeated: Broadcast) -> Callable:
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(maybe(repeated, batch.column(column).to_numpy().view(U64))))
+            yield batch.filter(pa.array(maybe(repeated, batch.column("gram").to_numpy().view(U64))))
 
     return scan
 
@@ -287,16 +293,15 @@ def remove_repeats(
     """
     spark = docs.sparkSession
     plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    n_bytes = plain.where("doc_id IS NOT NULL").agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     text_hash = F.xxhash64("text")
     several_texts = plain.groupBy("doc_id").agg(F.min(text_hash).alias("low"), F.max(text_hash).alias("high")).where("doc_id IS NOT NULL AND low < high")
     several_texts = stored(several_texts.select("doc_id", F.lit(True).alias("has_several")), "several-texts")
     plain = plain.join(_small(several_texts, "8"), "doc_id", "left").select("doc_id", F.when(F.col("has_several"), text_hash).alias("text_key"), "text")
     known = plain.where("doc_id IS NOT NULL")
-    seen = Observation()
-    observed = known.observe(seen, F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"))
-    grams = observed.mapInArrow(_grams(length), "gram long").repartition("gram").sortWithinPartitions("gram")
+    grams = known.mapInArrow(giving_back(_grams(length)), "gram long").repartition("gram").sortWithinPartitions("gram")
     of_grams = new_folder(spark, "repeated-grams")
-    repeated, n_bytes = kept_in(grams.mapInArrow(_repeats, "gram long"), of_grams), seen.get["bytes"]
+    repeated = kept_in(grams.mapInArrow(_repeats, "gram long"), of_grams)
     spans, folders = _spans(known, repeated, length, n_bytes)
     remove(spark, of_grams)
     lists = spans.groupBy(*_ROW).agg(F.collect_list("span").alias("spans"))
@@ -312,7 +317,7 @@ def remove_repeats(
     for folder in folders:
         remove(spark, folder)
     final = _with_found(opened, gone, "8 * size(windows)", "left")
-    return final.mapInArrow(_removed(length, with_text), _RESULT + ", kept_text string" * with_text)
+    return final.mapInArrow(giving_back(_removed(length, with_text)), _RESULT + ", kept_text string" * with_text)
 
 
 def _spans(known: DataFrame, repeated: DataFrame, length: int, n_bytes: int) -> tuple[DataFrame, list[str]]:
@@ -320,7 +325,7 @@ def _spans(known: DataFrame, repeated: DataFrame, length: int, n_bytes: int) ->
     spark, slices = known.sparkSession, min(MOST_SLICES, max(1, -(-n_bytes // SLICE_BYTES)))
     of_slice = F.pmod(F.col("gram"), F.lit(slices)).cast("int")
     shared, folder = bloom(repeated, "gram"), new_folder(spark, "contexts")
-    contexts = known.mapInArrow(_contexts(shared, length), f"{_ROW_SCHEMA}, gram long, context long, span long")
+    contexts = known.mapInArrow(giving_back(_contexts(shared, length, slices)), f"{_ROW_SCHEMA}, gram long, context long, span long")
     contexts = kept_by(contexts.withColumn("slice", of_slice), folder, "slice", slices)
     shared.destroy()
     crowded = slices > 1 and repeated.count() > CROWDED_GRAMS
@@ -330,7 +335,7 @@ def _spans(known: DataFrame, repeated: DataFrame, length: int, n_bytes: int) ->
         if crowded:
             shared = bloom(repeated.where(of_slice == number), "gram")
             used.append(new_folder(spark, "slice"))
-            found = kept_in(found.mapInArrow(_filtered(shared, "gram"), found.schema), used[-1])
+            found = kept_in(found.mapInArrow(_filtered(shared), found.schema), used[-1])
             shared.destroy()
         used.append(new_folder(spark, "context-firsts"))
         first = found.groupBy("context").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.min("gram").alias("gram"))
@@ -351,12 +356,12 @@ def _gone(listing: DataFrame, length: int, parts: int) -> tuple[DataFrame, list[
     """The listed strings of each row that an earlier document lists too, and the folders that they are read from."""
     spark, gone, folders = listing.sparkSession, [], []
     for number in range(parts):
-        windows = listing.mapInArrow(_windows(length, number, parts), f"window long, {_ROW_SCHEMA}")
+        windows = listing.mapInArrow(giving_back(_windows(length, number, parts)), f"window long, {_ROW_SCHEMA}")
         firsts = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
         of_firsts = new_folder(spark, "window-firsts")
         firsts = kept_in(firsts.select("window", "first"), of_firsts)
         shared = bloom(firsts, "window")
-        again = windows.mapInArrow(_filtered(shared), f"window long, {_ROW_SCHEMA}")
+        again = listing.mapInArrow(giving_back(_windows(length, number, parts, shared)), f"window long, {_ROW_SCHEMA}")
         folders.append(new_folder(spark, "part-windows"))
         gone.append(kept_in(again.join(firsts, "window").where("first < doc_id").select("window", *_ROW), folders[-1]))
         shared.destroy()
